@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.context import RunContext
-from tidemark.session import tune
+from tidemark.session import tune, work_dir
 
 # Run dates just after the last order and the last event of the given tables.
 ORDERS_RUN = RunContext.of("2001-08-02", "2001-08-02 06:00:00")
@@ -25,6 +25,12 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table that several readers need to the shared folder and read it back."""
+        path = work_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

@@ -19,9 +19,9 @@ PIT_COLUMNS = (
 def _pit_sql(until: str) -> str:
     return f"""
     SELECT t.o_orderkey AS transaction_id, COUNT(h.o_orderkey) AS tx_count,
-      round(COALESCE(AVG(h.o_totalprice), 0), 4) AS avg_amount,
-      round(COALESCE(MAX(h.o_totalprice), 0), 4) AS max_amount,
-      round(COALESCE(SUM(h.o_totalprice), 0), 4) AS total_amount,
+      round(COALESCE(AVG(h.o_totalprice), 0), 6) AS avg_amount,
+      round(COALESCE(MAX(h.o_totalprice), 0), 6) AS max_amount,
+      round(COALESCE(SUM(h.o_totalprice), 0), 6) AS total_amount,
       COUNT(*) FILTER (WHERE h.o_orderdate >= t.o_orderdate - INTERVAL 7 DAY) AS short_tx_count,
       CAST(COALESCE(date_diff('day', MAX(h.o_orderdate), t.o_orderdate), 999) AS INTEGER) AS days_since_last,
       COUNT(DISTINCT h.o_orderstatus) AS distinct_categories,
@@ -39,7 +39,7 @@ def _pit(t: Tables, strict: bool) -> DataFrame:
     money = ("avg_amount", "max_amount", "total_amount")
     return rolled.select(
         "transaction_id",
-        *[F.round(c, 4).alias(c) if c in money else c for c in PIT_COLUMNS],
+        *[F.round(c, 6).alias(c) if c in money else c for c in PIT_COLUMNS],
     )
 
 
@@ -132,15 +132,15 @@ def failures_last_90d(t: Tables) -> DataFrame:
 
 RISK_SELECT = """SELECT transaction_id, customer_id, account_id, merchant_id, d AS transaction_date,
   transaction_hour, amount, is_online, is_international, transaction_state,
-  n30 AS customer_tx_count_30d, round(mean30, 4) AS customer_avg_amount_30d,
-  round(max30, 4) AS customer_max_amount_30d, round(sum30, 4) AS customer_total_amount_30d,
+  n30 AS customer_tx_count_30d, round(mean30, 7) AS customer_avg_amount_30d,
+  round(max30, 7) AS customer_max_amount_30d, round(sum30, 7) AS customer_total_amount_30d,
   n7 AS customer_tx_count_7d, recency AS days_since_last_tx, states30 AS distinct_states_30d,
-  frauds AS prior_fraud_count, round(ratio, 5) AS amount_vs_avg_ratio, is_late_night,
+  frauds AS prior_fraud_count, round(ratio, 8) AS amount_vs_avg_ratio, is_late_night,
   {devices} bureau_score, credit_utilization_pct, num_derogatory_marks, customer_tenure_days,
   merchant_risk_flag, is_fraud FROM features"""
 ROUNDED = {
-    "customer_avg_amount_30d": 4, "customer_max_amount_30d": 4, "customer_total_amount_30d": 4,
-    "amount_vs_avg_ratio": 5,
+    "customer_avg_amount_30d": 7, "customer_max_amount_30d": 7, "customer_total_amount_30d": 7,
+    "amount_vs_avg_ratio": 8,
 }
 
 

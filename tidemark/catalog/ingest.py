@@ -281,11 +281,11 @@ def shipment_days(t: Tables) -> DataFrame:
 
 
 REJECT_SQL = """
-    SELECT event_id, user_id, array_to_string(list_filter([
+    SELECT event_id, user_id, concat_ws(',',
         CASE WHEN event_type NOT IN ('view', 'click', 'purchase') THEN 'known_type' END,
         CASE WHEN value < 1 OR value > 225 THEN 'physical_range' END,
         CASE WHEN NOT regexp_matches(props, '^\\{"k": [0-9]{1,2}\\}$') THEN 'props_format' END
-      ], x -> x IS NOT NULL), ',') AS reject_reasons
+      ) AS reject_reasons
     FROM events"""
 
 

@@ -157,7 +157,10 @@ def ml_overall_report(t: Tables) -> DataFrame:
     return learning.overall_report(_matrix(t))
 
 
-# Models. Fitting runs jobs while the query is built; results have no SQL twin.
+# Models. Fitting runs jobs while the query is built; results have no SQL twin. The frames are
+# written once because a forest reads its input many times.
+
+asset_label = "failure_in_next_7d"
 
 
 def _targeting_frame(t: Tables) -> DataFrame:
@@ -165,7 +168,7 @@ def _targeting_frame(t: Tables) -> DataFrame:
         "specialty_tier_num", points(F.col("specialty_tier"), provider.TIER_ORDINAL, 1)
     )
     frame = learning.assemble(scores, provider.FEATURES, "targeting_priority", keep=["hcp_id"])
-    return _settle(t, learning.split_stratified(frame, "hcp_id", "targeting_priority"), "targeting")
+    return t.keep(learning.split_stratified(frame, "hcp_id", "targeting_priority"), "frame-targeting")
 
 
 def _fraud_frame(t: Tables) -> DataFrame:
@@ -173,7 +176,7 @@ def _fraud_frame(t: Tables) -> DataFrame:
         risk_features(t), risk.FEATURES, "is_fraud",
         keep=["transaction_id", "customer_id", "_batch_id"],
     ).withColumn("is_fraud", F.col("is_fraud").cast("int"))
-    return _settle(t, learning.split_stratified(frame, "transaction_id", "is_fraud"), "fraud")
+    return t.keep(learning.split_stratified(frame, "transaction_id", "is_fraud"), "frame-fraud")
 
 
 def _failure_frame(t: Tables) -> DataFrame:
@@ -181,18 +184,9 @@ def _failure_frame(t: Tables) -> DataFrame:
         "row_id", F.concat_ws("@", "asset_id", F.col("reading_date").cast("string"))
     )
     frame = learning.assemble(rows, asset.FEATURES, asset_label, keep=["row_id"], fill=None)
-    split = _settle(t, learning.split_stratified(frame, "row_id", asset_label), "failure")
-    return learning.impute_median(split, asset.FEATURES, split.filter("split = 'train'"))
-
-
-asset_label = "failure_in_next_7d"
-
-
-def _settle(t: Tables, frame: DataFrame, name: str) -> DataFrame:
-    """Write the training frame once: a forest reads its input many times."""
-    path = work_dir(t.spark, f"frame-{name}")
-    frame.write.parquet(path)
-    return t.spark.read.parquet(path)
+    split = t.keep(learning.split_stratified(frame, "row_id", asset_label), "split-failure")
+    whole = learning.impute_median(split, asset.FEATURES, split.filter("split = 'train'"))
+    return t.keep(whole, "frame-failure")
 
 
 def _train(frame: DataFrame) -> DataFrame:
@@ -264,7 +258,7 @@ def rf_cv(t: Tables) -> DataFrame:
     """Model card of the targeting model with its cross-validated accuracy on training rows."""
     frame = _targeting_frame(t)
     train = _train(frame)
-    mean, deviation = learning.cross_validate(train, TARGETING)
+    mean, deviation = learning.cross_validate(train, TARGETING, "hcp_id")
     model = learning.fit_forest(train, TARGETING)
     return learning.model_card(
         frame,

@@ -24,17 +24,17 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     "AGG-01 AGG-02 AGG-08 GLD-03",
     "WITH " + s.SUPPORT_SQL + """
     SELECT hcp_id, product, case_type, payer_type, case_month, case_count,
-      round(avg_resolution_days, 6) AS avg_resolution_days, escalated_count FROM support""",
+      round(avg_resolution_days, 8) AS avg_resolution_days, escalated_count FROM support""",
 )
 def monthly_support_agg(t: Tables) -> DataFrame:
     out = provider.support_by_month(s.patient_support(t))
-    return rounded(out, 6, "avg_resolution_days")
+    return rounded(out, 8, "avg_resolution_days")
 
 
 SUMMARY_SQL = (
     "WITH " + s.SUPPORT_SQL + "," + s.HCP_SQL + """
     SELECT territory_id, product, case_type, CAST(date_trunc('quarter', case_month) AS DATE) AS case_quarter,
-      CAST(SUM(case_count) AS BIGINT) AS total_cases, round({mean}, 6) AS avg_resolution_days,
+      CAST(SUM(case_count) AS BIGINT) AS total_cases, round({mean}, 8) AS avg_resolution_days,
       CAST(SUM(escalated_count) AS BIGINT) AS total_escalations,
       round(100.0 * SUM(escalated_count) / SUM(case_count), 2) AS escalation_rate_pct
     FROM support JOIN hcp USING (hcp_id) GROUP BY 1, 2, 3, 4"""
@@ -47,7 +47,7 @@ def _summary(t: Tables, k: int, weighted: bool = False) -> DataFrame:
     out = provider.support_summary(
         tables["silver_patient_support_agg"], tables["silver_hcp_standardized"], k, weighted
     )
-    return rounded(out, 6, "avg_resolution_days")
+    return rounded(out, 8, "avg_resolution_days")
 
 
 @query("quarter_region_rollup", "AGG-05 AGG-09 JOI-02 GLD-03", SUMMARY_SQL.format(mean=PLAIN_MEAN))
@@ -79,8 +79,8 @@ def cohort_suppressed(t: Tables) -> DataFrame:
 @query(
     "two_level_rollup",
     "AGG-09 AGG-11",
-    """SELECT c_nationkey, COUNT(*) AS customers, round(AVG(mean_price), 4) AS mean_of_means,
-       round(MIN(mean_price), 4) AS lowest_mean FROM (
+    """SELECT c_nationkey, COUNT(*) AS customers, round(AVG(mean_price), 5) AS mean_of_means,
+       round(MIN(mean_price), 6) AS lowest_mean FROM (
          SELECT c_nationkey, c_custkey, AVG(o_totalprice) AS mean_price
          FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) GROUP BY 1""",
 )
@@ -93,8 +93,8 @@ def two_level_rollup(t: Tables) -> DataFrame:
         ["c_nationkey"],
         [
             F.count("*").alias("customers"),
-            F.round(F.avg("mean_price"), 4).alias("mean_of_means"),
-            F.round(F.min("mean_price"), 4).alias("lowest_mean"),
+            F.round(F.avg("mean_price"), 5).alias("mean_of_means"),
+            F.round(F.min("mean_price"), 6).alias("lowest_mean"),
         ],
     )
 
@@ -104,9 +104,9 @@ def two_level_rollup(t: Tables) -> DataFrame:
     "AGG-03 AGG-06",
     "WITH " + s.READINGS_SQL + """
     SELECT asset_id, CAST(ts AS DATE) AS reading_date, sensor_type,
-      round(AVG(value) FILTER (WHERE valid = 1), 6) AS daily_avg,
+      round(AVG(value) FILTER (WHERE valid = 1), 8) AS daily_avg,
       MAX(value) FILTER (WHERE valid = 1) AS daily_max, MIN(value) FILTER (WHERE valid = 1) AS daily_min,
-      round(stddev_samp(value) FILTER (WHERE valid = 1), 6) AS daily_std,
+      round(stddev_samp(value) FILTER (WHERE valid = 1), 8) AS daily_std,
       COUNT(*) FILTER (WHERE valid = 1) AS valid_count, COUNT(*) AS total_count,
       CAST(SUM(anomaly) AS BIGINT) AS anomaly_count_day, CAST(SUM(outlier) AS BIGINT) AS outlier_count_day,
       round(100.0 * SUM(valid) / COUNT(*), 2) AS day_completeness_pct
@@ -114,7 +114,7 @@ def two_level_rollup(t: Tables) -> DataFrame:
 )
 def daily_sensor_stats(t: Tables) -> DataFrame:
     out = asset.daily_sensor_stats(s.asset_silver(t)["silver_sensors_clean"])
-    return rounded(out, 6, "daily_avg", "daily_std")
+    return rounded(out, 8, "daily_avg", "daily_std")
 
 
 DAILY_SQL = """
@@ -137,10 +137,10 @@ wide AS (
     CAST(SUM(anomalies) AS BIGINT) AS total_anomalies_day, CAST(SUM(outliers) AS BIGINT) AS total_outliers_day,
     AVG(complete) AS sensor_completeness_pct
   FROM daily GROUP BY 1, 2)"""
-WIDE_SELECT = """asset_id, reading_date, round(avg_temp, 5) AS avg_temp, round(avg_vibration, 5) AS avg_vibration,
-  round(avg_pressure, 5) AS avg_pressure, round(avg_speed, 5) AS avg_speed, max_temp, max_vibration,
-  round(std_temp, 5) AS std_temp, round(std_vibration, 5) AS std_vibration, total_anomalies_day,
-  total_outliers_day, round(sensor_completeness_pct, 5) AS sensor_completeness_pct"""
+WIDE_SELECT = """asset_id, reading_date, round(avg_temp, 8) AS avg_temp, round(avg_vibration, 8) AS avg_vibration,
+  round(avg_pressure, 8) AS avg_pressure, round(avg_speed, 8) AS avg_speed, max_temp, max_vibration,
+  round(std_temp, 8) AS std_temp, round(std_vibration, 8) AS std_vibration, total_anomalies_day,
+  total_outliers_day, round(sensor_completeness_pct, 8) AS sensor_completeness_pct"""
 WIDE_ROUNDED = (
     "avg_temp", "avg_vibration", "avg_pressure", "avg_speed", "std_temp", "std_vibration",
     "sensor_completeness_pct",
@@ -154,7 +154,7 @@ WIDE_ROUNDED = (
 )
 def daily_pivot(t: Tables) -> DataFrame:
     out = asset.daily_asset_features(s.asset_silver(t)["silver_sensors_clean"])
-    return rounded(out, 5, *WIDE_ROUNDED)
+    return rounded(out, 8, *WIDE_ROUNDED)
 
 
 @query(
@@ -224,7 +224,7 @@ def column_medians(t: Tables) -> DataFrame:
 VIEW_COLUMNS = """hcp_id, npi, upper(first_name) AS first_name, last_name, full_name, specialty_code,
   specialty_name, specialty_tier, state, territory_id, degree, years_in_practice, is_kol, is_investigator,
   total_interactions_12m, interactions_90d, last_interaction_date, positive_outcomes, total_rx_12m,
-  total_new_starts_12m, round(avg_market_share, 6) AS avg_market_share, {cases} engagement_score,
+  total_new_starts_12m, round(avg_market_share, 8) AS avg_market_share, {cases} engagement_score,
   dq_npi_valid, dq_name_complete, _batch_id"""
 
 
@@ -246,7 +246,7 @@ def _view(t: Tables, with_cases: bool = True) -> DataFrame:
     + VIEW_COLUMNS.format(cases="total_psp_cases, total_psp_escalations,") + " FROM view360",
 )
 def entity_360(t: Tables) -> DataFrame:
-    return rounded(_view(t).drop("gold_created_ts"), 6, "avg_market_share")
+    return rounded(_view(t).drop("gold_created_ts"), 8, "avg_market_share")
 
 
 @query(
@@ -255,7 +255,7 @@ def entity_360(t: Tables) -> DataFrame:
     "WITH " + s.HCP_360_SQL + " SELECT " + VIEW_COLUMNS.format(cases="") + " FROM view360",
 )
 def entity_360_no_cases(t: Tables) -> DataFrame:
-    return rounded(_view(t, with_cases=False).drop("gold_created_ts"), 6, "avg_market_share")
+    return rounded(_view(t, with_cases=False).drop("gold_created_ts"), 8, "avg_market_share")
 
 
 @query(
@@ -312,10 +312,10 @@ profile AS (
   SELECT customer_id, COUNT(*) AS total_transactions,
     COUNT(*) FILTER (WHERE is_fraud) AS confirmed_fraud_count,
     round(100.0 * COUNT(*) FILTER (WHERE is_fraud) / COUNT(*), 3) AS fraud_rate_pct,
-    round(AVG(amount), 4) AS avg_transaction_amount, MAX(amount) AS max_transaction_amount,
+    round(AVG(amount), 7) AS avg_transaction_amount, MAX(amount) AS max_transaction_amount,
     round(AVG(ratio), 3) AS avg_amount_deviation, MAX(states30) AS max_distinct_states,
     CAST(SUM(new_devices) AS BIGINT) AS total_new_device_events, CAST(SUM(vpns) AS BIGINT) AS total_vpn_events,
-    round(AVG(bureau_score), 4) AS avg_bureau_score,
+    round(AVG(bureau_score), 7) AS avg_bureau_score,
     CASE WHEN bool_or(is_fraud) THEN 'CONFIRMED_FRAUD'
          WHEN AVG(ratio) > 5 AND MAX(states30) > 3 THEN 'HIGH'
          WHEN AVG(credit_utilization_pct) > 0.8 OR AVG(num_derogatory_marks) > 2 THEN 'MEDIUM'
@@ -326,7 +326,7 @@ profile AS (
 
 def risk_profile(t: Tables) -> DataFrame:
     out = risk.customer_risk_profile(risk_features(t), EVENTS_RUN).drop("gold_created_ts")
-    return rounded(out, 4, "avg_transaction_amount", "avg_bureau_score")
+    return rounded(out, 7, "avg_transaction_amount", "avg_bureau_score")
 
 
 query(
@@ -337,12 +337,12 @@ query(
 SENSOR_COLUMNS = """sensor_id, asset_id, sensor_type, total_readings, valid_readings,
   round(validity, 2) AS validity_rate_pct, hard_outlier_count, round(outlier_rate, 2) AS outlier_rate_pct,
   anomaly_count, round(anomaly_rate, 2) AS anomaly_rate_pct, first_reading_ts, last_reading_ts,
-  {expected} round(sensor_quality_score, 5) AS sensor_quality_score"""
+  {expected} round(sensor_quality_score, 8) AS sensor_quality_score"""
 
 
 def sensor_quality(t: Tables) -> DataFrame:
     out = asset.sensor_quality(s.asset_silver(t)["silver_sensors_clean"], EVENTS_RUN)
-    return rounded(out.drop("gold_created_ts", "_batch_id"), 5, "sensor_quality_score")
+    return rounded(out.drop("gold_created_ts", "_batch_id"), 8, "sensor_quality_score")
 
 
 query(
@@ -397,7 +397,7 @@ labelled AS (
       criticality_num FROM labelled""",
 )
 def failure_features_query(t: Tables) -> DataFrame:
-    return rounded(failure_features(t).drop("feature_ts", "_batch_id"), 5, *WIDE_ROUNDED)
+    return rounded(failure_features(t).drop("feature_ts", "_batch_id"), 8, *WIDE_ROUNDED)
 
 
 def asset_health(t: Tables) -> DataFrame:
@@ -416,16 +416,16 @@ def asset_health(t: Tables) -> DataFrame:
     "GLD-10 AGG-11 JOI-01 WIN-03 WIN-05",
     "WITH " + s.HEALTH_SQL + """
     SELECT asset_id, asset_name, asset_type, production_line, criticality, age_years,
-      maintenance_interval_days, round(COALESCE(quality, 0), 5) AS avg_sensor_quality_score,
-      round(sensor_validity_rate, 5) AS sensor_validity_rate, total_sensor_anomalies, failure_count_12m,
+      maintenance_interval_days, round(COALESCE(quality, 0), 8) AS avg_sensor_quality_score,
+      round(sensor_validity_rate, 8) AS sensor_validity_rate, total_sensor_anomalies, failure_count_12m,
       total_downtime_hours_12m, last_failure_date, days_since_last_failure, work_orders_12m,
       maintenance_cost_12m_usd, last_maintenance_date, days_since_last_maintenance,
-      round(asset_health_score, 5) AS asset_health_score, maintenance_urgency FROM health""",
+      round(asset_health_score, 8) AS asset_health_score, maintenance_urgency FROM health""",
 )
 def asset_health_query(t: Tables) -> DataFrame:
     out = asset_health(t).drop("gold_created_ts", "_batch_id")
     return rounded(
-        out, 5, "avg_sensor_quality_score", "sensor_validity_rate", "asset_health_score"
+        out, 8, "avg_sensor_quality_score", "sensor_validity_rate", "asset_health_score"
     )
 
 

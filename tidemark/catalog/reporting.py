@@ -142,12 +142,12 @@ def hour_label_counts(t: Tables) -> DataFrame:
     "AGG-16",
     "WITH " + s.HCP_360_SQL + """
     SELECT territory_id, COUNT(*) AS hcp_count, COUNT(*) FILTER (WHERE targeting_priority = 'A') AS a_priority_count,
-      round(AVG(engagement_score), 5) AS avg_engagement, CAST(SUM(total_rx_12m) AS BIGINT) AS total_rx,
+      round(AVG(engagement_score), 8) AS avg_engagement, CAST(SUM(total_rx_12m) AS BIGINT) AS total_rx,
       round(100.0 * COUNT(*) FILTER (WHERE targeting_priority = 'A') / COUNT(*), 1) AS a_priority_pct
     FROM targeting GROUP BY 1""",
 )
 def territory_summary(t: Tables) -> DataFrame:
-    return p.rounded(provider.territory_summary(_targeting(t)), 5, "avg_engagement")
+    return p.rounded(provider.territory_summary(_targeting(t)), 8, "avg_engagement")
 
 
 @query(
@@ -155,7 +155,7 @@ def territory_summary(t: Tables) -> DataFrame:
     "AGG-17",
     "WITH " + s.HCP_360_SQL + """
     SELECT COUNT(*) AS total_hcps, COUNT(*) FILTER (WHERE targeting_priority = 'A') AS priority_a,
-      round(AVG(engagement_score), 4) AS avg_engagement,
+      round(AVG(engagement_score), 8) AS avg_engagement,
       COUNT(*) FILTER (WHERE days_since_last_interaction <= 90) AS recently_active FROM targeting""",
 )
 def kpi_header(t: Tables) -> DataFrame:
@@ -163,7 +163,7 @@ def kpi_header(t: Tables) -> DataFrame:
         _targeting(t),
         total_hcps=F.count("*"),
         priority_a=F.count_if(F.col("targeting_priority") == "A"),
-        avg_engagement=F.round(F.avg("engagement_score"), 4),
+        avg_engagement=F.round(F.avg("engagement_score"), 8),
         recently_active=F.count_if(F.col("days_since_last_interaction") <= 90),
     )
 
@@ -174,7 +174,7 @@ def kpi_header(t: Tables) -> DataFrame:
     """SELECT COUNT(*) AS total_transactions, COUNT(*) FILTER (WHERE value > 200) AS fraud_transactions,
       round(100.0 * COUNT(*) FILTER (WHERE value > 200) / COUNT(*), 4) AS fraud_rate_pct,
       round(CAST(SUM(CAST(value AS DECIMAL(18, 2))) FILTER (WHERE value > 200) AS DOUBLE)
-        / COUNT(*) FILTER (WHERE value > 200), 4) AS avg_fraud_amount
+        / COUNT(*) FILTER (WHERE value > 200), 7) AS avg_fraud_amount
     FROM events WHERE event_type = 'purchase' AND value > 0""",
 )
 def kpi_header_fraud(t: Tables) -> DataFrame:
@@ -186,7 +186,7 @@ def kpi_header_fraud(t: Tables) -> DataFrame:
         total_transactions=F.count("*"),
         fraud_transactions=F.count_if(fraud),
         fraud_rate_pct=F.round(mean_of_flags(flag) * 100, 4),
-        avg_fraud_amount=rate(total, F.count_if(fraud), 1.0, 4),
+        avg_fraud_amount=rate(total, F.count_if(fraud), 1.0, 7),
     )
 
 
@@ -194,7 +194,7 @@ def kpi_header_fraud(t: Tables) -> DataFrame:
     "kpi_header_assets",
     "AGG-17",
     "WITH " + p.QUEUE_SQL + """
-    SELECT COUNT(*) AS total_assets, round(AVG(asset_health_score), 4) AS avg_health,
+    SELECT COUNT(*) AS total_assets, round(AVG(asset_health_score), 8) AS avg_health,
       COUNT(*) FILTER (WHERE maintenance_urgency = 'OVERDUE') AS overdue,
       COUNT(*) FILTER (WHERE criticality = 'HIGH') AS high_criticality,
       COUNT(*) FILTER (WHERE recommended_action_tier = 'EMERGENCY') AS emergencies FROM queue""",
@@ -203,7 +203,7 @@ def kpi_header_assets(t: Tables) -> DataFrame:
     return reports.kpi_header(
         asset.maintenance_queue(p.asset_health(t), EVENTS_RUN),
         total_assets=F.count("*"),
-        avg_health=F.round(F.avg("asset_health_score"), 4),
+        avg_health=F.round(F.avg("asset_health_score"), 8),
         overdue=F.count_if(F.col("maintenance_urgency") == "OVERDUE"),
         high_criticality=F.count_if(F.col("criticality") == "HIGH"),
         emergencies=F.count_if(F.col("recommended_action_tier") == "EMERGENCY"),
@@ -238,7 +238,7 @@ def first_rows(t: Tables) -> DataFrame:
     "low_scorers",
     "TOP-04",
     "WITH " + s.HEALTH_SQL + """
-    SELECT asset_id, asset_name, criticality, round(asset_health_score, 5) AS asset_health_score,
+    SELECT asset_id, asset_name, criticality, round(asset_health_score, 8) AS asset_health_score,
       maintenance_urgency FROM health WHERE asset_health_score < 50""",
 )
 def low_scorers(t: Tables) -> DataFrame:
@@ -246,7 +246,7 @@ def low_scorers(t: Tables) -> DataFrame:
         "asset_id", "asset_name", "criticality", "asset_health_score", "maintenance_urgency",
     ]
     low = reports.below(p.asset_health(t), "asset_health_score", 50, columns)
-    return p.rounded(low, 5, "asset_health_score")
+    return p.rounded(low, 8, "asset_health_score")
 
 
 @query(

@@ -9,7 +9,7 @@ expressions for the checking queries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalog.base import EVENTS_RUN, ORDERS_RUN, Tables
 from tidemark.plans import asset, provider, risk
@@ -75,7 +75,7 @@ def hcp_interactions(t: Tables) -> DataFrame:
 
 
 def rx(t: Tables) -> DataFrame:
-    lines = t.lineitem.join(t.orders, t.lineitem.l_orderkey == t.orders.o_orderkey)
+    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.selectExpr(
         "l_orderkey * 10 + l_linenumber AS rx_id",
         "o_custkey AS hcp_id",

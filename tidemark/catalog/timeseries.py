@@ -35,14 +35,14 @@ def gap_detection(t: Tables) -> DataFrame:
     rolled AS (SELECT a.asset_id, a.reading_hour, SUM(b.total) AS total, CAST(SUM(b.n) AS BIGINT) AS n
       FROM hours a JOIN hours b ON b.asset_id = a.asset_id AND b.reading_hour <= a.reading_hour
         AND b.reading_hour > a.reading_hour - INTERVAL 24 HOUR GROUP BY 1, 2)
-    SELECT asset_id, reading_hour, n AS valid_readings, round(least(100, n * 100.0 / 24), 5) AS completeness_pct,
-      CASE WHEN n >= 12 THEN round(total / n, 5) END AS rolling_mean FROM rolled""",
+    SELECT asset_id, reading_hour, n AS valid_readings, round(least(100, n * 100.0 / 24), 8) AS completeness_pct,
+      CASE WHEN n >= 12 THEN round(total / n, 8) END AS rolling_mean FROM rolled""",
 )
 def gap_aware_mean(t: Tables) -> DataFrame:
     out = series.gap_aware_mean(
         _readings(t), "asset_id", "reading_timestamp", "reading_value", "dq_reading_valid"
     )
-    return p.rounded(out, 5, "completeness_pct", "rolling_mean")
+    return p.rounded(out, 8, "completeness_pct", "rolling_mean")
 
 
 @query(
@@ -70,13 +70,13 @@ def hourly_grid(t: Tables) -> DataFrame:
         SUM(total) FILTER (WHERE d > last_day - 7) / SUM(n) FILTER (WHERE d > last_day - 7) AS late,
         regr_slope(total / n, date_diff('day', DATE '1970-01-01', d)) AS slope
       FROM days JOIN edges USING (sensor_id) GROUP BY 1)
-    SELECT sensor_id, days_seen, round(early, 5) AS baseline_mean, round(late, 5) AS recent_mean,
-      round(slope, 5) AS slope_per_day, round(100 * (late - early) / abs(early), 4) AS shift_pct,
+    SELECT sensor_id, days_seen, round(early, 8) AS baseline_mean, round(late, 8) AS recent_mean,
+      round(slope, 8) AS slope_per_day, round(100 * (late - early) / abs(early), 4) AS shift_pct,
       CAST(abs(100 * (late - early) / abs(early)) > 10 AS INTEGER) AS is_drifting FROM levels""",
 )
 def sensor_drift(t: Tables) -> DataFrame:
     out = series.sensor_drift(_readings(t), "sensor_id", "reading_timestamp", "reading_value")
-    out = p.rounded(out, 5, "baseline_mean", "recent_mean", "slope_per_day")
+    out = p.rounded(out, 8, "baseline_mean", "recent_mean", "slope_per_day")
     return p.rounded(out, 4, "shift_pct")
 
 
@@ -87,7 +87,7 @@ def sensor_drift(t: Tables) -> DataFrame:
     , weeks AS (SELECT sensor_type, CAST(date_trunc('week', ts) AS DATE) AS week,
         100.0 * SUM(anomaly) / COUNT(*) AS anomaly_rate FROM readings GROUP BY 1, 2),
     steps AS (SELECT *, lag(anomaly_rate) OVER (PARTITION BY sensor_type ORDER BY week) AS before FROM weeks)
-    SELECT sensor_type, week, round(anomaly_rate, 5) AS anomaly_rate, round(before, 5) AS previous,
+    SELECT sensor_type, week, round(anomaly_rate, 8) AS anomaly_rate, round(before, 8) AS previous,
       round(100 * (anomaly_rate - before) / abs(nullif(before, 0)), 4) AS change_pct,
       CAST(COALESCE(100 * (anomaly_rate - before) / abs(nullif(before, 0)) > 10, FALSE) AS INTEGER) AS is_alert FROM steps""",
 )
@@ -96,7 +96,7 @@ def week_over_week(t: Tables) -> DataFrame:
         "sensor_type", F.trunc("reading_timestamp", "week").alias("week")
     ).agg((F.sum("is_anomaly") * 100.0 / F.count("*")).alias("anomaly_rate"))
     out = series.period_change(weekly, ["sensor_type"], "week", "anomaly_rate", 10.0)
-    return p.rounded(p.rounded(out, 5, "anomaly_rate", "previous"), 4, "change_pct")
+    return p.rounded(p.rounded(out, 8, "anomaly_rate", "previous"), 4, "change_pct")
 
 
 @query(
@@ -123,12 +123,12 @@ def health_drop(t: Tables) -> DataFrame:
     """WITH days AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS row_count FROM events GROUP BY 1),
     steps AS (SELECT *, AVG(row_count) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mean,
       lag(row_count) OVER (ORDER BY day) AS before FROM days)
-    SELECT day, row_count, round(mean, 5) AS trailing_avg, before AS previous_count,
+    SELECT day, row_count, round(mean, 8) AS trailing_avg, before AS previous_count,
       CAST(COALESCE(row_count < 0.8 * mean, FALSE) AS INTEGER) AS is_low_volume,
       CAST(COALESCE(row_count < 0.9 * before, FALSE) AS INTEGER) AS is_sudden_drop FROM steps""",
 )
 def volume_vs_trailing(t: Tables) -> DataFrame:
-    return p.rounded(series.volume_check(t.events, "ts"), 5, "trailing_avg")
+    return p.rounded(series.volume_check(t.events, "ts"), 8, "trailing_avg")
 
 
 SCD2_SQL = """

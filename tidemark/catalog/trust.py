@@ -19,7 +19,7 @@ from tidemark.plans import asset, provider, risk
 
 def provider_results(t: Tables) -> DataFrame:
     bronze, silver = s.provider_bronze(t), s.provider_silver(t)
-    tables = {**bronze, **silver, **provider.gold(silver, ORDERS_RUN)}
+    tables = {**bronze, **silver, **provider.gold(silver, ORDERS_RUN, keep=t.keep)}
     tables["interactions_to_hcp"] = linkage(
         silver["silver_interactions_clean"], silver["silver_hcp_standardized"], "hcp_id", "hcp_id"
     )
@@ -28,7 +28,7 @@ def provider_results(t: Tables) -> DataFrame:
 
 def risk_results(t: Tables) -> DataFrame:
     silver = s.risk_silver(t)
-    features = risk_features(t)
+    features = t.keep(risk_features(t), "gold_transaction_risk_features")
     tables = {
         "bronze_transactions": s.transactions(t),
         "bronze_customers": s.customers(t),
@@ -48,7 +48,7 @@ def risk_results(t: Tables) -> DataFrame:
 
 def asset_results(t: Tables) -> DataFrame:
     silver = s.asset_silver(t)
-    tables = {**silver, **asset.gold(silver, EVENTS_RUN)}
+    tables = {**silver, **asset.gold(silver, EVENTS_RUN, keep=t.keep)}
     return checks.run_suite(t.spark, asset.checks(EVENTS_RUN), tables)
 
 
@@ -271,7 +271,7 @@ def freshness_tiers(t: Tables) -> DataFrame:
     "feature_gating",
     "DQ-08",
     "WITH " + s.SENSORS_SQL + """
-    SELECT sensor_id, sensor_quality, round(completeness, 5) AS completeness,
+    SELECT sensor_id, sensor_quality, round(completeness, 8) AS completeness,
       CASE WHEN completeness >= 50 THEN anomaly_count END AS anomaly_count,
       sensor_quality < 60 AS low_confidence
     FROM (SELECT sensor_id, anomaly_count, round(sensor_quality_score, 4) AS sensor_quality,
@@ -287,7 +287,7 @@ def feature_gating(t: Tables) -> DataFrame:
         ),
     )
     gated = checks.gate_features(sensors, ["anomaly_count"], "sensor_quality", "completeness")
-    return p.rounded(gated, 5, "completeness")
+    return p.rounded(gated, 8, "completeness")
 
 
 # Monitoring
@@ -342,14 +342,14 @@ def drift_summary(t: Tables) -> DataFrame:
            100.0 * SUM(y.hits) FILTER (WHERE y.day <= x.day - 7 AND y.day > x.day - 14)
              / SUM(y.n) FILTER (WHERE y.day <= x.day - 7 AND y.day > x.day - 14) AS before_pct
          FROM days x JOIN days y ON y.day <= x.day AND y.day > x.day - 14 GROUP BY 1)
-    SELECT day, round(now_pct, 5) AS rate_pct, round(before_pct, 5) AS previous_rate_pct,
-      round(now_pct - before_pct, 5) AS delta_pct,
+    SELECT day, round(now_pct, 8) AS rate_pct, round(before_pct, 8) AS previous_rate_pct,
+      round(now_pct - before_pct, 8) AS delta_pct,
       CAST(COALESCE(abs(now_pct - before_pct) > 1, FALSE) AS INTEGER) AS is_alert FROM pairs""",
 )
 def fraud_rate_shift(t: Tables) -> DataFrame:
     marked = t.events.select("ts", (F.col("value") > 100).alias("is_high"))
     out = monitor.rate_shift(marked, "ts", "is_high", 7, 1.0)
-    return p.rounded(out, 5, "rate_pct", "previous_rate_pct", "delta_pct")
+    return p.rounded(out, 8, "rate_pct", "previous_rate_pct", "delta_pct")
 
 
 @query(
@@ -381,11 +381,11 @@ def metric_drop(t: Tables) -> DataFrame:
         100.0 * (SELECT COUNT(DISTINCT user_id) FROM events) / (SELECT COUNT(*) FROM customer) AS coverage_pct,
         (SELECT 100.0 * abs(COUNT(*) - COUNT(DISTINCT c_custkey)) / COUNT(*) FROM customer) AS count_delta_pct
       FROM readings)
-    SELECT 'outlier_rate_pct' AS metric, round(outlier_rate_pct, 5) AS observed, 'above 2' AS rule,
+    SELECT 'outlier_rate_pct' AS metric, round(outlier_rate_pct, 8) AS observed, 'above 2' AS rule,
       CAST(outlier_rate_pct > 2 AS INTEGER) AS is_alert FROM figures
-    UNION ALL SELECT 'complete_pct', round(complete_pct, 5), 'below 95', CAST(complete_pct < 95 AS INTEGER) FROM figures
-    UNION ALL SELECT 'coverage_pct', round(coverage_pct, 5), 'below 95', CAST(coverage_pct < 95 AS INTEGER) FROM figures
-    UNION ALL SELECT 'count_delta_pct', round(count_delta_pct, 5), 'above 5', CAST(count_delta_pct > 5 AS INTEGER) FROM figures""",
+    UNION ALL SELECT 'complete_pct', round(complete_pct, 8), 'below 95', CAST(complete_pct < 95 AS INTEGER) FROM figures
+    UNION ALL SELECT 'coverage_pct', round(coverage_pct, 8), 'below 95', CAST(coverage_pct < 95 AS INTEGER) FROM figures
+    UNION ALL SELECT 'count_delta_pct', round(count_delta_pct, 8), 'above 5', CAST(count_delta_pct > 5 AS INTEGER) FROM figures""",
 )
 def alerts(t: Tables) -> DataFrame:
     readings = s.asset_silver(t)["silver_sensors_clean"]
@@ -413,7 +413,7 @@ def alerts(t: Tables) -> DataFrame:
         "coverage_pct": ("below", 95.0),
         "count_delta_pct": ("above", 5.0),
     }
-    return p.rounded(monitor.alerts(metrics, rules), 5, "observed")
+    return p.rounded(monitor.alerts(metrics, rules), 8, "observed")
 
 
 @query(

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -117,12 +117,11 @@ def forest_pipeline(spec: ForestSpec) -> Pipeline:
     label = spec.label
     if spec.classes:
         label = "_label_index"
+        # The class list is part of the definition, so a class missing from a sample (a small
+        # fold, say) keeps its number.
         stages.append(
-            StringIndexer(
-                inputCol=spec.label,
-                outputCol=label,
-                stringOrderType="alphabetAsc",
-                handleInvalid="error",
+            StringIndexerModel.from_labels(
+                list(spec.classes), inputCol=spec.label, outputCol=label, handleInvalid="error"
             )
         )
     stages.append(
@@ -145,10 +144,6 @@ def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
     return forest_pipeline(spec).fit(with_class_weight(train, spec.label))
 
 
-def class_labels(model: PipelineModel, spec: ForestSpec) -> list[str]:
-    return list(model.stages[1].labels) if spec.classes else []
-
-
 def score_rows(
     model: PipelineModel, df: DataFrame, spec: ForestSpec, version: str = "v1.0"
 ) -> DataFrame:
@@ -158,7 +153,7 @@ def score_rows(
     scored = model.stages[-1].transform(assembled)
     probabilities = vector_to_array("probability")
     out = scored.withColumn("_p", probabilities)
-    labels = class_labels(model, spec)
+    labels = list(spec.classes)
     predicted = F.col("prediction").cast("int")
     if labels:
         predicted = F.element_at(F.array(*[F.lit(c) for c in labels]), predicted + 1)
@@ -242,17 +237,25 @@ def binary_areas(scored: DataFrame, label: str, probability: str) -> dict[str, f
     return {"auc_roc": area("areaUnderROC"), "auc_pr": area("areaUnderPR")}
 
 
-def cross_validate(train: DataFrame, spec: ForestSpec, folds: int = 5) -> tuple[float, float]:
-    """Mean and standard deviation of accuracy over the folds of the training rows."""
+def cross_validate(
+    train: DataFrame, spec: ForestSpec, identifier: str, folds: int = 5
+) -> tuple[float, float]:
+    """Mean and standard deviation of accuracy over stratified folds of the training rows.
+
+    Folds are dealt in md5 order of the id within each class.
+    """
     label = "_label_index" if spec.classes else spec.label
+    dealt = hash_rank(train, identifier, [spec.label]).withColumn(
+        "_fold", ((F.col("hash_rank") - 1) % folds).cast("int")
+    )
     validator = CrossValidator(
         estimator=forest_pipeline(spec),
         estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
         numFolds=folds,
-        seed=spec.seed,
+        foldCol="_fold",
     )
-    fitted = validator.fit(with_class_weight(train, spec.label))
+    fitted = validator.fit(with_class_weight(dealt, spec.label))
     return round(fitted.avgMetrics[0], 4), round(fitted.stdMetrics[0], 4)
 
 

@@ -12,6 +12,7 @@ from tidemark.operators.checks import Check, flag_pct, row_count, share_pct, vio
 from tidemark.operators.keyed import cast_project, casts, require
 from tidemark.operators.series import hour_number
 from tidemark.operators.timeline import Signal, attach_signals
+from tidemark.sources.bronze import Keep, as_is
 
 LINEAGE = ("_batch_id", "_load_ts")
 
@@ -366,8 +367,12 @@ def maintenance_queue(health: DataFrame, run: RunContext) -> DataFrame:
     )
 
 
-def gold(tables: dict[str, DataFrame], run: RunContext) -> dict[str, DataFrame]:
-    sensors = sensor_quality(tables["silver_sensors_clean"], run)
+def gold(
+    tables: dict[str, DataFrame], run: RunContext, keep: Keep = as_is
+) -> dict[str, DataFrame]:
+    """The four products. ``keep(df, name)`` may write a product that others read."""
+    quality = sensor_quality(tables["silver_sensors_clean"], run)
+    sensors = keep(quality, "gold_sensor_quality_score")
     health = asset_health(
         tables["silver_assets_clean"],
         sensors,
@@ -375,6 +380,7 @@ def gold(tables: dict[str, DataFrame], run: RunContext) -> dict[str, DataFrame]:
         tables["silver_work_orders_clean"],
         run,
     )
+    health = keep(health, "gold_asset_health_summary")
     return {
         "gold_sensor_quality_score": sensors,
         "gold_failure_prediction_features": failure_features(

@@ -12,6 +12,7 @@ from tidemark.operators.checks import (
     Check, duplicate_pct, flag_pct, row_count, share_pct,
 )
 from tidemark.operators.keyed import cast_project, casts, dedup_latest, require
+from tidemark.sources.bronze import Keep, as_is
 
 LINEAGE = ("_batch_id", "_load_ts")
 
@@ -336,7 +337,10 @@ def site_priority(sites: DataFrame, hco: DataFrame, run: RunContext) -> DataFram
     )
 
 
-def gold(tables: dict[str, DataFrame], run: RunContext, k: int = MIN_COHORT) -> dict[str, DataFrame]:
+def gold(
+    tables: dict[str, DataFrame], run: RunContext, k: int = MIN_COHORT, keep: Keep = as_is
+) -> dict[str, DataFrame]:
+    """The four products. ``keep(df, name)`` may write a product that others read."""
     view = hcp_360(
         tables["silver_hcp_standardized"],
         tables["silver_interactions_clean"],
@@ -344,6 +348,7 @@ def gold(tables: dict[str, DataFrame], run: RunContext, k: int = MIN_COHORT) ->
         tables["silver_patient_support_agg"],
         run,
     )
+    view = keep(view, "gold_hcp_360")
     return {
         "gold_hcp_360": view,
         "gold_hcp_targeting_score": targeting_score(view, run),

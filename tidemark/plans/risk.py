@@ -11,6 +11,7 @@ from tidemark.operators.checks import Check, duplicate_pct, row_count, share_pct
 from tidemark.operators.keyed import cast_project, casts, dedup_latest, require
 from tidemark.operators.pit import pit_rolling
 from tidemark.operators.timeline import Signal, attach_signals
+from tidemark.sources.bronze import Keep, as_is
 
 LINEAGE = ("_batch_id", "_load_ts")
 
@@ -220,8 +221,9 @@ def customer_risk_profile(features: DataFrame, run: RunContext) -> DataFrame:
 
 
 def gold(
-    tables: dict[str, DataFrame], bureau: DataFrame, run: RunContext
+    tables: dict[str, DataFrame], bureau: DataFrame, run: RunContext, keep: Keep = as_is
 ) -> dict[str, DataFrame]:
+    """The three products. ``keep(df, name)`` may write a product that others read."""
     view = customer_360(tables["silver_customers_clean"], bureau, run)
     features = risk_features(
         tables["silver_transactions_clean"],
@@ -230,6 +232,7 @@ def gold(
         tables["silver_merchants_clean"],
         run,
     )
+    features = keep(features, "gold_transaction_risk_features")
     return {
         "gold_customer_360": view,
         "gold_transaction_risk_features": features,

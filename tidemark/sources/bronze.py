@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,6 +12,14 @@ from tidemark.context import RunContext
 from tidemark.sources.extracts import SourceSpec
 
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def as_is(df: DataFrame, name: str) -> DataFrame:
+    """Leave a table lazy; the counterpart of writing it and reading it back."""
+    return df
+
+
 def read_source(spark: SparkSession, spec: SourceSpec, folder: str) -> DataFrame | None:
     """Read one extract with its declared schema; a missing file is reported and skipped.
 
