@@ -41,7 +41,8 @@ def test_weights_resampling_and_small_classes(spark):
 
 def test_imputation_uses_training_rows_only(spark):
     df = spark.createDataFrame([(1.0, "train"), (3.0, "train"), (None, "test"), (100.0, "test")], "x double, split string")
-    got = learning.impute_median(df, ["x"], df.filter("split = 'train'"))
+    medians = learning.fit_medians(df.filter("split = 'train'"), ["x"])
+    got = learning.impute(df, ["x"], medians)
     assert rows(got, "x") == [(1.0,), (100.0,), (2.0,), (3.0,)]
 
 

@@ -55,7 +55,7 @@ def ml_imputed(t: Tables) -> DataFrame:
     profile = risk.customer_360(s.risk_silver(t)["silver_customers_clean"], s.bureau(t), EVENTS_RUN)
     columns = ["bureau_score", "credit_utilization_pct"]
     frame = learning.assemble(profile, columns, "income_band", keep=["customer_id"], fill=None)
-    return learning.impute_median(frame, columns)
+    return learning.impute(frame, columns, learning.fit_medians(frame, columns))
 
 
 @query(
@@ -185,7 +185,8 @@ def _failure_frame(t: Tables) -> DataFrame:
     )
     frame = learning.assemble(rows, asset.FEATURES, asset_label, keep=["row_id"], fill=None)
     split = t.keep(learning.split_stratified(frame, "row_id", asset_label), "split-failure")
-    whole = learning.impute_median(split, asset.FEATURES, split.filter("split = 'train'"))
+    medians = learning.fit_medians(split.filter("split = 'train'"), asset.FEATURES)
+    whole = learning.impute(split, asset.FEATURES, medians)
     return t.keep(whole, "frame-failure")
 
 

@@ -388,24 +388,27 @@ def metric_drop(t: Tables) -> DataFrame:
     UNION ALL SELECT 'count_delta_pct', round(count_delta_pct, 8), 'above 5', CAST(count_delta_pct > 5 AS INTEGER) FROM figures""",
 )
 def alerts(t: Tables) -> DataFrame:
-    readings = s.asset_silver(t)["silver_sensors_clean"]
-    one = F.lit(1).alias("_one")
+    silver = s.asset_silver(t)
+    readings = silver["silver_sensors_clean"]
     quality = readings.agg(
         (F.avg("is_hard_outlier") * 100).alias("outlier_rate_pct"),
         (F.avg("dq_reading_valid") * 100).alias("complete_pct"),
-        F.countDistinct("asset_id").alias("_seen"),
-    )
-    bronze, gold = s.assets(t), s.asset_silver(t)["silver_assets_clean"]
-    sizes = bronze.agg(F.count("*").alias("_bronze")).select("*", one).join(
-        gold.agg(F.countDistinct("asset_id").alias("_gold")).select("*", one), "_one"
     )
-    metrics = quality.select("*", one).join(sizes, "_one").select(
-        "outlier_rate_pct",
-        "complete_pct",
-        rate(F.col("_seen"), F.col("_bronze"), digits=None).alias("coverage_pct"),
-        rate(F.abs(F.col("_bronze") - F.col("_gold")), F.col("_bronze"), digits=None).alias(
+    seen = linkage(silver["silver_assets_clean"], readings, "asset_id", "asset_id")
+    sizes = silver["silver_assets_clean"].agg(
+        rate(F.count("*") - F.countDistinct("asset_id"), F.count("*"), digits=None).alias(
             "count_delta_pct"
-        ),
+        )
+    )
+    metrics = (
+        monitor.metric_rows(quality, "outlier_rate_pct", "complete_pct")
+        .unionByName(
+            seen.select(
+                F.lit("coverage_pct").alias("metric"),
+                rate(F.col("linked_rows"), F.col("total_rows"), digits=None).alias("observed"),
+            )
+        )
+        .unionByName(monitor.metric_rows(sizes, "count_delta_pct"))
     )
     rules = {
         "outlier_rate_pct": ("above", 2.0),

@@ -86,61 +86,83 @@ def pivot_measures(
 
 
 def exact_median(df: DataFrame, columns: Sequence[str], bins: int = 4096) -> DataFrame:
-    """One row per column: ``feature``, ``median`` (NULL values ignored).
+    """One row per column: ``feature``, ``median`` (NULL and NaN ignored; none without values).
 
-    The middle ranks are located by two rounds of counting in equal-width bins between the
-    smallest and largest value in play. Only distinct values of the last bin are put in
-    order, so no task ever holds a whole column.
+    A quantile sketch places a narrow bracket around the middle; values are then counted in
+    the bracket's bins and in one bin on either side of it. The counts decide which bin holds
+    the middle rank, so the result is exact however rough the sketch, and only the distinct
+    values of that bin are put in order. No task holds a whole column.
     """
+    sketch = df.agg(
+        *[
+            F.percentile_approx(_finite(c), [0.499, 0.501], 10_000).alias(f"_q{i}")
+            for i, c in enumerate(columns)
+        ],
+        *[F.count(_finite(c)).alias(f"_n{i}") for i, c in enumerate(columns)],
+    )
+    brackets = sketch.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("feature"),
+                        F.col(f"_q{i}")[0].alias("_lo"),
+                        F.col(f"_q{i}")[1].alias("_hi"),
+                        F.col(f"_n{i}").alias("_total"),
+                    )
+                    for i, c in enumerate(columns)
+                ]
+            )
+        )
+    )
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns]
+        *[F.struct(F.lit(c).alias("feature"), _finite(c).alias("v")) for c in columns]
     )
-    values = (
+    share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    inside = 1 + F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1))
+    # One row per column: small enough to broadcast by construction.
+    binned = (
         df.select(F.inline(pairs))
-        .filter("v IS NOT NULL AND NOT isnan(v)")
-        .groupBy("feature", "v")
-        .agg(F.count("*").alias("n"))
+        .filter("v IS NOT NULL")
+        .join(F.broadcast(brackets), "feature")
+        .withColumn(
+            "_bin",
+            F.when(F.col("v") < F.col("_lo"), F.lit(0))
+            .when(F.col("v") > F.col("_hi"), F.lit(bins + 1))
+            .otherwise(inside),
+        )
     )
-    total = values.groupBy("feature").agg(F.sum("n").alias("total"))
-    # Ranks of the two middle values; they coincide for an odd count.
-    targets = total.select(
-        "feature",
-        F.explode(
-            F.array_distinct(
-                F.array(
-                    F.floor((F.col("total") + 1) / 2).cast("long"),
-                    F.floor((F.col("total") + 2) / 2).cast("long"),
-                )
-            )
-        ).alias("rank"),
-    ).withColumn("group", F.concat_ws("|", "feature", F.col("rank").cast("string")))
-
-    current = values.join(targets, "feature")
-    for _ in range(2):
-        current = _narrow(current, bins)
-    in_order = Window.partitionBy("group").orderBy("v")
-    found = current.withColumn("upto", F.sum("n").over(in_order)).filter(
-        (F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))
+    in_order = Window.partitionBy("feature").orderBy("_bin")
+    reached = (
+        binned.groupBy("feature", "_bin", "_total")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.sum("_n").over(in_order) - F.col("_n"))
+    )
+    lower = F.floor((F.col("_total") + 1) / 2)
+    upper = F.floor((F.col("_total") + 2) / 2)
+    # The one or two bins that hold the two middle ranks.
+    middle = reached.filter(
+        ((F.col("_before") < lower) & (lower <= F.col("_before") + F.col("_n")))
+        | ((F.col("_before") < upper) & (upper <= F.col("_before") + F.col("_n")))
+    ).select("feature", "_bin", "_before")
+    within = Window.partitionBy("feature", "_bin").orderBy("v")
+    ranked = (
+        binned.join(F.broadcast(middle), ["feature", "_bin"])
+        .groupBy("feature", "_bin", "_total", "_before", "v")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
+        .withColumn("_from", F.col("_upto") - F.col("_n"))
     )
-    return found.groupBy("feature").agg(F.avg("v").alias("median"))
 
+    def value_at(rank: Column) -> Column:
+        holds = (F.col("_from") < rank) & (rank <= F.col("_upto"))
+        return F.max(F.when(holds, F.col("v")))
 
-def _narrow(current: DataFrame, bins: int) -> DataFrame:
-    """Keep the bin that holds the wanted rank and make the rank relative to that bin."""
-    limits = current.groupBy("group").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    binned = current.join(limits, "group").withColumn(
-        "_bin", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1))
-    )
-    counts = binned.groupBy("group", "_bin", "rank").agg(F.sum("n").alias("_in_bin"))
-    upto = F.sum("_in_bin").over(Window.partitionBy("group").orderBy("_bin"))
-    chosen = (
-        counts.withColumn("_upto", upto)
-        .withColumn("_before", F.col("_upto") - F.col("_in_bin"))
-        .filter((F.col("_upto") >= F.col("rank")) & (F.col("_before") < F.col("rank")))
-        .select("group", "_bin", "_before")
-    )
-    return (
-        binned.join(chosen, ["group", "_bin"])
-        .select("feature", "group", "v", "n", (F.col("rank") - F.col("_before")).alias("rank"))
+    return ranked.groupBy("feature").agg(
+        ((value_at(lower) + value_at(upper)) / 2).alias("median")
     )
+
+
+def _finite(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)

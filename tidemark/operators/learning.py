@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.context import RunContext
 from tidemark.operators.aggregates import exact_median
+from tidemark.operators.keyed import broadcast_if_small
 from tidemark.operators.ranking import hash_rank
 
 
@@ -30,24 +31,15 @@ def assemble(
     return frame if fill is None else frame.fillna(fill, subset=list(features))
 
 
-def impute_median(
-    df: DataFrame, features: Sequence[str], fitted_on: DataFrame | None = None
-) -> DataFrame:
-    """Replace NULLs by the median of the column in ``fitted_on`` (the training rows).
+def fit_medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Median per feature of the rows given (the training rows): one number per column."""
+    return {r["feature"]: r["median"] for r in exact_median(df, features).collect()}
 
-    The medians travel as one row of a small table and are joined back on a constant key.
-    """
-    medians = exact_median(df if fitted_on is None else fitted_on, features)
-    wide = medians.groupBy(F.lit(1).alias("_one")).agg(
-        *[F.max(F.when(F.col("feature") == f, F.col("median"))).alias(f"_m_{f}") for f in features]
-    )
-    filled = {f: F.coalesce(F.col(f), F.col(f"_m_{f}"), F.lit(0.0)) for f in features}
-    return (
-        df.withColumn("_one", F.lit(1))
-        .join(wide, "_one", "left")
-        .withColumns(filled)
-        .select(*df.columns)
-    )
+
+def impute(df: DataFrame, features: Sequence[str], values: Mapping[str, float]) -> DataFrame:
+    """Replace NULL features by fitted values; a feature without a value gets 0."""
+    filled = {f: F.coalesce(F.col(f), F.lit(float(values.get(f, 0.0)))) for f in features}
+    return df.withColumns(filled)
 
 
 def split_stratified(
@@ -80,7 +72,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    return df.join(class_weights(df, label).select(label, "class_weight"), label)
+    weights = class_weights(df, label).select(label, "class_weight")
+    return df.join(broadcast_if_small(weights), label)
 
 
 def resample_balanced(df: DataFrame, identifier: str, label: str) -> DataFrame:
@@ -91,7 +84,7 @@ def resample_balanced(df: DataFrame, identifier: str, label: str) -> DataFrame:
     """
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     target = sizes.withColumn("_max", F.max("_n").over(Window.partitionBy(F.lit(0))))
-    ranked = hash_rank(df, identifier, [label]).join(target, label)
+    ranked = hash_rank(df, identifier, [label]).join(broadcast_if_small(target), label)
     extra = F.when(F.col("hash_rank") <= F.col("_max") % F.col("_n"), 1).otherwise(0)
     copies = F.floor(F.col("_max") / F.col("_n")).cast("int") + extra
     return ranked.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(
@@ -172,53 +165,48 @@ def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     )
 
 
-def class_report(matrix: DataFrame) -> DataFrame:
-    """Per class: support, precision, recall, f1 (0 where undefined), from confusion counts."""
+def _per_class(matrix: DataFrame) -> DataFrame:
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("row_count")).otherwise(0)
-    by_actual = matrix.groupBy(F.col("actual").alias("class")).agg(
-        F.sum("row_count").alias("support"), F.sum(hit).alias("_hits")
+    # Each confusion cell counts once for its actual and once for its predicted class.
+    sides = F.array(
+        F.struct(
+            F.col("actual").alias("class"), F.col("row_count").alias("support"),
+            F.lit(0).cast("long").alias("guessed"), hit.cast("long").alias("hits"),
+        ),
+        F.struct(
+            F.col("predicted").alias("class"), F.lit(0).cast("long").alias("support"),
+            F.col("row_count").alias("guessed"), F.lit(0).cast("long").alias("hits"),
+        ),
     )
-    by_predicted = matrix.groupBy(F.col("predicted").alias("class")).agg(
-        F.sum("row_count").alias("_guessed")
+    counts = matrix.select(F.inline(sides)).groupBy("class").agg(
+        *[F.sum(c).alias(c) for c in ("support", "guessed", "hits")]
     )
 
-    def ratio(a: Column, b: Column) -> Column:
-        return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+    def ratio(part: Column, whole: Column) -> Column:
+        return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
-    return (
-        by_actual.join(by_predicted, "class", "full")
-        .select(
-            "class",
-            F.coalesce("support", F.lit(0)).alias("support"),
-            ratio(F.coalesce("_hits", F.lit(0)), F.col("_guessed")).alias("precision"),
-            ratio(F.coalesce("_hits", F.lit(0)), F.col("support")).alias("recall"),
-        )
-        .withColumn(
-            "f1",
-            ratio(
-                F.col("precision") * F.col("recall") * 2, F.col("precision") + F.col("recall")
-            ),
-        )
+    return counts.select(
+        "class",
+        "support",
+        "hits",
+        ratio(F.col("hits"), F.col("guessed")).alias("precision"),
+        ratio(F.col("hits"), F.col("support")).alias("recall"),
+        ratio(F.col("hits") * 2, F.col("support") + F.col("guessed")).alias("f1"),
     )
 
 
+def class_report(matrix: DataFrame) -> DataFrame:
+    """Per class: support, precision, recall, f1 (0 where undefined), from confusion counts."""
+    return _per_class(matrix).drop("hits")
+
+
 def overall_report(matrix: DataFrame) -> DataFrame:
     """One row: test size, accuracy and the unweighted class means of precision, recall, f1."""
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("row_count")).otherwise(0)
-    size = matrix.agg(F.sum("row_count").alias("test_set_size"), F.sum(hit).alias("_hits"))
-    macro = class_report(matrix).agg(
-        F.avg("precision").alias("precision_macro"),
-        F.avg("recall").alias("recall_macro"),
-        F.avg("f1").alias("f1_macro"),
-    )
-    return (
-        size.withColumn("_one", F.lit(1))
-        .join(macro.withColumn("_one", F.lit(1)), "_one")
-        .select(
-            "test_set_size",
-            F.round(F.try_divide(F.col("_hits").cast("double"), "test_set_size"), 4).alias("accuracy"),
-            *[F.round(c, 4).alias(c) for c in ("precision_macro", "recall_macro", "f1_macro")],
-        )
+    accuracy = F.try_divide(F.sum("hits").cast("double"), F.sum("support").cast("double"))
+    return _per_class(matrix).agg(
+        F.sum("support").alias("test_set_size"),
+        F.round(accuracy, 4).alias("accuracy"),
+        *[F.round(F.avg(c), 4).alias(f"{c}_macro") for c in ("precision", "recall", "f1")],
     )
 
 

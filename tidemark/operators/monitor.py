@@ -89,23 +89,29 @@ def metric_drop(df: DataFrame, order: str, metric: str, max_drop: float) -> Data
     )
 
 
+def metric_rows(df: DataFrame, *metrics: str) -> DataFrame:
+    """A one-row table of figures as (metric, observed) rows."""
+    rows = [
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("observed"))
+        for m in metrics
+    ]
+    return df.select(F.inline(F.array(*rows)))
+
+
 def alerts(metrics: DataFrame, rules: Mapping[str, tuple[str, float]]) -> DataFrame:
-    """Compare a one-row table of metrics with limits: (metric, observed, rule, is_alert).
+    """(metric, observed, rule, is_alert) for the (metric, observed) rows that have a rule.
 
     A rule is (``"above"`` or ``"below"``, limit); it fires beyond the limit.
     """
-
-    def row(metric: str, direction: str, limit: float) -> Column:
-        value = F.col(metric).cast("double")
-        fired = value > limit if direction == "above" else value < limit
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            value.alias("observed"),
-            F.lit(f"{direction} {limit:g}").alias("rule"),
-            F.when(fired, 1).otherwise(0).alias("is_alert"),
-        )
-
-    return metrics.select(F.inline(F.array(*[row(m, *r) for m, r in rules.items()])))
+    name, value = F.col("metric"), F.col("observed")
+    text, fired = F.lit(None).cast("string"), F.lit(False)
+    for metric, (direction, limit) in rules.items():
+        beyond = value > limit if direction == "above" else value < limit
+        text = F.when(name == metric, f"{direction} {limit:g}").otherwise(text)
+        fired = F.when(name == metric, beyond).otherwise(fired)
+    return metrics.filter(name.isin(list(rules))).select(
+        "metric", "observed", text.alias("rule"), F.when(fired, 1).otherwise(0).alias("is_alert")
+    )
 
 
 def exactly_one(df: DataFrame, key: str, attribute: str) -> DataFrame:

@@ -37,11 +37,11 @@ def pit_rolling(
     No events are paired. Events are reduced to days with map-side aggregation, windows run
     over days (bounded by the calendar, not by the size of a key), and an event's own share
     is taken out afterwards: its count, its amount, the largest amount if it holds it, and
-    its category if nothing else in the window has it. Amounts are summed as two-digit
-    decimals so taking one out is exact.
+    its category if nothing else in the window has it. Amounts are summed as whole hundredths
+    so taking one out is exact.
     """
     events = df.withColumn("_day", day_number(day)).withColumn(
-        "_amount", F.col(amount).cast("decimal(18,2)")
+        "_amount", F.round(F.col(amount) * 100).cast("long")
     )
     mark = F.coalesce(F.col(label).cast("int"), F.lit(0))
     usable = events.dropna(subset=[key, "_day"])
@@ -74,7 +74,7 @@ def pit_rolling(
     shift = 1 if strict else 0
     named = F.col("_category").isNotNull()
     leaves = F.least(F.col("_day") + days + 1, F.col("_next") + shift)
-    nothing = [F.lit(None).cast(t) for t in ("long", "long", "decimal(28,2)", "long")]
+    nothing = [F.lit(None).cast("long")] * 4
     counted = [F.col("_n"), F.col("_n_amount"), F.col("_sum"), F.col("_labels")]
 
     def entry(at: Column, totals: list[Column], step: Column) -> Column:
@@ -85,11 +85,12 @@ def pit_rolling(
             F.when(named, step).alias("_step"),
         )
 
-    entries = [
-        entry(F.col("_day"), counted, F.lit(0)),
-        entry(F.col("_day") + shift, nothing, F.lit(1)),
-        entry(leaves, nothing, F.lit(-1)),
-    ]
+    entries = [entry(leaves, nothing, F.lit(-1))]
+    if strict:
+        entries.append(entry(F.col("_day"), counted, F.lit(0)))
+        entries.append(entry(F.col("_day") + shift, nothing, F.lit(1)))
+    else:
+        entries.append(entry(F.col("_day"), counted, F.lit(1)))
 
     per_day = (
         by_category.select(key, F.inline(F.array(*entries)))
@@ -168,11 +169,11 @@ def pit_rolling(
     return joined.select(
         *[F.col(f"e.{c}").alias(c) for c in df.columns],
         count(F.col("_n") - own).alias("tx_count"),
-        F.coalesce(F.try_divide(total.cast("double"), amounts.cast("double")), F.lit(0.0)).alias(
+        F.coalesce(F.try_divide(total / 100.0, amounts.cast("double")), F.lit(0.0)).alias(
             "avg_amount"
         ),
-        F.coalesce(largest_other.cast("double"), F.lit(0.0)).alias("max_amount"),
-        total.cast("double").alias("total_amount"),
+        F.coalesce(largest_other / 100.0, F.lit(0.0)).alias("max_amount"),
+        (total / 100.0).alias("total_amount"),
         count(F.col("_short") - own).alias("short_tx_count"),
         F.when(same_day, 0)
         .otherwise(F.coalesce(F.col("e._day") - F.col("_previous_day"), F.lit(never)))

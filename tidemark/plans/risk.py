@@ -266,16 +266,19 @@ def chargeback_rate(
 ) -> DataFrame:
     """Chargebacks per thousand transactions up to the cutoff: one row."""
     until = F.lit(cutoff).cast("date")
-    sold = transactions.filter(F.col("transaction_date") <= until).agg(
-        F.count("*").alias("transaction_count")
+    sold = transactions.select(
+        F.col("transaction_date").cast("date").alias("day"), F.lit(1).alias("sale"), F.lit(0).alias("back")
     )
-    back = chargebacks.filter(F.col("chargeback_date").cast("date") <= until).agg(
-        F.count("*").alias("chargeback_count")
+    returned = chargebacks.select(
+        F.col("chargeback_date").cast("date").alias("day"), F.lit(0).alias("sale"), F.lit(1).alias("back")
     )
-    one = F.lit(1).alias("_one")
     return (
-        sold.select("*", one)
-        .join(back.select("*", one), "_one")
+        sold.unionByName(returned)
+        .filter(F.col("day") <= until)
+        .agg(
+            F.coalesce(F.sum("sale"), F.lit(0)).alias("transaction_count"),
+            F.coalesce(F.sum("back"), F.lit(0)).alias("chargeback_count"),
+        )
         .select(
             until.alias("cutoff_date"),
             "transaction_count",

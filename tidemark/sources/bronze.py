@@ -74,10 +74,13 @@ def write_table(
     are replaced, which makes a daily load incremental and safe to repeat.
     """
     path = f"{root.rstrip('/')}/{layer}/{name}"
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+        # Rebalancing puts a partition value's rows together but splits an oversized one.
+        writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = df.write
+    writer.mode("overwrite").parquet(path)
     return path
 
 
@@ -102,7 +105,9 @@ def table_stats(
 
 
 def schema_snapshot(df: DataFrame, table: str, run: RunContext) -> DataFrame:
-    """(table_name, batch_id, position, column_name, data_type, nullable): the schema as data."""
+    """(table_name, batch_id, position, column_name, data_type, is_nullable, filled_rows): the
+    schema of a batch as data, with the number of rows that have a value, in one pass."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)])
     rows = [
         F.struct(
             F.lit(table).alias("table_name"),
@@ -111,16 +116,21 @@ def schema_snapshot(df: DataFrame, table: str, run: RunContext) -> DataFrame:
             F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
             F.lit(f.nullable).alias("is_nullable"),
+            F.col(f"n{i}").alias("filled_rows"),
         )
         for i, f in enumerate(df.schema.fields)
     ]
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Columns added, removed or retyped between two snapshots."""
-    old = before.select("column_name", F.col("data_type").alias("old_type"))
-    new = after.select("column_name", F.col("data_type").alias("new_type"))
+    old = before.select(
+        "column_name", F.col("data_type").alias("old_type"), F.col("filled_rows").alias("old_rows")
+    )
+    new = after.select(
+        "column_name", F.col("data_type").alias("new_type"), F.col("filled_rows").alias("new_rows")
+    )
     return (
         old.join(new, "column_name", "full")
         .withColumn(
