@@ -95,7 +95,7 @@ def exact_median(df: DataFrame, columns: Sequence[str], bins: int = 4096) -> Dat
     """
     sketch = df.agg(
         *[
-            F.percentile_approx(_finite(c), [0.499, 0.501], 10_000).alias(f"_q{i}")
+            F.percentile_approx(_finite(c), [0.498, 0.502], 2_000).alias(f"_q{i}")
             for i, c in enumerate(columns)
         ],
         *[F.count(_finite(c)).alias(f"_n{i}") for i, c in enumerate(columns)],

@@ -9,11 +9,6 @@ from tidemark.operators.timeline import day_number
 NEVER = 999
 
 
-def _second_largest(pairs: Column) -> Column:
-    values = F.array_compact(F.flatten(pairs))
-    return F.try_element_at(F.sort_array(values, asc=False), F.lit(2))
-
-
 def pit_rolling(
     df: DataFrame,
     key: str,
@@ -52,6 +47,7 @@ def pit_rolling(
         F.count("_amount").alias("_n_amount"),
         F.sum("_amount").alias("_sum"),
         F.sum(mark).alias("_labels"),
+        F.max("_amount").alias("_first"),
     )
     same_category = Window.partitionBy(key, "_category").orderBy("_day")
     by_category = by_category.select(
@@ -60,25 +56,16 @@ def pit_rolling(
         F.lead("_day").over(same_category).alias("_next"),
     )
 
-    # The two largest amounts of a day are enough to know the maximum without any one event.
-    largest = Window.partitionBy(key, "_day").orderBy(F.col("_amount").desc(), F.col(event_id))
-    top_two = (
-        usable.dropna(subset=["_amount"])
-        .select(key, "_day", "_amount", event_id)
-        .withColumn("_rank", F.row_number().over(largest))
-        .filter("_rank <= 2")
-    )
-
     # A category counts from its day (strict: the day after) until the window has left that
     # day or the category occurs again; the running sum of these steps is the distinct count.
     shift = 1 if strict else 0
     named = F.col("_category").isNotNull()
     leaves = F.least(F.col("_day") + days + 1, F.col("_next") + shift)
-    nothing = [F.lit(None).cast("long")] * 4
-    counted = [F.col("_n"), F.col("_n_amount"), F.col("_sum"), F.col("_labels")]
+    names = ("_n", "_n_amount", "_sum", "_labels", "_first")
+    nothing = [F.lit(None).cast("long") for _ in names]
+    counted = [F.col(n) for n in names]
 
     def entry(at: Column, totals: list[Column], step: Column) -> Column:
-        names = ("_n", "_n_amount", "_sum", "_labels")
         return F.struct(
             at.alias("_day"),
             *[t.alias(n) for t, n in zip(totals, names)],
@@ -92,50 +79,46 @@ def pit_rolling(
     else:
         entries.append(entry(F.col("_day"), counted, F.lit(1)))
 
-    per_day = (
-        by_category.select(key, F.inline(F.array(*entries)))
-        .unionByName(
-            top_two.select(
-                key,
-                "_day",
-                F.when(F.col("_rank") == 1, F.col("_amount")).alias("_first"),
-                F.when(F.col("_rank") == 2, F.col("_amount")).alias("_second"),
-            ),
-            allowMissingColumns=True,
-        )
-        .groupBy(key, "_day")
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.sum("_n_amount").alias("_n_amount"),
-            F.sum("_sum").alias("_sum"),
-            F.sum("_labels").alias("_labels"),
-            F.sum("_step").alias("_step"),
-            F.max("_first").alias("_first"),
-            F.max("_second").alias("_second"),
+    parts = by_category.select(
+        key, F.inline(F.array(*entries)), F.lit(None).cast("long").alias("_second")
+    )
+    if not strict:
+        # With the two largest amounts of a day, the largest without any one event is known.
+        largest = Window.partitionBy(key, "_day").orderBy(F.col("_amount").desc(), event_id)
+        runner_up = (
+            usable.dropna(subset=["_amount"])
+            .select(key, "_day", "_amount", event_id)
+            .withColumn("_rank", F.row_number().over(largest))
+            .filter("_rank = 2")
+            .select(key, "_day", F.col("_amount").alias("_second"))
         )
+        parts = parts.unionByName(runner_up, allowMissingColumns=True)
+    per_day = parts.groupBy(key, "_day").agg(
+        *[F.sum(c).alias(c) for c in ("_n", "_n_amount", "_sum", "_labels", "_step")],
+        *[F.max(c).alias(c) for c in ("_first", "_second")],
     )
 
     by_day = Window.partitionBy(key).orderBy("_day")
     recent = by_day.rangeBetween(-days, ends)
-    # One entry per day of the window, so at most days + 1 pairs.
-    pairs = F.collect_list(F.array("_first", "_second")).over(recent)
-    rolled = per_day.select(
+    earlier = by_day.rangeBetween(-days, -1)
+    to_date = by_day.rangeBetween(Window.unboundedPreceding, 0)
+    # Days that only close a category are needed for the running count and dropped after it.
+    counted_days = per_day.withColumn("_distinct", F.sum("_step").over(to_date)).filter("_n > 0")
+    rolled = counted_days.select(
         key,
         "_day",
         F.col("_n").alias("_today"),
+        "_first",
+        "_second",
+        "_distinct",
         F.sum("_n").over(recent).alias("_n"),
         F.sum("_n_amount").over(recent).alias("_n_amount"),
         F.sum("_sum").over(recent).alias("_sum"),
         F.sum("_labels").over(recent).alias("_labels"),
         F.sum("_n").over(by_day.rangeBetween(-short_days, ends)).alias("_short"),
-        F.max("_first").over(recent).alias("_largest"),
-        pairs.alias("_pairs"),
-        F.sum("_step").over(by_day.rangeBetween(Window.unboundedPreceding, 0)).alias("_distinct"),
-        F.max(F.when(F.col("_n") > 0, F.col("_day")))
-        .over(by_day.rangeBetween(-days, -1))
-        .alias("_previous_day"),
-    ).filter("_today > 0")
-    rolled = rolled.withColumn("_runner_up", _second_largest(F.col("_pairs"))).drop("_pairs")
+        F.max("_first").over(earlier).alias("_earlier_largest"),
+        F.max("_day").over(earlier).alias("_previous_day"),
+    )
 
     lookup = rolled
     same_row = (F.col(f"e.{key}") == F.col(f"r.{key}")) & (F.col("e._day") == F.col("r._day"))
@@ -153,13 +136,14 @@ def pit_rolling(
     total = F.coalesce(F.col("_sum") - own_amount, zero)
     amounts = F.col("_n_amount") - own_amounts
     own_label = zero if strict else F.coalesce(F.col(f"e.{label}").cast("int"), zero)
-    largest_other = F.col("_largest")
+    largest_other = F.col("_earlier_largest")
     only_one = F.lit(False)
     same_day = F.lit(False)
     if not strict:
-        largest_other = F.when(
-            F.col("e._amount") == F.col("_largest"), F.col("_runner_up")
-        ).otherwise(F.col("_largest"))
+        # An event is of today, so today's second amount stands in where it is the first.
+        is_first = F.coalesce(F.col("e._amount") == F.col("_first"), F.lit(False))
+        rest_of_today = F.when(is_first, F.col("_second")).otherwise(F.col("_first"))
+        largest_other = F.greatest(largest_other, rest_of_today)
         only_one = F.col("_category").isNotNull() & (F.col("_same_category") == 1)
         same_day = F.col("_today") > 1
 

@@ -83,32 +83,40 @@ def gap_aware_mean(
 def densify_hours(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Every hour between a sensor's first and last reading, with its number of readings.
 
-    Hours without readings are rows with 0; nothing is filled in. The grid is generated by
-    day first and by hour second so that one long-lived sensor becomes many small rows.
+    Hours without readings are rows with 0; nothing is filled in. Days are joined, not hours:
+    a day carries its at most 24 hourly counts, and hours are unfolded last, so the grid
+    itself is never shuffled.
     """
-    counted = (
+    hourly = (
         df.dropna(subset=[key, ts])
         .groupBy(key, hour_number(ts).alias("_hour"))
         .agg(F.count("*").alias("_n"))
     )
-    span = counted.groupBy(key).agg(F.min("_hour").alias("_lo"), F.max("_hour").alias("_hi"))
+    daily = hourly.groupBy(key, F.expr("_hour div 24").alias("_date")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_hour", "_n"))).alias("_counts"),
+        F.min("_hour").alias("_lo"),
+        F.max("_hour").alias("_hi"),
+    )
+    span = daily.groupBy(key).agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     days = span.select(
-        key,
-        "_lo",
-        "_hi",
-        F.explode(F.expr("sequence(_lo div 24, _hi div 24)")).alias("_date"),
+        key, "_lo", "_hi", F.explode(F.expr("sequence(_lo div 24, _hi div 24)")).alias("_date")
     )
-    grid = days.select(
+    # A few sensors can unfold into many days: spread those before unfolding the hours.
+    days = days.repartition(key, "_date")
+    filled = days.join(daily.select(key, "_date", "_counts"), [key, "_date"], "left")
+    grid = filled.select(
         key,
+        "_counts",
         F.explode(
             F.expr("sequence(greatest(_lo, _date * 24), least(_hi, _date * 24 + 23))")
         ).alias("_hour"),
     )
-    return grid.join(counted, [key, "_hour"], "left").select(
+    found = F.try_element_at("_counts", F.col("_hour"))
+    return grid.select(
         key,
         hour_start("_hour").alias("reading_hour"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("reading_count"),
-        F.when(F.col("_n").isNull(), 1).otherwise(0).alias("is_missing"),
+        F.coalesce(found, F.lit(0)).cast("long").alias("reading_count"),
+        F.when(found.isNull(), 1).otherwise(0).alias("is_missing"),
     )
 
 
