@@ -310,9 +310,13 @@ def test_written_layers_keep_other_days(spark, tmp_path):
     def load(pairs):
         return spark.createDataFrame(pairs, "d string, v int")
 
-    bronze.write_table(load([("a", 1), ("b", 1)]), str(tmp_path), "bronze", "t", ["d"])
-    path = bronze.write_table(load([("b", 2)]), str(tmp_path), "bronze", "t", ["d"])
-    assert rows(spark.read.parquet(path), "d", "v") == [("a", 1), ("b", 2)]
+    def store(pairs, incremental):
+        path = bronze.write_table(load(pairs), str(tmp_path), "bronze", "t", ["d"], incremental)
+        return rows(spark.read.parquet(path), "d", "v")
+
+    assert store([("a", 1), ("b", 1)], False) == [("a", 1), ("b", 1)]
+    assert store([("b", 2)], True) == [("a", 1), ("b", 2)]
+    assert store([("c", 3)], False) == [("c", 3)]
     report = str(tmp_path / "report")
     bronze.write_json(load([("x", 3)]), report)
     assert rows(spark.read.json(report), "d", "v") == [("x", 3)]

@@ -21,6 +21,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -32,7 +33,11 @@ class Tables:
         return self.spark.read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(self.path(name))
+        return self._read[name]
 
 
 @dataclass(frozen=True)

@@ -65,7 +65,9 @@ def bronze_daily_partitions(t: Tables) -> DataFrame:
     first = dated.withColumn("load_name", F.lit("first"))
     second = dated.filter("event_date >= date'2024-01-15'").withColumn("load_name", F.lit("second"))
     for load in (first, second):
-        path = bronze.write_table(load, root, "bronze", "events", ["event_date"])
+        path = bronze.write_table(
+            load, root, "bronze", "events", ["event_date"], incremental=True
+        )
     return t.spark.read.parquet(path)
 
 

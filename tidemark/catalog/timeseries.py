@@ -71,12 +71,12 @@ def hourly_grid(t: Tables) -> DataFrame:
         regr_slope(total / n, date_diff('day', DATE '1970-01-01', d)) AS slope
       FROM days JOIN edges USING (sensor_id) GROUP BY 1)
     SELECT sensor_id, days_seen, round(early, 8) AS baseline_mean, round(late, 8) AS recent_mean,
-      round(slope, 8) AS slope_per_day, round(100 * (late - early) / abs(early), 4) AS shift_pct,
+      round(slope, 10) AS slope_per_day, round(100 * (late - early) / abs(early), 4) AS shift_pct,
       CAST(abs(100 * (late - early) / abs(early)) > 10 AS INTEGER) AS is_drifting FROM levels""",
 )
 def sensor_drift(t: Tables) -> DataFrame:
     out = series.sensor_drift(_readings(t), "sensor_id", "reading_timestamp", "reading_value")
-    out = p.rounded(out, 8, "baseline_mean", "recent_mean", "slope_per_day")
+    out = p.rounded(p.rounded(out, 8, "baseline_mean", "recent_mean"), 10, "slope_per_day")
     return p.rounded(out, 4, "shift_pct")
 
 

@@ -68,6 +68,14 @@ def _asset_frame(tables: Tables, spec: ForestSpec) -> DataFrame:
     return learning.assemble(rows, spec.features, spec.label, keep=keep, fill=None)
 
 
+# Event-grained tables are stored by day, so later reads of a period touch only its files.
+STORED_BY = {
+    "silver_interactions_clean": ["interaction_date"],
+    "silver_transactions_clean": ["transaction_date"],
+    "gold_transaction_risk_features": ["transaction_date"],
+    "gold_failure_prediction_features": ["reading_date"],
+}
+
 # Model names, trees, depth and smallest leaf.
 DOMAINS = {
     "provider": Domain(
@@ -131,7 +139,8 @@ def build(
     def store(layer: str) -> bronze.Keep:
         def keep(df: DataFrame, name: str) -> DataFrame:
             if name not in tables:
-                tables[name] = spark.read.parquet(bronze.write_table(df, root, layer, name))
+                path = bronze.write_table(df, root, layer, name, STORED_BY.get(name, ()))
+                tables[name] = spark.read.schema(df.schema).parquet(path)
             return tables[name]
 
         return keep

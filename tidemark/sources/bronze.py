@@ -66,20 +66,25 @@ def ingest(
 
 
 def write_table(
-    df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    layer: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    incremental: bool = False,
 ) -> str:
     """Write a layer table as Parquet and return its path.
 
-    Without partitions the table is replaced. With partitions only those present in ``df``
-    are replaced, which makes a daily load incremental and safe to repeat.
+    The table is replaced as a whole. With ``incremental`` only the partitions present in
+    ``df`` are replaced, which makes a daily load small and safe to repeat.
     """
     path = f"{root.rstrip('/')}/{layer}/{name}"
+    writer = df.write
     if partition_by:
         # Rebalancing puts a partition value's rows together but splits an oversized one.
         writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = df.write
+        mode = "dynamic" if incremental else "static"
+        writer = writer.option("partitionOverwriteMode", mode)
     writer.mode("overwrite").parquet(path)
     return path
 
