@@ -3,14 +3,13 @@
 import warnings
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import day, one, rows, ts
 from tidemark.context import RunContext
 from tidemark.operators import checks
 from tidemark.plans import asset, provider, risk
 from tidemark.sources import bronze
-from tidemark.sources.extracts import ASSET, PROVIDER, RISK, SourceSpec
+from tidemark.sources.extracts import ASSET, PROVIDER, RISK
 
 RUN = RunContext.of("2024-07-01", "2024-07-01 02:03:04")
 

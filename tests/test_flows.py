@@ -5,7 +5,7 @@ from dataclasses import replace
 
 import pytest
 
-from helpers import one, rows
+from helpers import one
 from test_domains import ASSET_FILES, PROVIDER_FILES, RISK_FILES, RUN, write
 from tidemark.catalog import Tables, features, standins
 from tidemark.catalog.base import EVENTS_RUN

@@ -31,3 +31,15 @@ def test_entry_contract(spark):
 
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0
+
+
+# Queries whose plan would need a file or a fitted model to be built first.
+EAGER = ("rf_", "stream_", "bronze_csv", "bronze_daily", "report_json", "er_golden")
+
+
+@pytest.mark.parametrize("name", [n for n in CATALOG if not n.startswith(EAGER)])
+def test_plan_has_no_pairing_or_python(spark, sf_dir, name):
+    df = CATALOG[name].build(Tables(spark, sf_dir))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert bad not in plan

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from helpers import rows, ts
 from tidemark.context import RunContext
 from tidemark.streaming import jobs

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import day, one, rows, ts
+from helpers import one, rows, ts
 from tidemark.context import RunContext
 from tidemark.functions.scoring import points, rate, score, tier
 from tidemark.operators import checks, governance, monitor, reports

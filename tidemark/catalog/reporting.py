@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalog import products as p, standins as s
 from tidemark.catalog.base import EVENTS_RUN, ORDERS_RUN, Tables, query
-from tidemark.catalog.features import risk_features
-from tidemark.context import RunContext
 from tidemark.functions.scoring import mean_of_flags, money_sum, rate
 from tidemark.operators import ranking, reports
 from tidemark.plans import asset, provider, risk
