@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog import Tables
-from tidemark.llm import bpe, decontam, quality, shards
+from tidemark.llm import bpe, decontam, quality, shards, simhash
 from tidemark.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -34,6 +34,12 @@ def op2_piece_bpe(t: Tables) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(t.documents, path, pattern), path, pattern))
 
 
+@query("op3_simhash_cover")
+def op3_simhash_cover(t: Tables) -> DataFrame:
+    found = simhash.near_duplicates(t.documents)
+    return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
+
+
 @query(
     "op5_rule_ledger",
     r"""
