@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog import Tables
-from tidemark.llm import bpe, decontam, quality, shards, simhash
+from tidemark.llm import bpe, decontam, pii, quality, shards, simhash
 from tidemark.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -105,3 +105,8 @@ def op7_token_mph(t: Tables) -> DataFrame:
 )
 def op8_ahocorasick_leaks(t: Tables) -> DataFrame:
     return decontam.summary(decontam.contamination(t.documents, t.benchmark)).drop("spans")
+
+
+@query("op10_pii_spans")
+def op10_pii_spans(t: Tables) -> DataFrame:
+    return pii.digests(pii.find(t.documents))
