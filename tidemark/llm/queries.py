@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog import Tables
-from tidemark.llm import bpe, decontam, pii, quality, shards, simhash
+from tidemark.llm import bpe, decontam, licenses, pii, quality, shards, simhash
 from tidemark.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -110,3 +110,8 @@ def op8_ahocorasick_leaks(t: Tables) -> DataFrame:
 @query("op10_pii_spans")
 def op10_pii_spans(t: Tables) -> DataFrame:
     return pii.digests(pii.find(t.documents))
+
+
+@query("op6_license_rules")
+def op6_license_rules(t: Tables) -> DataFrame:
+    return licenses.scan(t.documents).drop("detections")
