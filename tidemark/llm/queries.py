@@ -5,15 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import Tables
-from tidemark.llm import bpe, decontam, licenses, pii, quality, shards, simhash
+from tidemark.llm import bpe, decontam, licenses, pii, quality, shards, simhash, urls, warc
 from tidemark.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
+# The canonical form of an address, as ``urls.canonical`` spells it.
+CANONICAL_SQL = r"""
+    parts AS (SELECT page_id, url, html,
+      CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    cut AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*(?:\?([^#]*))?', 1) AS query FROM parts),
+    named AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)?$', ''), '^www\.(.)', '\1') AS h,
+      array_to_string(list_sort(list_filter(string_split(query, '&'),
+        lambda p: p <> '' AND NOT regexp_matches(p, '^(?:utm_[^=]*|fbclid|gclid|ref)(?:=|$)'))), '&') AS q FROM cut),
+    addressed AS (SELECT *, CASE WHEN h <> '' THEN h || regexp_replace(path, '/+$', '') || CASE WHEN q = '' THEN '' ELSE '?' || q END END AS address
+      FROM named)"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -115,3 +127,87 @@ def op10_pii_spans(t: Tables) -> DataFrame:
 @query("op6_license_rules")
 def op6_license_rules(t: Tables) -> DataFrame:
     return licenses.scan(t.documents).drop("detections")
+
+
+def captures_of(pages: DataFrame) -> DataFrame:
+    """The pages as a crawl: a full response a minute apart each, a 304 revisit a day later.
+
+    The revisit asks by the entity tag of its own page, under another spelling of the address. Where
+    pages share an address, only the latest one's tag is still valid.
+    """
+    tag = F.md5(F.col("html").cast("binary"))
+    first = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id") * 60)
+    again = first + F.expr("INTERVAL 1 DAY")
+    stamp = lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")
+    headers = lambda *pairs: F.create_map(*[x if not isinstance(x, str) else F.lit(x) for x in pairs])
+    full = headers(
+        "etag", F.concat(F.lit('"'), tag, F.lit('"')), "last-modified", stamp(first), "date", stamp(first),
+        "content-type", "text/html", "content-length", F.octet_length("html").cast("string"),
+        "cache-control", "max-age=60",
+    )
+    short = headers(
+        "etag", F.concat(F.lit('W/"'), tag, F.lit('"')), "date", stamp(again), "content-length", "0",
+        "cache-control", "max-age=600",
+    )
+    one = lambda k, at, kind, status, head, url: F.struct(
+        (F.col("page_id") * 2 + k).alias("capture_id"), url.alias("url"), at.alias("captured_at"),
+        F.lit(kind).alias("type"), F.lit(status).alias("status"), head.alias("headers"),
+    )
+    both = F.array(
+        one(0, first, "response", 200, full, F.col("url")),
+        one(1, again, "revisit", 304, short, F.concat("url", F.lit("#again"))),
+    )
+    return pages.select(F.explode(both).alias("c")).select("c.*")
+
+
+@query(
+    "op4_warc_revisits",
+    "WITH" + CANONICAL_SQL + r""",
+    timed AS (SELECT *, page_id * 60 AS at, page_id * 60 + 86400 AS again, md5(html) AS tag FROM addressed),
+    ranked AS (SELECT b.page_id, b.address, b.tag, b.again, a.page_id AS r, a.tag AS r_tag, a.at AS r_at, a.html AS r_html,
+      row_number() OVER (PARTITION BY b.page_id ORDER BY a.at DESC, a.page_id DESC) AS place
+      FROM timed b LEFT JOIN timed a ON a.address = b.address AND a.at < b.again),
+    checked AS (SELECT *, CASE WHEN r IS NULL THEN 'no_response' WHEN tag = r_tag THEN 'resolved' ELSE 'mismatch' END AS verdict
+      FROM ranked WHERE place = 1)
+    SELECT page_id, address, r AS refers_to_page, verdict,
+      CASE WHEN verdict = 'resolved' THEN 'cache-control: max-age=600' || chr(10) || 'content-length: ' || strlen(r_html) || chr(10)
+        || 'content-type: text/html' || chr(10) || 'date: ' || strftime(make_timestamp((1704067200 + again) * 1000000), '%Y-%m-%d %H:%M:%S')
+        || chr(10) || 'etag: W/"' || tag || '"' || chr(10)
+        || 'last-modified: ' || strftime(make_timestamp((1704067200 + r_at) * 1000000), '%Y-%m-%d %H:%M:%S')
+      ELSE 'cache-control: max-age=600' || chr(10) || 'content-length: 0' || chr(10)
+        || 'date: ' || strftime(make_timestamp((1704067200 + again) * 1000000), '%Y-%m-%d %H:%M:%S')
+        || chr(10) || 'etag: W/"' || tag || '"' END AS headers,
+      CASE WHEN verdict = 'resolved' THEN md5(r_html) END AS payload_md5 FROM checked""",
+)
+def op4_warc_revisits(t: Tables) -> DataFrame:
+    resolved = warc.resolve_revisits(captures_of(t.pages))
+    payloads = t.pages.select((F.col("page_id") * 2).alias("id"), "html")
+    found = warc.with_payload(resolved, payloads, "id", "html")
+    return found.select(
+        F.expr("capture_id div 2").alias("page_id"), "address",
+        F.expr("refers_to div 2").alias("refers_to_page"), "verdict",
+        warc.header_lines(F.col("headers")).alias("headers"),
+        F.md5(F.col("payload").cast("binary")).alias("payload_md5"),
+    )
+
+
+@query(
+    "op9_url_aliases",
+    "WITH RECURSIVE" + CANONICAL_SQL + r""",
+    rules(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+      ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+    fitting AS (SELECT page_id, verdict, rhost || rpath AS rule, row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC) AS place
+      FROM addressed JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)),
+    judged AS (SELECT a.page_id, host, path, rule, verdict AS own, address FROM addressed a
+      LEFT JOIN fitting f ON f.page_id = a.page_id AND place = 1),
+    links AS (SELECT a.page_id AS u, b.page_id AS v FROM judged a JOIN judged b USING (address)),
+    reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+    handed AS (SELECT u, bool_or(own = 'allow') AS allowed, bool_or(own = 'block') AS blocked
+      FROM reach JOIN judged ON page_id = v GROUP BY u)
+    SELECT page_id, host, path, rule,
+      COALESCE(own, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' END, 'allow') AS verdict,
+      CASE WHEN own IS NULL THEN CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' END END AS inherited
+    FROM judged LEFT JOIN handed ON u = page_id""",
+)
+def op9_url_aliases(t: Tables) -> DataFrame:
+    return urls.judge(t.pages)
