@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontam, quality
+from tidemark.llm import bpe, decontam, pii, quality, simhash
 from tidemark.llm.batches import kept
 from tidemark.session import tune
 
@@ -15,22 +15,38 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group whose fingerprints are linked, that with the smallest id."""
+    return simhash.keep_representatives(docs)
+
+
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontam.drop_contaminated(docs, items)
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by the name of its kind; ``n_chars`` follows the text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of each document."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.encode(docs, path, public_tokenizers.PATTERN)
+    """The token ids of each document, and the digest of the text that they decode to."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    decoded = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    return decoded.select(
+        "doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [
     ("quality rules", good_quality),
+    ("SimHash near-dedup", one_of_each),
     ("benchmark decontamination", without_benchmarks),
-    ("byte-level BPE", token_ids),
+    ("PII", without_personal_data),
+    ("byte-level BPE encoding and decoding", token_ids),
 ]
 
 #: Fingerprints and token ids have no SQL; tests hold every stage against a plain version.
