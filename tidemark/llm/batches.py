@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.session import work_dir
 
+BATCH_BYTES = 16 << 20
 #: Words of the contracts: everything but space and \x09-\x0D (``bytes.split`` splits there), or
 #: everything but ASCII that is no letter or digit.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -24,12 +25,18 @@ WORD_OF_TEXT = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and text columns alone, as ``doc_id`` and ``text``; a null text is empty."""
+    bound_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 
 
+def bound_batches(spark) -> None:
+    """Close Arrow batches at so many bytes, so that long rows never pile up in one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[tuple[pa.Array, list]]:
     """(ids, texts) of pieces of at most ``size`` rows, so that Python strings stay few."""
     for batch in batches:

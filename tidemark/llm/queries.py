@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import Tables
-from tidemark.llm import bpe, decontam, licenses, pii, quality, shards, simhash, urls, warc
+from tidemark.llm import bpe, decontam, licenses, lm, pii, quality, shards, simhash, urls, warc
 from tidemark.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_maxent_lm")
+def op1_maxent_lm(t: Tables) -> DataFrame:
+    return lm.score(t.documents)
+
+
 @query("op2_piece_bpe")
 def op2_piece_bpe(t: Tables) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
