@@ -127,11 +127,3 @@ def test_skew_and_band(spark):
         flags.within_pct(F.col("a"), F.col("e"), 0.5).alias("w"),
     )
     assert rows(got) == [(0, 1), (1, 0)]
-
-
-def test_broadcast_only_after_a_size_check(spark):
-    def hinted(df):
-        plan = keyed.broadcast_if_small(df, max_rows=5)._jdf.queryExecution().analyzed().toString()
-        return "broadcast" in plan
-
-    assert hinted(spark.range(5)) and not hinted(spark.range(6))

@@ -154,3 +154,13 @@ def test_asof_lookup(spark):
     got = attach_asof(facts, history, "k", "d", "f", ["v"], "u")
     assert got.count() == 7
     assert sorted(str(r.d) for r in got.collect() if r.v == "x") == ["2024-01-01", "2024-01-09"]
+
+
+def test_small_amounts_are_not_rounded(spark):
+    data = [(1, 1, "2024-01-01", 0.004), (2, 1, "2024-01-02", 0.004), (3, 1, "2024-01-03", 1.0)]
+    df = spark.createDataFrame(data, "id int, k int, d string, a double").selectExpr("*", "'x' AS c", "false AS l")
+    got = pit_rolling(df.withColumn("d", F.col("d").cast("date")), "k", "d", "id", "a", "c", "l")
+    assert one(got, id=3)["avg_amount"] == 0.004 and one(got, id=3)["total_amount"] == 0.008
+    finer = df.withColumn("a", F.lit(0.12345678)).withColumn("d", F.col("d").cast("date"))
+    with pytest.raises(Exception, match="more than 6 digits"):
+        pit_rolling(finer, "k", "d", "id", "a", "c", "l").collect()

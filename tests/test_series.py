@@ -123,3 +123,12 @@ def test_rollup_suppression_and_linkage(spark):
     assert rows(aggregates.linkage(facts, dims, "k", "d")) == [(4, 2, 50.0)]
     empty = aggregates.linkage(facts.limit(0), dims, "k", "d")
     assert rows(empty) == [(0, 0, None)]
+
+
+def test_grid_before_and_across_the_epoch(spark):
+    data = [("a", ts("1969-12-31 19:00:00")), ("a", ts("1970-01-01 02:00:00")), ("b", ts("1969-12-30 18:00:00")), ("b", ts("1969-12-30 20:00:00"))]
+    grid = series.densify_hours(spark.createDataFrame(data, "k string, t timestamp_ntz"), "k", "t")
+    found = rows(grid, "k", "reading_hour", "reading_count")
+    assert [r for r in found if r[0] == "b"] == [("b", ts(f"1969-12-30 {h}:00:00"), n) for h, n in ((18, 1), (19, 0), (20, 1))]
+    hours = [r for r in found if r[0] == "a"]
+    assert len(hours) == 8 and hours[0][1:] == (ts("1969-12-31 19:00:00"), 1) and hours[-1][1:] == (ts("1970-01-01 02:00:00"), 1)

@@ -130,7 +130,8 @@ def test_drift_and_audit(spark):
 
 def test_reports(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(10)] + [(99, None)], "k int, v double")
-    assert rows(reports.histogram(df, "v", 0.0, 9.0, 3), "bin", "row_count") == [(0, 3), (1, 3), (2, 4)]
+    assert rows(reports.histogram(df, "v", 0.0, 9.0, 3), "bin", "row_count") == [(0, 3), (1, 3), (2, 3), (3, 1)]
+    assert rows(reports.histogram(df, "v", 1.0, 9.0, 2), "bin", "row_count", "bin_start") == [(-1, 1, None), (0, 4, 1.0), (1, 4, 5.0), (2, 1, 9.0)]
     assert rows(reports.top_k(df, "v", 2, "k"), "k") == [(8,), (9,)]
     plan = reports.top_k(df, "v", 2, "k")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan

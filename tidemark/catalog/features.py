@@ -103,7 +103,7 @@ def days_since_last_event(t: Tables) -> DataFrame:
     "failure_in_next_7d",
     "JOI-05 WIN-04",
     f"""SELECT a.asset_id, a.d AS reading_date, CAST(EXISTS (SELECT 1 FROM events e
-        WHERE e.user_id = a.asset_id AND e.event_type = 'error' AND e.value > 100
+        WHERE e.user_id = a.asset_id AND e.event_type = 'error'
           AND CAST(e.ts AS DATE) >= a.d AND CAST(e.ts AS DATE) <= a.d + 7) AS INTEGER) AS failure_in_next_7d
     FROM ({ASSET_DAYS_SQL}) a""",
 )
@@ -119,7 +119,7 @@ def failure_in_next_7d(t: Tables) -> DataFrame:
     "JOI-07",
     f"""SELECT a.asset_id, a.d AS reading_date, COUNT(e.event_id) AS failures_last_90d
     FROM ({ASSET_DAYS_SQL}) a LEFT JOIN events e ON e.user_id = a.asset_id AND e.event_type = 'error'
-      AND e.value > 100 AND CAST(e.ts AS DATE) <= a.d AND CAST(e.ts AS DATE) >= a.d - 90
+      AND CAST(e.ts AS DATE) <= a.d AND CAST(e.ts AS DATE) >= a.d - 90
     GROUP BY 1, 2""",
 )
 def failures_last_90d(t: Tables) -> DataFrame:
@@ -188,7 +188,7 @@ def txn_risk_features_no_devices(t: Tables) -> DataFrame:
     """SELECT o_orderkey AS transaction_id, CAST(o_orderdate AS DATE) AS transaction_date,
       CASE WHEN known THEN back END AS first_chargeback_date,
       CAST(known AS INTEGER) AS label_known, DATE '2000-06-30' AS label_cutoff
-    FROM (SELECT *, o_orderkey % 33 = 0 AND back <= DATE '2000-06-30' AS known FROM (
+    FROM (SELECT *, o_orderpriority = '1-URGENT' AND back <= DATE '2000-06-30' AS known FROM (
       SELECT *, CAST(CAST(o_orderdate AS DATE) + CAST(7 + o_orderkey % 54 AS INTEGER) AS DATE) AS back FROM orders))""",
 )
 def late_labels(t: Tables) -> DataFrame:

@@ -38,7 +38,7 @@ def kpi_coverage(t: Tables) -> DataFrame:
       COUNT(*) FILTER (WHERE hit) AS chargeback_count,
       round(1000.0 * COUNT(*) FILTER (WHERE hit) / COUNT(*) FILTER (WHERE o_orderdate <= DATE '2000-06-30'), 4)
         AS chargebacks_per_1000
-    FROM (SELECT *, o_orderkey % 33 = 0
+    FROM (SELECT *, o_orderpriority = '1-URGENT'
       AND CAST(o_orderdate AS DATE) + CAST(7 + o_orderkey % 54 AS INTEGER) <= DATE '2000-06-30' AS hit FROM orders)""",
 )
 def kpi_chargeback_rate(t: Tables) -> DataFrame:
@@ -79,7 +79,7 @@ def kpi_mtbf(t: Tables) -> DataFrame:
 @query(
     "kpi_freshness",
     "KPI-05 FUN-02",
-    """SELECT event_id, date_diff('hour', date_trunc('hour', ts), TIMESTAMP '2024-01-31') AS freshness_hours
+    """SELECT event_id, date_diff('hour', date_trunc('hour', ts), TIMESTAMP '2024-01-31 06:00:00') AS freshness_hours
        FROM events""",
 )
 def kpi_freshness(t: Tables) -> DataFrame:
@@ -115,9 +115,9 @@ def category_share(t: Tables) -> DataFrame:
 @query(
     "histogram",
     "AGG-15",
-    """SELECT CAST(least(49, greatest(0, floor(o_totalprice / 10000.0))) AS INTEGER) AS bin,
+    """SELECT CAST(least(50, greatest(-1, floor(o_totalprice / 10000.0))) AS INTEGER) AS bin,
       o_orderstatus, COUNT(*) AS row_count,
-      10000.0::DOUBLE * CAST(least(49, greatest(0, floor(o_totalprice / 10000.0))) AS INTEGER) AS bin_start
+      CASE WHEN o_totalprice >= 0 THEN 10000.0::DOUBLE * CAST(least(50, floor(o_totalprice / 10000.0)) AS INTEGER) END AS bin_start
     FROM orders GROUP BY ALL""",
 )
 def histogram(t: Tables) -> DataFrame:

@@ -253,8 +253,8 @@ def customers(t: Tables) -> DataFrame:
 
 
 def bureau(t: Tables) -> DataFrame:
-    return t.customer.filter("c_custkey % 10 <> 3").selectExpr(
-        "c_custkey AS customer_id",
+    return t.customer.selectExpr(
+        "CASE WHEN c_acctbal >= 0 THEN c_custkey ELSE -c_custkey END AS customer_id",
         "CAST(300 + floor(abs(c_acctbal) / 20) AS INT) AS bureau_score",
         "CAST(c_custkey % 9 AS INT) AS num_open_accounts",
         "CAST(c_custkey % 4 AS INT) AS num_derogatory_marks",
@@ -330,15 +330,16 @@ def orders_as_payments(t: Tables) -> DataFrame:
 
 
 def chargebacks(t: Tables) -> DataFrame:
-    return t.orders.filter("o_orderkey % 33 = 0").selectExpr(
+    return t.orders.selectExpr(
         "o_orderkey AS transaction_id",
-        "date_add(CAST(o_orderdate AS DATE), CAST(7 + o_orderkey % 54 AS INT)) AS chargeback_date",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN "
+        "date_add(CAST(o_orderdate AS DATE), CAST(7 + o_orderkey % 54 AS INT)) END AS chargeback_date",
     )
 
 
 CUSTOMER_360_SQL = """
 bureau AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+  SELECT CAST(CASE WHEN c_acctbal >= 0 THEN c_custkey ELSE -c_custkey END AS VARCHAR) AS customer_id,
          CAST(300 + floor(abs(c_acctbal) / 20) AS INTEGER) AS bureau_score,
          CAST(c_custkey % 9 AS INTEGER) AS num_open_accounts,
          CAST(c_custkey % 4 AS INTEGER) AS num_derogatory_marks,
@@ -346,7 +347,7 @@ bureau AS (
          CAST(c_custkey % 50 AS DOUBLE) / 50 AS payment_history_pct,
          CAST(c_custkey % 100 AS DOUBLE) / 100 AS credit_utilization_pct,
          CAST(c_custkey % 25 AS INTEGER) AS oldest_account_years
-  FROM customer WHERE c_custkey % 10 <> 3),
+  FROM customer),
 cust360 AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, 'ST' || c_nationkey AS state,
          CAST(15 + c_custkey % 80 AS INTEGER) AS age,
@@ -446,7 +447,7 @@ def assets(t: Tables) -> DataFrame:
 
 
 def failures(t: Tables) -> DataFrame:
-    return t.events.filter("event_type = 'error' AND value > 100").selectExpr(
+    return t.events.filter("event_type = 'error'").selectExpr(
         "event_id AS failure_id",
         "user_id AS asset_id",
         "'Wear' AS failure_type",
@@ -531,7 +532,7 @@ assets AS (
   FROM customer),
 failures AS (
   SELECT CAST(user_id AS VARCHAR) AS asset_id, CAST(ts AS DATE) AS failure_date, value AS downtime_hours
-  FROM events WHERE event_type = 'error' AND value > 100),
+  FROM events WHERE event_type = 'error'),
 work AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS asset_id, CAST(ts AS DATE) AS created_date,
          CASE WHEN event_id % 9 > 0 THEN CAST(CAST(ts AS DATE) + CAST(event_id % 5 AS INTEGER) AS DATE) END
@@ -549,7 +550,7 @@ sensed AS (
   SELECT asset_id, AVG(sensor_quality_score) AS quality, AVG(round(validity, 2)) AS sensor_validity_rate,
          CAST(SUM(anomaly_count) AS BIGINT) AS total_sensor_anomalies FROM scored GROUP BY 1),
 broken AS (
-  SELECT asset_id, COUNT(*) AS failure_count_12m, SUM(CAST(downtime_hours AS DECIMAL(18, 2))) AS downtime,
+  SELECT asset_id, COUNT(*) AS failure_count_12m, SUM(CAST(downtime_hours AS DOUBLE)) AS downtime,
          MAX(failure_date) AS last_failure_date
   FROM failures WHERE failure_date >= DATE '2023-01-31' GROUP BY 1),
 served AS (

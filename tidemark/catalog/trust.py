@@ -99,14 +99,17 @@ RISK_SUITE = _suite_sql(
     [
         ("bronze_transactions_row_count", "SELECT COUNT(*) FROM events WHERE event_type = 'purchase'", 50000, ">="),
         ("bronze_customers_row_count", "SELECT COUNT(*) FROM customer", 1000, ">="),
-        ("silver_transactions_amount_positive_pct", "SELECT 100", 99, ">="),
-        ("silver_transactions_date_valid_pct", "SELECT 100", 99.9, ">="),
+        ("silver_transactions_amount_positive_pct",
+         "SELECT 100.0 * COUNT(*) FILTER (WHERE value > 0) / COUNT(*) FROM events WHERE event_type = 'purchase'", 99, ">="),
+        ("silver_transactions_date_valid_pct",
+         "SELECT 100.0 * COUNT(*) FILTER (WHERE CAST(ts AS DATE) <= DATE '2024-01-31') / COUNT(*) FROM events WHERE event_type = 'purchase'", 99.9, ">="),
         ("silver_transactions_no_future_dates", "SELECT COUNT(*) FROM tx WHERE d > DATE '2024-01-31'", 0, "<="),
         ("silver_customers_uniqueness",
          "SELECT 100.0 * (COUNT(*) - COUNT(DISTINCT c_custkey)) / COUNT(*) FROM customer", 0, "<="),
         ("silver_transactions_customer_linkage_pct",
          "SELECT 100.0 * COUNT(cust360.customer_id) / COUNT(*) FROM tx LEFT JOIN cust360 USING (customer_id)", 98, ">="),
-        ("gold_features_no_future_feature_ts", "SELECT COUNT(*) FROM features", 0, "<="),
+        ("gold_features_no_future_feature_ts",
+         "SELECT COUNT(*) FROM features WHERE TIMESTAMP '2024-01-31 06:00:00' > TIMESTAMP '2024-01-31 06:00:00' + INTERVAL 1 HOUR", 0, "<="),
         ("gold_features_bureau_score_range",
          "SELECT COUNT(*) FROM features WHERE bureau_score < 300 OR bureau_score > 850", 0, "<="),
         ("gold_features_fraud_rate_realistic",
@@ -219,11 +222,11 @@ def contract_violations(t: Tables) -> DataFrame:
       round(validity, 6) AS validity, round(completeness * freshness * validity, 6) AS feature_quality_score
     FROM (
       SELECT 'value' AS feature, 1.0::DOUBLE AS completeness,
-        COUNT(*) FILTER (WHERE ts > TIMESTAMP '2024-01-29 23:00:00') / COUNT(*) AS freshness,
+        COUNT(*) FILTER (WHERE ts > TIMESTAMP '2024-01-30 05:00:00') / COUNT(*) AS freshness,
         COUNT(*) FILTER (WHERE value >= 1 AND value <= 225) / COUNT(*) AS validity FROM events
       UNION ALL
       SELECT 'small_value', COUNT(*) FILTER (WHERE value < 100) / COUNT(*),
-        COUNT(*) FILTER (WHERE value < 100 AND ts > TIMESTAMP '2024-01-09 23:00:00') / COUNT(*) FILTER (WHERE value < 100),
+        COUNT(*) FILTER (WHERE value < 100 AND ts > TIMESTAMP '2024-01-10 05:00:00') / COUNT(*) FILTER (WHERE value < 100),
         COUNT(*) FILTER (WHERE value < 50) / COUNT(*) FILTER (WHERE value < 100) FROM events)""",
 )
 def feature_quality(t: Tables) -> DataFrame:
@@ -257,7 +260,7 @@ STALENESS = {
         WHEN event_type = 'signup' AND age_hours > 4 THEN 'Warn, degrade confidence'
         ELSE 'OK' END AS freshness_action
     FROM (SELECT event_id, event_type,
-        date_diff('hour', date_trunc('hour', ts), TIMESTAMP '2024-01-31') AS age_hours FROM events)""",
+        date_diff('hour', date_trunc('hour', ts), TIMESTAMP '2024-01-31 06:00:00') AS age_hours FROM events)""",
 )
 def freshness_tiers(t: Tables) -> DataFrame:
     aged = risk.feature_age(
@@ -293,7 +296,7 @@ def feature_gating(t: Tables) -> DataFrame:
 
 BINS_SQL = """
 bins AS (
-  SELECT CAST(greatest(0, least(9, floor(value / 25.0))) AS INTEGER) AS bin,
+  SELECT CAST(greatest(-1, least(10, floor(value / 25.0))) AS INTEGER) AS bin,
     COUNT(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS b, COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-16') AS c
   FROM events GROUP BY 1),
 shares AS (SELECT bin, b / SUM(b) OVER () AS bs, c / SUM(c) OVER () AS cs FROM bins),
@@ -458,7 +461,7 @@ POLICY = {
 @query(
     "masked_customers",
     "GOV-01 FUN-08",
-    """SELECT 'C' || substr(sha256('s1' || c_custkey), 1, 16) AS c_custkey,
+    """SELECT 'C' || sha256('s1' || c_custkey) AS c_custkey,
       repeat('*', length(c_name) - 4) || right(c_name, 4) AS c_name, c_nationkey,
       sha256('s2' || c_mktsegment) AS c_mktsegment FROM customer""",
 )

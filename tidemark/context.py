@@ -19,12 +19,19 @@ class RunContext:
     as_of: date
     batch_id: str = "19700101_000000"
     load_ts: datetime = datetime(1970, 1, 1)
+    as_of_ts: datetime | None = None
 
     @classmethod
-    def of(cls, as_of: str, load_ts: str | None = None) -> RunContext:
+    def of(cls, as_of: str, load_ts: str | None = None, as_of_ts: str | None = None) -> RunContext:
         day = date.fromisoformat(as_of)
         loaded = datetime.fromisoformat(load_ts) if load_ts else datetime.combine(day, time())
-        return cls(day, loaded.strftime("%Y%m%d_%H%M%S"), loaded)
+        clock = datetime.fromisoformat(as_of_ts) if as_of_ts else None
+        return cls(day, loaded.strftime("%Y%m%d_%H%M%S"), loaded, clock)
+
+    @property
+    def clock(self) -> datetime:
+        """The moment that counts as now: given, else the load time, but never before ``as_of``."""
+        return self.as_of_ts or max(self.load_ts, datetime.combine(self.as_of, time()))
 
     @property
     def today(self) -> Column:
@@ -32,8 +39,8 @@ class RunContext:
 
     @property
     def now(self) -> Column:
-        """Midnight at the start of ``as_of``, without a zone."""
-        return F.lit(f"{self.as_of.isoformat()} 00:00:00").cast("timestamp_ntz")
+        """The clock of the run, without a zone."""
+        return F.lit(self.clock.isoformat(sep=" ")).cast("timestamp_ntz")
 
     @property
     def loaded(self) -> Column:

@@ -9,9 +9,9 @@ def salted_hash(value: Column, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), value.cast("string")), 256)
 
 
-def pseudonym(value: Column, salt: str, prefix: str = "P", length: int = 16) -> Column:
+def pseudonym(value: Column, salt: str, prefix: str = "P") -> Column:
     """A stable stand-in id: equal inputs stay joinable, the input cannot be read back."""
-    return F.concat(F.lit(prefix), F.substring(salted_hash(value, salt), 1, length))
+    return F.concat(F.lit(prefix), salted_hash(value, salt))
 
 
 def keep_tail(value: Column, visible: int = 4, filler: str = "*") -> Column:

@@ -41,8 +41,8 @@ def rate(part: Column, whole: Column, scale: float = 100.0, digits: int | None =
 
 
 def money_sum(value: Column) -> Column:
-    """Sum of two-digit amounts that does not depend on the order of the rows."""
-    return F.sum(value.cast("decimal(18,2)")).cast("double")
+    """Sum of amounts, to a millionth each, that does not depend on the order of the rows."""
+    return F.sum(value.cast("decimal(28,6)")).cast("double")
 
 
 def mean_of_flags(value: Column) -> Column:

@@ -8,12 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Mark a lookup for broadcast after counting that it is small; else leave the join to
-    Spark, which shuffles and splits hot keys."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def require(df: DataFrame, *keys: str) -> DataFrame:
     """Drop rows in which any part of the key is missing."""
     return df.dropna(subset=list(keys))

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.context import RunContext
 from tidemark.operators.aggregates import exact_median
-from tidemark.operators.keyed import broadcast_if_small
 from tidemark.operators.ranking import hash_rank
 
 
@@ -73,7 +72,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     weights = class_weights(df, label).select(label, "class_weight")
-    return df.join(broadcast_if_small(weights), label)
+    return df.join(weights, label)
 
 
 def resample_balanced(df: DataFrame, identifier: str, label: str) -> DataFrame:
@@ -84,7 +83,7 @@ def resample_balanced(df: DataFrame, identifier: str, label: str) -> DataFrame:
     """
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     target = sizes.withColumn("_max", F.max("_n").over(Window.partitionBy(F.lit(0))))
-    ranked = hash_rank(df, identifier, [label]).join(broadcast_if_small(target), label)
+    ranked = hash_rank(df, identifier, [label]).join(target, label)
     extra = F.when(F.col("hash_rank") <= F.col("_max") % F.col("_n"), 1).otherwise(0)
     copies = F.floor(F.col("_max") / F.col("_n")).cast("int") + extra
     return ranked.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(

@@ -10,9 +10,15 @@ from tidemark.functions.scoring import rate
 
 
 def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column:
-    """0-based bin of a value; values outside the range go to the first or last bin."""
+    """0-based bin of a value; -1 holds all values below the range, ``bins`` all from its end on."""
     position = F.floor((value - low) / ((high - low) / bins))
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), position)).cast("int")
+    return F.greatest(F.lit(-1), F.least(F.lit(bins), position)).cast("int")
+
+
+def with_total(rows: DataFrame, total: DataFrame) -> DataFrame:
+    """``rows`` with the columns of a one-row table, by an equi-join that broadcasts the one row."""
+    one = F.broadcast(total.withColumn("_one", F.lit(1)))
+    return rows.withColumn("_one", F.lit(1)).join(one, "_one", "left").drop("_one")
 
 
 def drift_by_bin(
@@ -128,11 +134,11 @@ def group_rate_audit(df: DataFrame, group: str, label: str) -> DataFrame:
     counts = df.groupBy(group).agg(
         F.count("*").alias("group_size"), F.sum(F.col(label).cast("int")).alias("positives")
     )
-    everything = Window.partitionBy(F.lit(0))
-    overall = rate(
-        F.sum("positives").over(everything), F.sum("group_size").over(everything), digits=None
+    total = df.agg(
+        F.count("*").alias("_size"), F.sum(F.col(label).cast("int")).alias("_positives")
     )
-    return counts.select(
+    overall = rate(F.col("_positives"), F.col("_size"), digits=None)
+    return with_total(counts, total).select(
         group,
         "group_size",
         "positives",

@@ -21,6 +21,7 @@ def pit_rolling(
     short_days: int = 7,
     strict: bool = False,
     never: int = NEVER,
+    scale: int = 6,
 ) -> DataFrame:
     """``df`` plus features of the other events of the same key in the last ``days`` days.
 
@@ -32,12 +33,15 @@ def pit_rolling(
     No events are paired. Events are reduced to days with map-side aggregation, windows run
     over days (bounded by the calendar, not by the size of a key), and an event's own share
     is taken out afterwards: its count, its amount, the largest amount if it holds it, and
-    its category if nothing else in the window has it. Amounts are summed as whole hundredths
-    so taking one out is exact.
+    its category if nothing else in the window has it. Amounts are summed as whole numbers of
+    their last digit, so taking one out is exact; an amount with more than ``scale`` digits
+    stops the job, it is never rounded.
     """
-    events = df.withColumn("_day", day_number(day)).withColumn(
-        "_amount", F.round(F.col(amount) * 100).cast("long")
-    )
+    units = 10**scale
+    whole = F.round(F.col(amount) * units).cast("long")
+    finer = F.raise_error(F.lit(f"{amount} has more than {scale} digits after the point"))
+    exact = F.when(F.col(amount).isNull() | (whole / units == F.col(amount)), whole).otherwise(finer)
+    events = df.withColumn("_day", day_number(day)).withColumn("_amount", exact)
     mark = F.coalesce(F.col(label).cast("int"), F.lit(0))
     usable = events.dropna(subset=[key, "_day"])
     ends = -1 if strict else 0
@@ -153,11 +157,11 @@ def pit_rolling(
     return joined.select(
         *[F.col(f"e.{c}").alias(c) for c in df.columns],
         count(F.col("_n") - own).alias("tx_count"),
-        F.coalesce(F.try_divide(total / 100.0, amounts.cast("double")), F.lit(0.0)).alias(
+        F.coalesce(F.try_divide(total / float(units), amounts.cast("double")), F.lit(0.0)).alias(
             "avg_amount"
         ),
-        F.coalesce(largest_other / 100.0, F.lit(0.0)).alias("max_amount"),
-        (total / 100.0).alias("total_amount"),
+        F.coalesce(largest_other / float(units), F.lit(0.0)).alias("max_amount"),
+        (total / float(units)).alias("total_amount"),
         count(F.col("_short") - own).alias("short_tx_count"),
         F.when(same_day, 0)
         .otherwise(F.coalesce(F.col("e._day") - F.col("_previous_day"), F.lit(never)))

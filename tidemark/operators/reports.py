@@ -5,21 +5,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.monitor import equal_width_bin
+from tidemark.operators.monitor import equal_width_bin, with_total
 
 
 def category_share(df: DataFrame, category: str) -> DataFrame:
     counts = df.groupBy(category).agg(F.count("*").alias("row_count"))
-    total = F.sum("row_count").over(Window.partitionBy(F.lit(0)))
-    return counts.withColumn("share_pct", F.round(F.col("row_count") * 100.0 / total, 4))
+    total = df.agg(F.count("*").alias("total"))
+    share = F.round(F.col("row_count") * 100.0 / F.col("total"), 4)
+    return with_total(counts, total).withColumn("share_pct", share).drop("total")
 
 
 def histogram(
     df: DataFrame, value: str, low: float, high: float, bins: int, split: str | None = None
 ) -> DataFrame:
-    """Counts per equal-width bin, optionally per class. NULL values are left out."""
+    """Counts per equal-width bin, optionally per class. NULL values are left out.
+
+    Values below the range are in bin -1, which has no start, those from its end on in bin ``bins``.
+    """
     keys = [equal_width_bin(F.col(value), low, high, bins).alias("bin")]
     keys += [F.col(split)] if split else []
     width = (high - low) / bins
@@ -27,7 +31,7 @@ def histogram(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys)
         .agg(F.count("*").alias("row_count"))
-        .withColumn("bin_start", F.lit(low) + F.col("bin") * F.lit(width))
+        .withColumn("bin_start", F.when(F.col("bin") >= 0, F.lit(low) + F.col("bin") * F.lit(width)))
     )
 
 

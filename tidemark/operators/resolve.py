@@ -120,7 +120,7 @@ def star_links(texts: DataFrame, max_distance: int) -> DataFrame:
     )
 
 
-def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable from each node.
 
     Alternating large-star and small-star rounds, which need about log(size) rounds. Each
@@ -131,15 +131,12 @@ def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 50) -> Data
     shared_root(spark)
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = edges.filter("a <> b").checkpoint()
-    for _ in range(max_rounds):
+    changed = 1
+    while changed:
         large = _star(edges, larger_only=True)
         small = _star(large, larger_only=False).checkpoint()
         changed = edges.exceptAll(small).limit(1).count() + small.exceptAll(edges).limit(1).count()
         edges = small
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.join(roots, "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")

@@ -92,14 +92,14 @@ def densify_hours(df: DataFrame, key: str, ts: str) -> DataFrame:
         .groupBy(key, hour_number(ts).alias("_hour"))
         .agg(F.count("*").alias("_n"))
     )
-    daily = hourly.groupBy(key, F.expr("_hour div 24").alias("_date")).agg(
+    daily = hourly.groupBy(key, F.expr("(_hour - pmod(_hour, 24)) div 24").alias("_date")).agg(
         F.map_from_entries(F.collect_list(F.struct("_hour", "_n"))).alias("_counts"),
         F.min("_hour").alias("_lo"),
         F.max("_hour").alias("_hi"),
     )
     span = daily.groupBy(key).agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     days = span.select(
-        key, "_lo", "_hi", F.explode(F.expr("sequence(_lo div 24, _hi div 24)")).alias("_date")
+        key, "_lo", "_hi", F.explode(F.expr("sequence((_lo - pmod(_lo, 24)) div 24, (_hi - pmod(_hi, 24)) div 24)")).alias("_date")
     )
     # A few sensors can unfold into many days: spread those before unfolding the hours.
     days = days.repartition(key, "_date")

@@ -261,7 +261,7 @@ def asset_health(
         .groupBy("asset_id")
         .agg(
             F.count("*").alias("failure_count_12m"),
-            money_sum(F.col("downtime_hours")).alias("total_downtime_hours_12m"),
+            F.sum(F.col("downtime_hours").cast("double")).alias("total_downtime_hours_12m"),
             F.max("failure_date").alias("last_failure_date"),
         )
     )
@@ -434,7 +434,7 @@ def anomalies_per_day(readings: DataFrame) -> DataFrame:
 
 def checks(run: RunContext) -> tuple[Check, ...]:
     sensors, features = "silver_sensors_clean", "gold_failure_prediction_features"
-    now = f"timestamp_ntz'{run.as_of.isoformat()} 00:00:00'"
+    now = f"timestamp_ntz'{run.clock.isoformat(sep=' ')}'"
     return (
         flag_pct("sensor_timestamp_not_future_pct", sensors, "dq_timestamp_not_future", 99.0),
         flag_pct("sensor_timestamp_not_ancient_pct", sensors, "dq_timestamp_not_ancient", 99.0),

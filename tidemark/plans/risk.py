@@ -304,7 +304,7 @@ def feature_age(features: DataFrame, run: RunContext) -> DataFrame:
 
 
 def checks(run: RunContext) -> tuple[Check, ...]:
-    now = f"timestamp_ntz'{run.as_of.isoformat()} 00:00:00'"
+    now = f"timestamp_ntz'{run.clock.isoformat(sep=' ')}'"
     features = "gold_transaction_risk_features"
     return (
         row_count("bronze_transactions_row_count", "bronze_transactions", 50000),

@@ -41,11 +41,16 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or a new one if unset."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Only where driver and executors are one machine (``local``) is a new temporary one taken.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
