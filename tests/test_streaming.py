@@ -43,3 +43,37 @@ def test_validation_drops_repeats_and_wrong_clocks(spark, tmp_path):
     )
     got = spark.read.schema(hourly.schema).parquet(target)
     assert rows(got) == [("s", ts("2024-01-01 00:00:00"), 3, 2, 1, 1)]
+
+
+def test_a_table_streams_as_file_and_as_folder(spark, sf_dir, tmp_path):
+    whole = spark.read.parquet(f"{sf_dir}/events.parquet")
+    whole.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name, folder in (("file", sf_dir), ("folder", str(tmp_path))):
+        stream = jobs.table_stream(spark, f"{folder}/events.parquet", whole.schema)
+        out = str(tmp_path / name)
+        jobs.ingest_stream(stream, RUN, "events.parquet", out, f"{out}-cp").awaitTermination()
+        assert spark.read.parquet(out).count() == whole.count()
+
+
+def test_limits_per_sensor_and_refused_readings(spark, tmp_path):
+    source = str(tmp_path / "in")
+    put(spark, source, 1, [
+        (1, "a", ts("2024-01-01 00:10:00"), 50.0), (2, "b", ts("2024-01-01 00:20:00"), 50.0),
+        (3, "c", ts("2024-01-01 00:20:00"), 50.0), (4, "a", ts("2030-01-01 00:00:00"), 50.0),
+        (5, "a", ts("1999-01-01 00:00:00"), 50.0), (6, "a", ts("2024-01-01 09:00:00"), 50.0),
+    ])
+    limits = spark.createDataFrame([("a", 0, 100, 10, 90), ("b", 0, 40, 10, 30)], "sensor string, low int, high int, normal_low int, normal_high int")
+
+    def run(df, name):
+        out = str(tmp_path / name)
+        (
+            df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{out}-cp")
+            .trigger(availableNow=True).start(out).awaitTermination()
+        )
+        return spark.read.schema(df.schema).parquet(out)
+
+    hourly = jobs.validate_stream(jobs.read_stream(spark, f"{source}/*", SCHEMA), RUN, "id", "sensor", "t", "v", limits)
+    got = run(hourly, "hours")
+    assert rows(got, "sensor", "reading_count", "valid_count", "outlier_count") == [("a", 1, 1, 0), ("b", 1, 0, 1), ("c", 1, 0, 0)]
+    refused = jobs.refused_readings(jobs.read_stream(spark, f"{source}/*", SCHEMA), RUN, "t")
+    assert rows(run(refused, "refused"), "id", "reason") == [(4, "future"), (5, "ancient")]

@@ -284,9 +284,7 @@ def rf_cv(t: Tables) -> DataFrame:
 )
 def stream_bronze(t: Tables) -> DataFrame:
     root = work_dir(t.spark, "stream-bronze")
-    stream = jobs.read_stream(
-        t.spark, t.folder, t.events.schema, name_filter="events.parquet"
-    )
+    stream = jobs.table_stream(t.spark, t.path("events"), t.events.schema)
     jobs.ingest_stream(
         stream, EVENTS_RUN, "sensor_events.parquet", f"{root}/bronze", f"{root}/checkpoint"
     ).awaitTermination()
@@ -305,9 +303,7 @@ def stream_bronze(t: Tables) -> DataFrame:
 def stream_validated(t: Tables) -> DataFrame:
     """Hours the watermark (2 hours behind the newest reading) has closed."""
     root = work_dir(t.spark, "stream-validated")
-    stream = jobs.read_stream(
-        t.spark, t.folder, t.events.schema, name_filter="events.parquet"
-    )
+    stream = jobs.table_stream(t.spark, t.path("events"), t.events.schema)
     hourly = jobs.validate_stream(
         stream, EVENTS_RUN, "event_id", "user_id", "ts", "value", s.LIMITS
     )

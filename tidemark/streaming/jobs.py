@@ -31,6 +31,13 @@ def read_stream(
     return reader.load(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema: StructType | str, **options: str) -> DataFrame:
+    """A table as a stream of its files, be it one file or a folder of parts."""
+    # As a pattern the path matches itself either way; a plain path has to be a folder.
+    head, last = path.rstrip("/")[:-1], path.rstrip("/")[-1]
+    return read_stream(spark, f"{head}[{last}]", schema, **options)
+
+
 def ingest_stream(
     stream: DataFrame,
     run: RunContext,
@@ -54,6 +61,25 @@ def ingest_stream(
     return writer.start(target)
 
 
+LIMITS = ("low", "high", "normal_low", "normal_high")
+
+
+def refused_readings(
+    stream: DataFrame,
+    run: RunContext,
+    ts: str,
+    floor: date = date(2022, 1, 1),
+    future_tolerance_hours: int = 1,
+) -> DataFrame:
+    """The readings that ``validate_stream`` refuses, with the reason; a sink of their own."""
+    checks = ts_quality(F.col(ts), run, floor, future_tolerance_hours)
+    reason = F.when(F.col("dq_timestamp_not_future") != 1, "future").otherwise("ancient")
+    refused = stream.withColumns(checks).filter(
+        "dq_timestamp_not_future <> 1 OR dq_timestamp_not_ancient <> 1"
+    )
+    return refused.withColumn("reason", reason).select(*stream.columns, "reason")
+
+
 def validate_stream(
     stream: DataFrame,
     run: RunContext,
@@ -61,7 +87,7 @@ def validate_stream(
     sensor: str,
     ts: str,
     value: str,
-    limits: tuple[float, float, float, float],
+    limits: tuple[float, float, float, float] | DataFrame,
     watermark: str = "2 hours",
     floor: date = date(2022, 1, 1),
     future_tolerance_hours: int = 1,
@@ -71,9 +97,18 @@ def validate_stream(
     Readings beyond the future tolerance are refused before the watermark sees them, since one
     wrong clock would otherwise move it past every honest reading. Repeats of a reading id
     inside the watermark are dropped; an hour is final when the watermark has passed it.
+
+    ``limits`` (low, high, normal low, normal high) hold for all sensors, or come as a table with
+    a row per sensor: ``sensor, low, high, normal_low, normal_high``. A sensor without limits has
+    none of its readings in range.
     """
     checks = ts_quality(F.col(ts), run, floor, future_tolerance_hours)
-    low, high, normal_low, normal_high = (F.lit(float(v)) for v in limits)
+    if isinstance(limits, DataFrame):
+        own = limits.select(F.col(sensor), *[F.col(n).cast("double").alias(f"_{n}") for n in LIMITS])
+        stream = stream.join(own, sensor, "left")
+        low, high, normal_low, normal_high = (F.col(f"_{n}") for n in LIMITS)
+    else:
+        low, high, normal_low, normal_high = (F.lit(float(v)) for v in limits)
     flags = classify_reading(F.col(value), low, high, normal_low, normal_high)
     accepted = (
         stream.withColumns({**checks, **flags})
