@@ -35,8 +35,19 @@ def test_weights_resampling_and_small_classes(spark):
         ("a", 0.4762), ("b", 1.6667), ("c", 3.3333),
     ]
     again = learning.resample_balanced(df, "id", "y")
-    assert rows(again.groupBy("y").count()) == [("a", 7), ("b", 7), ("c", 7)]
-    assert again.select("id").distinct().count() == 10
+    assert rows(again.groupBy("y").agg(F.sum("copies"))) == [("a", 7), ("b", 7), ("c", 7)]
+    assert again.count() == 10
+    assert rows(learning.class_weights(again, "y", "copies"), "y", F.round("class_weight", 4)) == [
+        ("a", 1.0), ("b", 1.0), ("c", 1.0),
+    ]
+    rare = spark.range(100_000).selectExpr("id", "id = 7 AS y")
+    assert learning.resample_balanced(rare, "id", "y").filter("y").first().copies == 99_999
+
+
+def test_curve_areas(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.8, 1), (0.1, 0), (None, 1)], "s double, y int")
+    got = learning.curve_areas(df, "y", "s").first()
+    assert got.auc_roc == 0.875 and round(got.auc_pr, 6) == round((1 + 2 / 3) / 2, 6)
 
 
 def test_imputation_uses_training_rows_only(spark):

@@ -76,7 +76,7 @@ def bronze_daily_partitions(t: Tables) -> DataFrame:
 
 @query(
     "report_json_roundtrip",
-    "SRC-05 SRC-06",
+    "SRC-05",
     """SELECT o_orderstatus AS status, COUNT(*) AS order_count,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM orders GROUP BY 1""",
 )

@@ -12,6 +12,7 @@ from tidemark.operators import learning
 from tidemark.operators.learning import ForestSpec
 from tidemark.plans import asset, provider, risk
 from tidemark.session import work_dir
+from tidemark.sources.bronze import write_table
 from tidemark.streaming import jobs
 
 # Trees, depth and smallest leaf of the three models.
@@ -98,8 +99,8 @@ def class_weights(t: Tables) -> DataFrame:
         row_number() OVER (PARTITION BY value > 100 ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) AS place,
         COUNT(*) OVER (PARTITION BY value > 100) AS n FROM events),
       wanted AS (SELECT *, (SELECT MAX(n) FROM sized) AS most FROM sized)
-    SELECT event_id, is_high, CAST(unnest(generate_series(1,
-      CAST(most // n + CASE WHEN place <= most % n THEN 1 ELSE 0 END AS BIGINT))) AS INTEGER) AS copy FROM wanted""",
+    SELECT event_id, is_high, CAST(most // n + CASE WHEN place <= most % n THEN 1 ELSE 0 END AS BIGINT) AS copies
+    FROM wanted""",
 )
 def ml_resampled(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", (F.col("value") > 100).alias("is_high"))
@@ -157,6 +158,40 @@ def ml_overall_report(t: Tables) -> DataFrame:
     return learning.overall_report(_matrix(t))
 
 
+@query(
+    "ml_curve_areas",
+    "ML-07",
+    """WITH scores AS (SELECT round(value / 250, 4) AS s, CAST(event_type = 'purchase' AS INTEGER) AS y FROM events),
+    steps AS (SELECT s, SUM(y) AS p, COUNT(*) - SUM(y) AS n FROM scores GROUP BY s),
+    sums AS (SELECT *, SUM(p) OVER (ORDER BY s DESC) AS tp, SUM(n) OVER (ORDER BY s DESC) AS fp FROM steps)
+    SELECT round(SUM(n * (tp - p / 2.0)) / (SUM(p) * SUM(n)), 9) AS auc_roc,
+      round(SUM(p * CAST(tp AS DOUBLE) / (tp + fp)) / SUM(p), 9) AS auc_pr FROM sums""",
+)
+def ml_curve_areas(t: Tables) -> DataFrame:
+    rows = t.events.select(
+        (F.col("value") / 250).alias("score"), (F.col("event_type") == "purchase").alias("bought")
+    )
+    return p.rounded(learning.curve_areas(rows, "bought", "score"), 9, "auc_roc", "auc_pr")
+
+
+@query(
+    "ml_predictions_sink",
+    "SRC-06",
+    """SELECT event_id, CASE WHEN value > 200 THEN 'A' WHEN value > 100 THEN 'B' ELSE 'C' END AS predicted,
+      round(least(1, value / 250), 4) AS confidence, 'v1.0' AS model_version FROM events""",
+)
+def ml_predictions_sink(t: Tables) -> DataFrame:
+    """Scored rows written to the predictions table and read back as a caller would."""
+    value = F.col("value")
+    scored = t.events.select(
+        "event_id", F.when(value > 200, "A").when(value > 100, "B").otherwise("C").alias("predicted"),
+        F.round(F.least(F.lit(1.0), value / 250), 4).alias("confidence"),
+        F.lit("v1.0").alias("model_version"),
+    )
+    root = work_dir(t.spark, "predictions")
+    return t.spark.read.parquet(write_table(scored, root, "gold", "hcp_predictions"))
+
+
 # Models. Fitting runs jobs while the query is built; results have no SQL twin. The frames are
 # written once because a forest reads its input many times.
 
@@ -194,7 +229,7 @@ def _train(frame: DataFrame) -> DataFrame:
     return frame.filter("split = 'train'")
 
 
-@query("rf_targeting_scores", "ML-04 ML-05 SRC-06")
+@query("rf_targeting_scores", "ML-04 ML-05")
 def rf_targeting_scores(t: Tables) -> DataFrame:
     frame = _targeting_frame(t)
     model = learning.fit_forest(_train(frame), TARGETING)

@@ -61,34 +61,40 @@ def split_by_time(df: DataFrame, day: str, cutoff: str) -> DataFrame:
     return df.withColumn("split", F.when(after, "test").otherwise("train"))
 
 
-def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """(label, class_count, class_weight) with weight n / (classes * class count)."""
-    counts = df.groupBy(label).agg(F.count("*").alias("class_count"))
+def class_weights(df: DataFrame, label: str, copies: str | None = None) -> DataFrame:
+    """(label, class_count, class_weight) with weight n / (classes * class count).
+
+    ``copies`` names a column that says how many times a row counts.
+    """
+    size = F.count("*") if copies is None else F.sum(copies)
+    counts = df.groupBy(label).agg(size.alias("class_count"))
     everything = Window.partitionBy(F.lit(0))
     total = F.sum("class_count").over(everything)
     classes = F.count("*").over(everything)
     return counts.withColumn("class_weight", total / (classes * F.col("class_count")))
 
 
-def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    weights = class_weights(df, label).select(label, "class_weight")
-    return df.join(weights, label)
+def with_class_weight(df: DataFrame, label: str, copies: str | None = None) -> DataFrame:
+    weights = class_weights(df, label, copies).select(label, "class_weight")
+    weighed = df.join(weights, label)
+    if copies is None:
+        return weighed
+    return weighed.withColumn("class_weight", F.col("class_weight") * F.col(copies))
 
 
 def resample_balanced(df: DataFrame, identifier: str, label: str) -> DataFrame:
-    """Repeat rows of the smaller classes until every class has the size of the largest.
+    """Weigh rows of the smaller classes until every class weighs as much as the largest.
 
-    Row r of a class with c rows appears floor(m / c) times, once more for the first m mod c
-    rows in md5 order; ``copy`` numbers the repeats. No rows are dropped or made up.
+    Row r of a class with c rows gets ``copies`` floor(m / c), one more for the first m mod c
+    rows in md5 order: the table that repeats would give, without the repeats. No rows are
+    dropped or made up, and the table does not grow with the imbalance.
     """
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     target = sizes.withColumn("_max", F.max("_n").over(Window.partitionBy(F.lit(0))))
     ranked = hash_rank(df, identifier, [label]).join(target, label)
     extra = F.when(F.col("hash_rank") <= F.col("_max") % F.col("_n"), 1).otherwise(0)
-    copies = F.floor(F.col("_max") / F.col("_n")).cast("int") + extra
-    return ranked.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(
-        *df.columns, "copy"
-    )
+    copies = F.expr("_max div _n") + extra
+    return ranked.withColumn("copies", copies.cast("long")).select(*df.columns, "copies")
 
 
 @dataclass(frozen=True)
@@ -132,8 +138,9 @@ def forest_pipeline(spec: ForestSpec) -> Pipeline:
 
 def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
     """Fit on class-balanced weights. ``train`` needs the label as text if classes are named,
-    else as a number."""
-    return forest_pipeline(spec).fit(with_class_weight(train, spec.label))
+    else as a number; its column ``copies``, if it has one, says how often a row counts."""
+    copies = "copies" if "copies" in train.columns else None
+    return forest_pipeline(spec).fit(with_class_weight(train, spec.label, copies))
 
 
 def score_rows(
@@ -224,6 +231,31 @@ def binary_areas(scored: DataFrame, label: str, probability: str) -> dict[str, f
     return {"auc_roc": area("areaUnderROC"), "auc_pr": area("areaUnderPR")}
 
 
+def curve_areas(scored: DataFrame, label: str, score: str, digits: int = 4) -> DataFrame:
+    """One row: the exact areas under the ROC curve and the precision-recall steps.
+
+    Rows are first counted per score, rounded to ``digits``; a score between 0 and 1 then has at
+    most 10^digits + 1 values, over which the running sums go. Ties count as half in ``auc_roc``;
+    ``auc_pr`` is the average precision. NULL labels and scores are left out.
+    """
+    counts = (
+        scored.select(F.round(F.col(score).cast("double"), digits).alias("s"), F.col(label).cast("int").alias("y"))
+        .dropna()
+        .groupBy("s")
+        .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
+    )
+    above = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    steps = counts.select(
+        "p", "n", F.sum("p").over(above).alias("tp"), F.sum("n").over(above).alias("fp")
+    )
+    whole = [F.sum("p").cast("double"), F.sum("n").cast("double")]
+    won = F.sum(F.col("n") * (F.col("tp") - F.col("p") / 2))
+    precise = F.sum(F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    return steps.agg(
+        F.try_divide(won, whole[0] * whole[1]).alias("auc_roc"), F.try_divide(precise, whole[0]).alias("auc_pr")
+    )
+
+
 def cross_validate(
     train: DataFrame, spec: ForestSpec, identifier: str, folds: int = 5
 ) -> tuple[float, float]:
