@@ -80,16 +80,15 @@ class ByteBpe:
 
     @cached_property
     def encoder(self) -> MatchEncoder:
-        return MatchEncoder(self.pattern, self.encode_matches)
+        return MatchEncoder(self.pattern, self.encode_match)
 
-    def encode_matches(self, matches: list[str]) -> list[list[int]]:
-        """A match that is an entry of the vocabulary is its id, the others are merged."""
-        whole = [self.whole.get(m.encode()) for m in matches]
-        merged = iter(self.model.encode([spelled(m) for m, i in zip(matches, whole) if i is None], num_threads=1))
-        return [next(merged) if i is None else [i] for i in whole]
+    def encode_match(self, match: str) -> list[int]:
+        """A match that is an entry of the vocabulary is its id, others are merged."""
+        whole = self.whole.get(match.encode())
+        return self.model.EncodeAsIds(spelled(match)) if whole is None else [whole]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.encoder(texts)
+        return [self.encoder(text) for text in texts]
 
     def decode(self, ids: list[int] | np.ndarray) -> bytes:
         entries = self.entries

@@ -46,26 +46,35 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return lambda text: split(text) if high(text) else split_low(text)
 
 
+class Known(dict):
+    """Match -> its ids as native 32-bit integers; what is not known is encoded when asked for.
+
+    At ``limit`` matches the older half of what is known makes room: the full table is kept as the
+    former one, and what is still in use moves back from there.
+    """
+
+    def __init__(self, encode_match: Callable[[str], list[int]], limit: int):
+        super().__init__()
+        self.encode_match, self.limit, self.former = encode_match, limit, {}
+
+    def __missing__(self, match: str) -> bytes:
+        ids = self.former.get(match)
+        if ids is None:
+            ids = array("I", self.encode_match(match)).tobytes()
+        if len(self) >= self.limit:
+            self.former = dict(self)
+            self.clear()
+        self[match] = ids
+        return ids
+
+
 class MatchEncoder:
-    """``encode_matches`` gives the ids of each match of the pattern, each for itself."""
+    """``encode_match`` gives the ids of one match of the pattern."""
 
-    def __init__(self, pattern: str, encode_matches: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, pattern: str, encode_match: Callable[[str], list[int]], limit: int = MATCHES):
         self.split = splitter(pattern)
-        self.encode_matches = encode_matches
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as native 32-bit integers, joined.
-
-        What is remembered never exceeds the limit plus what the texts at hand need.
-        """
-        rows = [self.split(text) for text in texts]
-        needed = set().union(*rows)
-        missing = needed - self.known.keys()
-        if len(self.known) + len(missing) > MATCHES:
-            self.known, missing = {}, needed
-        new = list(missing)
-        for match, ids in zip(new, self.encode_matches(new) if new else [], strict=True):
-            self.known[match] = array("I", ids).tobytes()
-        look_up = self.known.__getitem__
-        return [b"".join(map(look_up, row)) for row in rows]
+        self.known = Known(encode_match, limit)
+
+    def __call__(self, text: str) -> bytes:
+        """The ids of a text as native 32-bit integers, joined."""
+        return b"".join(map(self.known.__getitem__, self.split(text)))

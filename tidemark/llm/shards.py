@@ -97,7 +97,7 @@ class Tokens:
         if not plain:
             raise ValueError("a byte-level BPE tokenizer without a normaliser is needed")
         self.encode = MatchEncoder(
-            SPLIT, lambda matches: [[t.id for t in model.tokenize(spelled(m))] for m in matches]
+            SPLIT, lambda match: [t.id for t in model.tokenize(spelled(match))]
         )
 
     @staticmethod
@@ -183,8 +183,8 @@ def write_shards(
             keys, encoded, held = [], [], 0
             return pa.RecordBatch.from_pylist([row], SHARD)
 
-        for ids, texts in rows_of(batches, 128):
-            for key, ids_of in zip(ids.to_pylist(), coder.encode(texts), strict=True):
+        for ids, texts in rows_of(batches):
+            for key, ids_of in zip(ids.to_pylist(), map(coder.encode, texts), strict=True):
                 keys.append(key)
                 encoded.append(ids_of + end)
                 held += len(ids_of) // 4 + 1
