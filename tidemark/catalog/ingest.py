@@ -107,7 +107,7 @@ def table_stats(t: Tables) -> DataFrame:
 
 @query(
     "readings_classified",
-    "SIL-10 SIL-12 SIL-13 SIL-14 SIL-15 V-06",
+    "FUN-04 SIL-10 SIL-12 SIL-13 SIL-14 SIL-15 V-06",
     """WITH """ + s.READINGS_SQL + """
     SELECT reading_id, sensor_id, asset_id, sensor_type, ts AS reading_timestamp, reading_hour,
       value AS reading_value, not_future AS dq_timestamp_not_future,

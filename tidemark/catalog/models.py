@@ -192,6 +192,88 @@ def ml_predictions_sink(t: Tables) -> DataFrame:
     return t.spark.read.parquet(write_table(scored, root, "gold", "hcp_predictions"))
 
 
+@query(
+    "ml_folds",
+    "ML-06 ML-10",
+    """SELECT event_id, event_type, CAST((row_number() OVER (PARTITION BY event_type
+      ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) - 1) % 5 AS INTEGER) AS fold FROM events""",
+)
+def ml_folds(t: Tables) -> DataFrame:
+    dealt = learning.deal_folds(t.events.select("event_id", "event_type"), "event_id", "event_type")
+    return dealt.select("event_id", "event_type", F.col("_fold").alias("fold"))
+
+
+@query(
+    "ml_permuted",
+    "ML-11",
+    """WITH ranked AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) AS r,
+      COUNT(*) OVER () AS n FROM events),
+    paired AS (SELECT a.event_id, a.event_type, a.value, a.user_id, b.value AS v, b.user_id AS u
+      FROM ranked a JOIN ranked b ON a.r = b.r % b.n + 1)
+    SELECT event_id, event_type, 'none' AS changed, value, user_id FROM paired
+    UNION ALL SELECT event_id, event_type, 'value', v, user_id FROM paired
+    UNION ALL SELECT event_id, event_type, 'user_id', value, u FROM paired""",
+)
+def ml_permuted(t: Tables) -> DataFrame:
+    rows = t.events.select("event_id", "event_type", "value", "user_id")
+    found = learning.permuted_rows(rows, ["value", "user_id"], "event_type", "event_id")
+    return found.withColumnRenamed("_changed", "changed")
+
+
+# Weights that stand for a fitted model's where its output is checked.
+FIXED_WEIGHTS = {"value": 0.75, "user_id": 0.2, "event_id": 0.05}
+
+
+@query(
+    "ml_importance_rows",
+    "ML-08",
+    """SELECT * FROM (VALUES ('value', 0.75::DOUBLE, CAST(1 AS INTEGER)), ('user_id', 0.2, 2))
+      AS v(feature, importance, rank) WHERE (SELECT COUNT(*) FROM events) > 0""",
+)
+def ml_importance_rows(t: Tables) -> DataFrame:
+    return learning.importance_table(t.events, FIXED_WEIGHTS, top=2)
+
+
+@query(
+    "ml_audit_rows",
+    "ML-09",
+    """SELECT event_id, value AS first_value, 'value' AS first_feature, 0.75::DOUBLE AS first_weight,
+      CAST(user_id AS DOUBLE) AS second_value, 'user_id' AS second_feature, 0.2::DOUBLE AS second_weight,
+      'v1.0' AS model_version, 'events' AS feature_source, 'events > scores' AS data_lineage FROM events""",
+)
+def ml_audit_rows(t: Tables) -> DataFrame:
+    scored = t.events.withColumn("model_version", F.lit("v1.0"))
+    found = learning.audit_rows(scored, FIXED_WEIGHTS, ["event_id"], "events", "events > scores", top=2)
+    driver = lambda i, part: F.col("top_risk_drivers")[i][part]
+    return found.select(
+        "event_id", driver(0, "value").alias("first_value"), driver(0, "feature").alias("first_feature"),
+        driver(0, "importance").alias("first_weight"), driver(1, "value").alias("second_value"),
+        driver(1, "feature").alias("second_feature"), driver(1, "importance").alias("second_weight"),
+        "audit_trail.*",
+    )
+
+
+SMALL_FOREST = ForestSpec(("value", "user_id"), "is_high", 5, 3, 5)
+
+
+@query(
+    "ml_score_contract",
+    "ML-04 ML-05",
+    """SELECT event_id, value > 100 AS is_high, TRUE AS known_class, TRUE AS sure_share, TRUE AS positive_share,
+      'v1.0' AS model_version FROM events""",
+)
+def ml_score_contract(t: Tables) -> DataFrame:
+    """What every scored row must satisfy, whatever the forest has learnt."""
+    rows = t.events.select("event_id", "value", "user_id", (F.col("value") > 100).cast("int").alias("is_high"))
+    model = learning.fit_forest(rows, SMALL_FOREST)
+    return learning.score_rows(model, rows, SMALL_FOREST).select(
+        "event_id", (F.col("is_high") == 1).alias("is_high"),
+        F.col("predicted").isin(0, 1).alias("known_class"),
+        F.col("confidence").between(0.5, 1).alias("sure_share"),
+        F.col("probability_positive").between(0, 1).alias("positive_share"), "model_version",
+    )
+
+
 # Models. Fitting runs jobs while the query is built; results have no SQL twin. The frames are
 # written once because a forest reads its input many times.
 

@@ -162,7 +162,7 @@ def _card(results: DataFrame, project: str) -> DataFrame:
     )
 
 
-@query("dq_scorecard_provider", "DQ-03 DQ-04", PROVIDER_SUITE + CARD.format(project="Provider"))
+@query("dq_scorecard_provider", "DQ-03", PROVIDER_SUITE + CARD.format(project="Provider"))
 def dq_scorecard_provider(t: Tables) -> DataFrame:
     return _card(provider_results(t), "Provider")
 
@@ -177,6 +177,21 @@ def dq_scorecard_asset(t: Tables) -> DataFrame:
     return _card(asset_results(t), "Asset")
 
 
+@query(
+    "dq_gate",
+    "DQ-04",
+    "SELECT project, status, status AS gate_saw, status <> 'CRITICAL' AS may_pass FROM ("
+    + PROVIDER_SUITE + CARD.format(project="Provider") + ")",
+)
+def dq_gate(t: Tables) -> DataFrame:
+    """The provider scorecard as the gate saw it; under ``warn`` a critical one is only reported."""
+    card = t.keep(_card(provider_results(t), "Provider"), "card")
+    seen = checks.enforce_gate(card, "warn")
+    return card.select(
+        "project", "status", F.lit(seen).alias("gate_saw"), (F.col("status") != "CRITICAL").alias("may_pass")
+    )
+
+
 # Contracts and feature quality
 
 CUSTOMER_CONTRACT = checks.Contract(

@@ -256,17 +256,22 @@ def curve_areas(scored: DataFrame, label: str, score: str, digits: int = 4) -> D
     )
 
 
+def deal_folds(train: DataFrame, identifier: str, label: str, folds: int = 5) -> DataFrame:
+    """``train`` plus ``_fold``: rows are dealt in md5 order of the id within each class."""
+    ranked = hash_rank(train, identifier, [label])
+    return ranked.withColumn("_fold", ((F.col("hash_rank") - 1) % folds).cast("int"))
+
+
 def cross_validate(
     train: DataFrame, spec: ForestSpec, identifier: str, folds: int = 5
 ) -> tuple[float, float]:
     """Mean and standard deviation of accuracy over stratified folds of the training rows.
 
-    Folds are dealt in md5 order of the id within each class.
+    Class weights are those of all training rows: within a class, stratified folds leave the
+    same share out, so the weights of a fold's training part differ by rounding only.
     """
     label = "_label_index" if spec.classes else spec.label
-    dealt = hash_rank(train, identifier, [spec.label]).withColumn(
-        "_fold", ((F.col("hash_rank") - 1) % folds).cast("int")
-    )
+    dealt = deal_folds(train, identifier, spec.label, folds)
     validator = CrossValidator(
         estimator=forest_pipeline(spec),
         estimatorParamMaps=ParamGridBuilder().build(),
@@ -296,33 +301,35 @@ def importance_table(df: DataFrame, ranked: Mapping[str, float], top: int = 5) -
     return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
-def permutation_importance(
-    model: PipelineModel, df: DataFrame, spec: ForestSpec, identifier: str
-) -> DataFrame:
-    """(feature, accuracy, accuracy_drop): how much accuracy is lost when one feature of every
-    row is taken from another row.
+def permuted_rows(df: DataFrame, features: Sequence[str], label: str, identifier: str) -> DataFrame:
+    """Every row once as it is and once per feature with that feature of another row.
 
-    Rows are paired along the md5 order of the id (row r takes values from row r + 1, the last
-    from the first), so one join serves all features. Each row then becomes one row per
-    feature plus the untouched one, and the model scores them in a single pass.
+    Rows are paired along the md5 order of the id (row r takes values from row r - 1, the first
+    from the last), so one join serves all features. ``_changed`` names the feature, or ``none``.
     """
     ranked = hash_rank(df, identifier)
     donor = ranked.select(
         (F.col("hash_rank") % F.col("stratum_size") + 1).alias("_taker"),
-        F.struct(*spec.features).alias("_donor"),
+        F.struct(*features).alias("_donor"),
     )
     # Donor r serves the row after it in the order; ranks are unique, so this is one to one.
     paired = ranked.join(donor, F.col("hash_rank") == F.col("_taker"))
 
     def version(changed: str | None) -> Column:
-        values = [
-            (F.col(f"_donor.{f}") if f == changed else F.col(f)).alias(f) for f in spec.features
-        ]
+        values = [(F.col(f"_donor.{f}") if f == changed else F.col(f)).alias(f) for f in features]
         return F.struct(F.lit(changed or "none").alias("_changed"), *values)
 
-    versions = F.array(version(None), *[version(f) for f in spec.features])
-    widened = paired.select(F.col(spec.label), F.inline(versions))
-    scored = score_rows(model, widened, spec)
+    versions = F.array(version(None), *[version(f) for f in features])
+    return paired.select(F.col(identifier), F.col(label), F.inline(versions))
+
+
+def permutation_importance(
+    model: PipelineModel, df: DataFrame, spec: ForestSpec, identifier: str
+) -> DataFrame:
+    """(feature, accuracy, accuracy_drop): how much accuracy is lost when one feature of every
+    row is taken from another row. The model scores all ``permuted_rows`` in a single pass.
+    """
+    scored = score_rows(model, permuted_rows(df, spec.features, spec.label, identifier), spec)
     accuracy = scored.groupBy("_changed").agg(
         F.avg(
             F.when(F.col("predicted").cast("string") == F.col(spec.label).cast("string"), 1.0)
