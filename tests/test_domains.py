@@ -235,7 +235,7 @@ ASSET_FILES = {
         "R1,S1,A1,temperature,2024-06-01 00:50:00,60.0,C,20,120,40,80,False,False,False",
         "R2,S1,A1,temperature,2024-06-01 01:10:00,90.0,C,20,120,40,80,False,False,False",
         "R3,S1,A1,temperature,2024-06-01 02:10:00,500.0,C,20,120,40,80,False,False,True",
-        "R4,S1,A1,temperature,2024-07-01 00:00:01,60.0,C,20,120,40,80,False,True,False",
+        "R4,S1,A1,temperature,2024-07-01 02:03:05,60.0,C,20,120,40,80,False,True,False",
         "R5,S2,A1,vibration,2024-06-01 00:00:00,15.0,mm,0,50,0,15,False,False,False",
         "R6,S3,A2,pressure,2024-06-01 00:00:00,15.0,bar,0,200,10,80,False,False,False",
         ",S3,A2,pressure,2024-06-01 00:00:00,15.0,bar,0,200,10,80,False,False,False",
@@ -268,7 +268,7 @@ def asset_tables(spark, tmp_path_factory):
 def test_sensor_quality(asset_tables):
     s1 = one(asset_tables["gold_sensor_quality_score"], sensor_id="S1")
     assert (s1["total_readings"], s1["valid_readings"], s1["hard_outlier_count"], s1["anomaly_count"]) == (4, 2, 1, 1)
-    assert s1["expected_reading_count"] == 30 * 24 + 1
+    assert s1["expected_reading_count"] == 30 * 24 + 2 + 1  # up to the hour of the clock
     # 60 * 0.5 + 25 * 0.75 + 15 * (1 - min(1, 5 * 0.25))
     assert s1["sensor_quality_score"] == 48.75
     assert asset_tables["silver_quality_clean"].count() == 1
@@ -319,3 +319,14 @@ def test_written_layers_keep_other_days(spark, tmp_path):
     report = str(tmp_path / "report")
     bronze.write_json(load([("x", 3)]), report)
     assert rows(spark.read.json(report), "d", "v") == [("x", 3)]
+
+
+def test_several_bureau_pulls_multiply_nothing(spark, risk_tables):
+    pulls = spark.createDataFrame(
+        [("C1", 500, "2024-01-01"), ("C1", 700, "2024-03-01"), ("C1", 600, "2024-02-01")],
+        "customer_id string, bureau_score int, bureau_pull_date string",
+    )
+    rest = ("num_open_accounts", "num_derogatory_marks", "total_debt_usd", "payment_history_pct", "credit_utilization_pct", "oldest_account_years")
+    wide = pulls.selectExpr("*", *[f"1 AS {c}" for c in rest])
+    joined = risk.customer_360(risk_tables["silver_customers_clean"], wide, RUN)
+    assert one(joined, customer_id="C1")["bureau_score"] == 700 and joined.count() == 2

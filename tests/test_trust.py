@@ -135,3 +135,9 @@ def test_reports(spark):
     assert rows(reports.top_k(df, "v", 2, "k"), "k") == [(8,), (9,)]
     plan = reports.top_k(df, "v", 2, "k")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_metric_drop_per_model(spark):
+    df = spark.createDataFrame([("a", 1, 0.9), ("b", 2, 0.5), ("a", 3, 0.8), ("b", 4, 0.5)], "m string, at int, auc double")
+    got = monitor.metric_drop(df, "at", "auc", 0.05, model="m")
+    assert rows(got.filter("is_alert = 1"), "m", "at") == [("a", 3)]

@@ -16,9 +16,8 @@ def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column
 
 
 def with_total(rows: DataFrame, total: DataFrame) -> DataFrame:
-    """``rows`` with the columns of a one-row table, by an equi-join that broadcasts the one row."""
-    one = F.broadcast(total.withColumn("_one", F.lit(1)))
-    return rows.withColumn("_one", F.lit(1)).join(one, "_one", "left").drop("_one")
+    """``rows`` with the columns of a one-row table, each a scalar subquery."""
+    return rows.withColumns({c: total.select(c).scalar() for c in total.columns})
 
 
 def drift_by_bin(
@@ -87,9 +86,15 @@ def rate_shift(
     )
 
 
-def metric_drop(df: DataFrame, order: str, metric: str, max_drop: float) -> DataFrame:
-    """Model evaluations in order, with the fall of a metric since the evaluation before."""
-    drop = F.lag(metric).over(Window.orderBy(order)) - F.col(metric)
+def metric_drop(
+    df: DataFrame, order: str, metric: str, max_drop: float, model: str | None = None
+) -> DataFrame:
+    """Evaluations in order, with the fall of a metric since the evaluation before.
+
+    ``model`` names the column that tells models apart; without it all are of one model.
+    """
+    key = F.lit(0) if model is None else F.col(model)
+    drop = F.lag(metric).over(Window.partitionBy(key).orderBy(order)) - F.col(metric)
     return df.withColumn("metric_drop", drop).withColumn(
         "is_alert", F.when(F.col("metric_drop") > max_drop, 1).otherwise(0)
     )

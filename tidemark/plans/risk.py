@@ -96,8 +96,12 @@ def silver(bronze: dict[str, DataFrame], run: RunContext) -> dict[str, DataFrame
 
 
 def customer_360(customers: DataFrame, bureau: DataFrame, run: RunContext) -> DataFrame:
+    """One row per customer with the latest bureau pull, so that several pulls multiply nothing."""
+    columns = [c for c in bureau.columns if c not in ("customer_id", "bureau_pull_date")]
+    dated = ["bureau_pull_date"] if "bureau_pull_date" in bureau.columns else []
+    latest = dedup_latest(bureau, ["customer_id"], dated, tiebreak=columns)
     return customers.join(
-        bureau.select(
+        latest.select(
             F.col("customer_id").cast("string").alias("customer_id"),
             "bureau_score", "num_open_accounts", "num_derogatory_marks", "total_debt_usd",
             "payment_history_pct", "credit_utilization_pct", "oldest_account_years",
@@ -156,11 +160,12 @@ def risk_features(
         "customer_id", "bureau_score", "credit_utilization_pct", "num_derogatory_marks",
         "customer_tenure_days",
     )
+    one_per_merchant = dedup_latest(merchants.select("merchant_id", "risk_flag"), ["merchant_id"], ["risk_flag"])
     mean = F.col("avg_amount")
     ratio = F.when(mean > 0, F.col("amount") / mean).otherwise(RATIO_WITHOUT_HISTORY)
     return (
         enriched.join(profile, "customer_id", "left")
-        .join(merchants.select("merchant_id", "risk_flag"), "merchant_id", "left")
+        .join(one_per_merchant, "merchant_id", "left")
         .select(
             "transaction_id", "customer_id", "account_id", "merchant_id", "transaction_date",
             "transaction_hour", "transaction_type", "amount", "is_online", "is_international",
