@@ -24,7 +24,8 @@ HEADLINE = (
     "targeting_score", "supplier_priority", "risk_profile", "sensor_quality", "asset_health",
     "maintenance_queue", "dq_results_asset", "drift_psi", "masked_customers", "lineage_trace",
     "gap_detection", "gap_aware_mean", "hourly_grid", "sensor_drift", "scd2_history",
-    "scd2_asof", "er_golden", "ml_split", "column_medians",
+    "scd2_asof", "er_golden", "ml_split", "column_medians", "dq_results_provider",
+    "dq_results_risk", "stream_bronze", "stream_validated", "ml_score_contract", "rf_importance",
 )
 
 
