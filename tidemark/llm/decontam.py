@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.batches import WORD_BYTES, WORD_OF_TEXT, kept, rows_of, texts_of
+from tidemark.llm.batches import WORD_BYTES, WORD_OF_TEXT, bound_batches, kept, rows_of, texts_of
 
 WINDOW = 10
 BLOCK_CHARS = 32_000_000
@@ -217,6 +217,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, t
         texts_of(items, item_columns.get("item_id_col", "item_id"), item_columns.get("item_text_col", "text")),
         window, BLOCK_CHARS,
     )
+    bound_batches(docs.sparkSession)
     clean = docs
     place = docs.columns.index(text_col)
     for block in blocks:

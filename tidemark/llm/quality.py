@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.batches import rows_of, texts_of
+from tidemark.llm.batches import bound_batches, rows_of, texts_of
 
 WINDOW = 8
 FIGURES = (
@@ -194,6 +194,7 @@ def keep_good(docs: DataFrame, version: str = "v2", **columns: str) -> DataFrame
 
     The bits are computed beside each row, so rows that share an id are judged one by one.
     """
+    bound_batches(docs.sparkSession)
     text = columns.get("text_col", "text")
     mask = mask_of(POLICIES[version])
     rule_bits = failure_bits()
