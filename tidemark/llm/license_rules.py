@@ -10,8 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import lru_cache
 
-#: A gap between words: blanks and the marks of comments at the start of a line.
-GAP = r"[\s*#/]+"
+#: A gap between words: blanks, hyphens and the marks of comments at the start of a line.
+GAP = r"[\s*#/-]+"
 V = r"(?:version|v\.?)"
 
 # Fixed values: (label, identifier, (keyword, name), ..., with addresses and phrases marked by kind).

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.license_rules import NOTICE, SCORES, Rule, rules
-from tidemark.llm.matches import places, with_matches
+from tidemark.llm.matches import matched, places
 
 #: Basic phrases and their labels.
 PHRASES = {
@@ -42,38 +42,44 @@ def blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" ")))
 
 
-def with_phrases(df: DataFrame) -> DataFrame:
-    """Add n_words, n_base, first_word, last_word and base_labels for the column ``low``.
+def phrase_places(line: Column, n_words: Column) -> Column:
+    """For every basic phrase in a line of words: (label, n, first, last), in the order of PHRASES.
 
-    ``line`` is the words with one blank before, between and after them, for texts that hold the
-    first word of a phrase. The words before a match are the blanks before it less one, those after
-    it the blanks after it less one.
+    The line has one blank before, between and after its words. The words before a match are the
+    blanks before it less one, those after it the blanks after it less one.
     """
+
+    def one(phrase: str, label: str) -> Column:
+        length = phrase.count(" ") + 1
+        row = lambda m, p: F.struct(
+            F.lit(label).alias("label"), F.size(m).cast("bigint").alias("n"),
+            (blanks(F.get(p, F.lit(0))) - 1).cast("bigint").alias("first"),
+            (n_words - length - (blanks(F.element_at(p, -1)) - 1)).cast("bigint").alias("last"),
+        )
+        none = F.lit(None).cast("struct<label: string, n: bigint, first: bigint, last: bigint>")
+        gate = lambda t: F.contains(t, F.lit(f" {phrase} "))
+        return matched(line, rf"(?<= ){phrase}(?= )", gate, row, lambda t: none)
+
+    return F.array_compact(F.array(*[one(*pair) for pair in PHRASES.items()]))
+
+
+def with_phrases(df: DataFrame) -> DataFrame:
+    """Add n_words, n_base, first_word, last_word and base_labels for the column ``low``."""
+    low = F.col("low")
     heads = [phrase.split(" ")[0] for phrase in PHRASES]
-    df = df.withColumn("n_words", F.size(F.regexp_extract_all("low", F.lit(WORD), F.lit(0))).cast("bigint"))
-    line = F.concat(F.lit(" "), F.trim(F.regexp_replace("low", GAPS, " ")), F.lit(" "))
-    df = df.withColumn("line", F.when(any_holds(F.col("low"), heads), line))
-    found, firsts, lasts, labels = [], [], [], []
-    for i, (phrase, label) in enumerate(PHRASES.items()):
-        gate = F.contains("line", F.lit(f" {phrase} "))
-        df = with_matches(df, "line", f"p{i}", rf"(?<= ){phrase}(?= )", gate)
-        size, length = F.size(f"p{i}_m"), phrase.count(" ") + 1
-        some = size > 0
-        found.append(F.when(some, size).otherwise(0))
-        firsts.append(F.when(some, blanks(F.get(f"p{i}_p", F.lit(0))) - 1))
-        after = blanks(F.element_at(f"p{i}_p", -1)) - 1
-        lasts.append(F.when(some, F.col("n_words") - after - length))
-        labels.append(F.when(some, F.lit(label)))
-    total = reduce(lambda a, b: a + b, found).cast("bigint")
-    df = df.withColumns(
+    line = F.concat(F.lit(" "), F.trim(F.regexp_replace(low, GAPS, " ")), F.lit(" "))
+    df = df.withColumn("n_words", F.regexp_count(low, F.lit(WORD)).cast("bigint"))
+    found = phrase_places(F.when(any_holds(low, heads), line), F.col("n_words"))
+    df = df.withColumn("base", F.coalesce(found, F.array().cast("array<struct<label: string, n: bigint, first: bigint, last: bigint>>")))
+    total = F.aggregate("base", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    return df.withColumns(
         {
             "n_base": total,
-            "first_word": F.least(*firsts).cast("bigint"),
-            "last_word": F.greatest(*lasts).cast("bigint"),
-            "base_labels": F.array_sort(F.array_compact(F.array(*labels))),
+            "first_word": F.array_min(F.transform("base", lambda x: x["first"])),
+            "last_word": F.array_max(F.transform("base", lambda x: x["last"])),
+            "base_labels": F.array_sort(F.transform("base", lambda x: x["label"])),
         }
-    )
-    return df.drop("line", *[f"p{i}_{x}" for i in range(len(PHRASES)) for x in "mp"])
+    ).drop("base")
 
 
 def candidates(low: Column, rule_list: tuple[Rule, ...]) -> Column:
@@ -111,8 +117,8 @@ def detections(docs: DataFrame, rule_list: tuple[Rule, ...], carry: list[str]) -
     others. Starts and ends count code points, the end is exclusive.
     """
     offered = docs.select("uid", *carry, "low", F.explode_outer(candidates(F.col("low"), rule_list)).alias("r"))
-    matched = with_matches(offered, "low", "x", F.col("r.pattern"), F.col("r").isNotNull())
-    spread = matched.select("uid", *carry, "r.label", "r.tier", "r.rule", F.explode_outer(places("x")).alias("at"))
+    found = places(F.col("low"), F.col("r.pattern"), lambda t: F.col("r").isNotNull())
+    spread = offered.select("uid", *carry, "r.label", "r.tier", "r.rule", F.explode_outer(found).alias("at"))
     rows = spread.select("uid", *carry, "label", "tier", "rule", "at.start", "at.end")
     # A rule without a match leaves a row with null places, so that the text itself is not lost.
     before = (

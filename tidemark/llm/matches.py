@@ -3,66 +3,83 @@
 Spark gives the matches of a pattern and the pieces between them, but no places. A match begins
 after all earlier pieces and matches, so places are running sums of lengths, counted in code points.
 
+Every intermediate value is bound once (``let``), so an expression over a text names it once however
+many patterns look at it: nothing grows when the optimizer moves a filter through.
+
 Patterns use possessive repeats where nothing can be gained by giving back: the Java engine then
 loops instead of recursing, and a long run costs one pass and no stack.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, functions as F
 
 #: Characters on either side of a match that count as near.
 NEAR = 60
 
 
-def with_matches(df: DataFrame, text: str, name: str, pattern: Column | str, gate: Column | None = None) -> DataFrame:
-    """Add ``<name>_m``, the matches of a pattern, and ``<name>_p``, the pieces between them.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def matched(
+    text: Column, pattern: Column | str, gate: Callable[[Column], Column],
+    found: Callable[[Column, Column], Column], none: Callable[[Column], Column],
+) -> Column:
+    """``found(matches, pieces)`` where the pattern occurs in the text, else ``none(text)``.
 
     ``gate`` is a cheap test that every text with a match passes.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    if gate is not None:
-        found = F.when(gate, found).otherwise(F.array().cast("array<string>"))
-    df = df.withColumn(f"{name}_m", found)
-    pieces = F.when(F.size(f"{name}_m") > 0, F.split(F.col(text), pattern, F.lit(-1)))
-    return df.withColumn(f"{name}_p", pieces)
+    split = lambda t: F.split(t, pattern, F.lit(-1))
+    some = lambda t, m: F.when(F.size(m) > 0, let(split(t), lambda p: found(m, p))).otherwise(none(t))
+    search = lambda t: F.when(gate(t), F.regexp_extract_all(t, pattern, F.lit(0)))
+    return let(text, lambda t: let(search(t), lambda m: some(t, m)))
 
 
-def near(name: str, i: Column) -> tuple[Column, Column]:
+def near(pieces: Column, i: Column) -> tuple[Column, Column]:
     """What stands before and after match ``i``, as far as the neighbouring matches."""
-    before = F.right(F.get(f"{name}_p", i), F.lit(NEAR))
-    after = F.left(F.get(f"{name}_p", i + 1), F.lit(NEAR))
-    return before, after
+    return F.right(F.get(pieces, i), F.lit(NEAR)), F.left(F.get(pieces, i + 1), F.lit(NEAR))
+
 
+PLACE = "struct<match: string, before: string, after: string, start: bigint, end: bigint>"
 
-def places(name: str) -> Column:
-    """The matches as structs (match, before, after, start, end), in order; null without any."""
-    one = lambda m, i: F.struct(
-        m.alias("match"), near(name, i)[0].alias("before"), near(name, i)[1].alias("after"),
-        F.length(F.get(f"{name}_p", i)).alias("gap"),
-    )
-    state = "struct<at: bigint, done: array<struct<match: string, before: string, after: string, start: bigint, end: bigint>>>"
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
+def _places(matches: Column, pieces: Column) -> Column:
+    state = f"struct<at: bigint, done: array<{PLACE}>>"
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(F.get(pieces, x["i"]))
         end = start + F.length(x["match"])
+        before, after = near(pieces, x["i"])
         row = F.struct(
-            x["match"].alias("match"), x["before"].alias("before"), x["after"].alias("after"),
+            x["match"].alias("match"), before.alias("before"), after.alias("after"),
             start.alias("start"), end.alias("end"),
         )
-        return F.struct(end.alias("at"), F.array_append(acc["done"], row).alias("done")).cast(state)
+        return F.struct(end.alias("at"), F.array_append(acc["done"], row.cast(PLACE)).alias("done"))
+
+    numbered = F.transform(matches, lambda m, i: F.struct(m.alias("match"), i.alias("i")))
+    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{PLACE}>").alias("done"))
+    return F.aggregate(numbered, empty.cast(state), lambda a, x: step(a, x).cast(state), lambda a: a["done"])
+
+
+def places(text: Column, pattern: Column | str, gate: Callable[[Column], Column]) -> Column:
+    """The matches as structs (match, before, after, start, end), in order; empty without any."""
+    return matched(text, pattern, gate, _places, lambda t: F.array().cast(f"array<{PLACE}>"))
+
 
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().alias("done")).cast(state)
-    steps = F.aggregate(F.transform(f"{name}_m", one), empty, step, lambda acc: acc["done"])
-    return F.when(F.size(f"{name}_m") > 0, steps)
+def replaced(
+    text: Column, pattern: str, gate: Callable[[Column], Column],
+    tagged: Callable[[Column, Column, Column], Column], tag: str,
+) -> Column:
+    """``text`` with every match for which ``tagged(match, before, after)`` holds turned into ``tag``."""
 
+    def put(matches: Column, pieces: Column) -> Column:
+        new = lambda m, i: F.when(tagged(m, *near(pieces, i)), F.lit(tag)).otherwise(m)
+        parts = F.transform(matches, lambda m, i: F.concat(F.get(pieces, i), new(m, i)))
+        return F.concat(F.array_join(parts, ""), F.element_at(pieces, -1))
 
-def replaced(text: str, name: str, keep, tag: str) -> Column:
-    """``text`` with every match for which ``keep(match, before, after)`` holds turned into ``tag``."""
-    put = F.transform(
-        f"{name}_m",
-        lambda m, i: F.concat(F.get(f"{name}_p", i), F.when(keep(m, *near(name, i)), F.lit(tag)).otherwise(m)),
-    )
-    whole = F.concat(F.array_join(put, ""), F.element_at(f"{name}_p", -1))
-    return F.when(F.size(f"{name}_m") > 0, whole).otherwise(F.col(text))
+    return matched(text, pattern, gate, put, lambda t: t)

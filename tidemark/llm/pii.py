@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.matches import places, replaced, with_matches
+from tidemark.llm.matches import places, replaced
 
 THRESHOLD = 0.7
 CONTEXT = 0.3
@@ -164,23 +164,21 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds:
 
     Starts and ends count code points from 0, the end is exclusive; the score is at most 1.
     """
-    df = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    for kind in kinds:
-        df = with_matches(df, "text", kind.name, kind.pattern, kind.gate(F.col("text")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
 
     def spans(kind: Kind) -> Column:
-        good = F.filter(places(kind.name), lambda x: stays(kind, x["match"], x["before"], x["after"]))
-        rows = F.transform(
+        good = F.filter(
+            places(text, kind.pattern, kind.gate), lambda x: stays(kind, x["match"], x["before"], x["after"])
+        )
+        return F.transform(
             good,
             lambda x: F.struct(
                 F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
                 F.least(F.lit(1.0), scored(kind, x["before"], x["after"])).alias("score"),
             ),
         )
-        none = F.array().cast("array<struct<kind: string, start: bigint, end: bigint, score: double>>")
-        return F.coalesce(rows, none)
 
-    return df.select("doc_id", F.concat(*[spans(kind) for kind in kinds]).alias("spans"))
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.concat(*map(spans, kinds)).alias("spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
@@ -190,17 +188,11 @@ def redact(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] = KI
     the part that the first leaves is judged again.
     """
     order = ("email", "iban", "card", "phone", "ip", "secret", "ssn")
-    names = docs.columns
-    df = docs
+    text = F.col(text_col)
     for kind in sorted(kinds, key=lambda k: order.index(k.name) if k.name in order else len(order)):
-        mark = f"__{kind.name}"
-        text = F.coalesce(F.col(text_col), F.lit(""))
-        df = with_matches(df, text_col, mark, kind.pattern, kind.gate(text))
-        df = df.withColumn(
-            text_col, replaced(text_col, mark, lambda *x, k=kind: stays(k, *x), f"<{kind.name.upper()}>")
-        )
-        df = df.drop(f"{mark}_m", f"{mark}_p")
-    return df.select(*names)
+        tagged = lambda *x, k=kind: stays(k, *x)
+        text = replaced(text, kind.pattern, kind.gate, tagged, f"<{kind.name.upper()}>")
+    return docs.withColumn(text_col, text)
 
 
 def digests(found: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
