@@ -172,11 +172,11 @@ def near_links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -
     return ordered.mapInArrow(_bucket_links(radius), "a bigint, b bigint")
 
 
-def near_duplicates(
+def named_classes(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET,
     id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; the component is named by its smallest doc_id."""
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, component_id) of every fingerprint."""
     prints = kept(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(near_links(classes, radius, bucket))
@@ -186,6 +186,12 @@ def near_duplicates(
     names = classes.join(moved, "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")
     )
+    return prints, names
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, fp, component_id) of every row; the component is named by its smallest doc_id."""
+    prints, names = named_classes(docs, **options)
     return prints.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -199,8 +205,8 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Of rows that share this doc_id the one with the greatest text stays. Rows without an id can
     neither represent others nor be told apart, so all of them stay.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    _, names = named_classes(docs, id_col=id_col, text_col=text_col, **options)
+    first = names.select(F.col("component_id").alias("__id")).dropna().distinct()
     named = docs.join(first, F.col(id_col).cast("bigint") == F.col("__id"))
     order = Window.partitionBy("__id").orderBy(F.col(text_col).desc_nulls_last())
     one = named.withColumn("__place", F.row_number().over(order)).filter("__place = 1")
