@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.session import work_dir
 
 BATCH_BYTES = 16 << 20
+ROOT = str(Path(__file__).resolve().parents[2])
 #: Words of the contracts: everything but space and \x09-\x0D (``bytes.split`` splits there), or
 #: everything but ASCII that is no letter or digit.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -33,8 +36,14 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def bound_batches(spark) -> None:
-    """Close Arrow batches at so many bytes, so that long rows never pile up in one."""
+    """Close Arrow batches at so many bytes, so that long rows never pile up in one.
+
+    Workers also look for this package where the driver found it, in case it is not installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), ROOT])
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[tuple[pa.Array, list]]:
@@ -48,5 +57,5 @@ def rows_of(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[tupl
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table that several readers need to the shared folder and read it back."""
     path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.batches import bound_batches, kept
@@ -46,7 +47,6 @@ BATCH = 8192
 CHUNK_TOKENS = 1_200_000
 SHARD_TOKENS = 2_000_000
 BLOCKS = 48
-SALTS = 16
 
 
 # ---- encoding -----------------------------------------------------------------------------------
@@ -71,6 +71,17 @@ CHUNK_SQL = (
 )
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """32-bit numbers, byte plane after byte plane, compressed: the upper planes are almost empty."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def encode_chunks(chunk_tokens: int):
     """Documents become numbers into the chunk's own list of distinct tokens."""
 
@@ -87,7 +98,7 @@ def encode_chunks(chunk_tokens: int):
         return pa.RecordBatch.from_arrays(
             [
                 one(chunk, pa.int64()), one(ids, pa.list_(pa.int64())), one(np.array(held, bool).tobytes()),
-                one(sizes.tobytes()), one(flat.astype("<u4").tobytes()), one(hashes.tobytes()),
+                one(sizes.tobytes()), one(packed(flat)), one(hashes.tobytes()),
                 one(tokens, pa.list_(pa.binary())),
                 pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
                 pa.ListArray.from_arrays(offsets, pa.array(cells, pa.int32())),
@@ -274,7 +285,7 @@ class Chunk:
     def __init__(self, row: dict, cells: np.ndarray, lexicon: Lexicon):
         self.held = np.frombuffer(row["held"], bool)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
-        self.codes = np.frombuffer(row["codes"], "<u4")
+        self.codes = unpacked(row["codes"])
         self.vocabulary = lexicon.symbols(np.frombuffer(row["hashes"], np.uint64), cells)
         self.symbols = self.vocabulary[self.codes]
 
@@ -283,16 +294,14 @@ def _numpy(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-CHANGE_SQL = "block int, salt int, tokens double, change binary"
-CHANGE = pa.schema([("block", pa.int32()), ("salt", pa.int32()), ("tokens", pa.float64()), ("change", pa.binary())])
+CHANGE_SQL = "block int, tokens double, change binary"
+CHANGE = pa.schema([("block", pa.int32()), ("tokens", pa.float64()), ("change", pa.binary())])
 
 
 def train_round(lexicon: Lexicon, weights: np.ndarray, turn: int, rounds: int, rate: float):
     """A task's changes of the model, weighed by its tokens, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         model = Model(lexicon, weights.copy())
         squares = np.ones_like(weights)
         class_squares = squares[: CLASS_ROWS * WIDTH].reshape(CLASS_ROWS, WIDTH)
@@ -320,13 +329,10 @@ def train_round(lexicon: Lexicon, weights: np.ndarray, turn: int, rounds: int, r
                         goal % WIDTH, rate,
                     )
         if learnt:
-            salt = TaskContext.get().partitionId() % SALTS
-            change = (model.weights - weights) * np.float32(learnt)
-            blocks = np.array_split(change, BLOCKS)
+            blocks = np.array_split((model.weights - weights).astype(np.float16), BLOCKS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(range(BLOCKS), pa.int32()), pa.array([salt] * BLOCKS, pa.int32()),
-                    pa.array([float(learnt)] * BLOCKS), pa.array([b.tobytes() for b in blocks], pa.binary()),
+                    pa.array(range(BLOCKS), pa.int32()), pa.array([float(learnt)] * BLOCKS), pa.array([b.tobytes() for b in blocks], pa.binary()),
                 ],
                 schema=CHANGE,
             )
@@ -335,17 +341,16 @@ def train_round(lexicon: Lexicon, weights: np.ndarray, turn: int, rounds: int, r
 
 
 def sum_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One sum per block and salt of the partition, added as the rows come."""
-    sums: dict[tuple[int, int], list] = {}
+    """The mean change of each block, by tokens, added up as the rows come: one per worker."""
+    sums: dict[int, list] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            change = np.frombuffer(row["change"], np.float32)
-            held = sums.setdefault((row["block"], row["salt"]), [0.0, np.zeros(len(change))])
+            change = np.frombuffer(row["change"], np.float16).astype(np.float64)
+            held = sums.setdefault(row["block"], [0.0, np.zeros(len(change))])
             held[0] += row["tokens"]
-            held[1] += change
+            held[1] += change * row["tokens"]
     rows = [
-        {"block": b, "salt": s, "tokens": n, "change": x.astype(np.float32).tobytes()}
-        for (b, s), (n, x) in sums.items()
+        {"block": b, "tokens": n, "change": (x / n).astype(np.float32).tobytes()} for b, (n, x) in sums.items()
     ]
     yield pa.RecordBatch.from_pylist(rows, CHANGE)
 
@@ -361,13 +366,10 @@ def train(chunks: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, rate: float
     for turn in range(rounds):
         step = train_round(lexicon, weights, turn, rounds, rate / (1 + turn) ** 0.5)
         changes = columns.coalesce(workers).mapInArrow(step, CHANGE_SQL)
-        by_salt = changes.repartition("block", "salt").mapInArrow(sum_changes, CHANGE_SQL)
-        by_block = (
-            by_salt.withColumn("salt", F.lit(0)).repartition("block").mapInArrow(sum_changes, CHANGE_SQL)
-        )
+        by_block = changes.repartition("block").mapInArrow(sum_changes, CHANGE_SQL)
         rows = sorted(by_block.collect(), key=lambda r: r.block)
         if rows:
-            change = np.concatenate([np.frombuffer(r.change, np.float32) / r.tokens for r in rows])
+            change = np.concatenate([np.frombuffer(r.change, np.float32) for r in rows])
             weights = (weights + change).astype(np.float32)
     return weights
 
