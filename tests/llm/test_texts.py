@@ -190,6 +190,32 @@ def test_shards_of_odd_rows(spark, odd, odd_rows, tmp_path):
     )
 
 
+def test_added_tokens_are_those_of_the_library(spark, tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [
+        end, f"one {end} two", f"{end}{end}", f"a  {end}  b\n{end}\n", f"é日本{end}🙂 x", "<|endoftext|", f"<{end}>",
+        "plain text  ", f"it{end}'s  {end}", "<|ENDOFTEXT|>", f"<|endof{end}text|>", "<|a|> <|ab|> <|abc|>" + end,
+    ]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    want = [(d, library.encode(t, add_special_tokens=False).ids + [0]) for d, t in enumerate(texts)]
+    assert 50256 in want[0][1]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    shards.write_shards(table, out := str(tmp_path / "added"), path)
+    got = shards.look_up(spark, out, list(range(len(texts)))).collect()
+    assert sorted((r.doc_id, r.ids) for r in got) == want
+    for stripped in (False, True):
+        more = Tokenizer.from_file(path)
+        more.add_tokens([AddedToken("<|a|>", normalized=True), AddedToken("<|ab", normalized=True), AddedToken("<|ab|>", rstrip=stripped)])
+        more.save(file := str(tmp_path / f"more{stripped}.json"))
+        coder = shards.Tokens(file)
+        for text in texts:
+            ids = b"".join(i.to_bytes(4, "little") for i in more.encode(text, add_special_tokens=False).ids)
+            assert coder.encode(text) == ids, text
+
+
 def test_minimal_hash_is_a_bijection():
     import numpy as np
 

@@ -14,13 +14,18 @@ A key is found in constant time: a few bit tests give its slot, the fingerprint
 keys and the stored key the rest, the slot gives the offsets. Shards close at ``SHARD_IDS`` ids, so
 neither writer nor reader holds more than one shard and one document.
 
+Ids are those of the library's ``encode`` without tokens put around: added tokens of the file that
+are spelled in a text keep their ids.
+
 Null texts are empty and hold the end id alone. Rows with a null key come first and cannot be looked
 up. Rows that share a key are neighbours, ordered by text; a look-up gives all of them.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -96,9 +101,37 @@ class Tokens:
         plain = self.is_byte_level(tokenizer)
         if not plain:
             raise ValueError("a byte-level BPE tokenizer without a normaliser is needed")
-        self.encode = MatchEncoder(
+        self.between = MatchEncoder(
             SPLIT, lambda match: [t.id for t in model.tokenize(spelled(match))]
         )
+        added = {t.content: (i, t) for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.tokenizer, self.added = tokenizer, {c: array("I", [i]).tobytes() for c, (i, _) in added.items()}
+        #: Tokens that take blanks beside them, or stand between words alone, are left to the library.
+        self.simple = not any(t.lstrip or t.rstrip or t.single_word for _, t in added.values())
+        # The leftmost and longest first; those that the normaliser passes over before the others.
+        first, then = ([c for c, (_, t) in added.items() if c and t.normalized == n] for n in (False, True))
+        self.cuts = [self.cutter(contents).split for contents in (first, then) if contents]
+
+    @staticmethod
+    def cutter(contents: list[str]) -> re.Pattern:
+        return re.compile(f"({'|'.join(map(re.escape, sorted(contents, key=len, reverse=True)))})")
+
+    def encode(self, text: str) -> bytes:
+        """The ids of ``Tokenizer.encode(text, add_special_tokens=False)``, as native 32-bit integers.
+
+        Added tokens are cut out first, the pieces between them are encoded match by match.
+        """
+        if not any(content in text for content in self.added):
+            return self.between(text)
+        if not self.simple:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        pieces = [(text, False)]
+        for cut in self.cuts:
+            pieces = [
+                new for piece, known in pieces
+                for new in ([(piece, True)] if known else [(x, i % 2 == 1) for i, x in enumerate(cut(piece))])
+            ]
+        return b"".join([self.added[x] if known else self.between(x) for x, known in pieces])
 
     @staticmethod
     def is_byte_level(tokenizer) -> bool:
