@@ -260,6 +260,31 @@ def test_checksums_and_context(spark):
     }
 
 
+def test_context_reaches_across_other_matches(spark):
+    long = "0123456789abcdef" * 9
+    keys = [f"{i:032x}" for i in range(3)]
+    texts = [
+        "social security numbers: 123-45-6789, 234-56-7890, 345-67-8901",
+        "123-45-6789, 234-56-7890, 345-67-8901 are social security numbers",
+        f"api_key {keys[0]} {keys[1]} {keys[2]}", f"secret {long}", "numbers: 123-45-6789, 234-56-7890",
+        "ssn " + "x" * 56 + " 123-45-6789", "ssn " + "x" * 54 + " 123-45-6789, 234-56-7890",
+        "ssn 123-45-6789 " + "é🙂" * 14 + " 000-45-6789 1 234-56-7890",
+    ]
+    want = {
+        0: texts[0][25:].split(", "), 1: texts[1][:37].split(", "),
+        2: keys[:2], 3: [long], 4: [], 5: [], 6: ["123-45-6789"], 7: ["123-45-6789", "234-56-7890"],
+    }
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for row in pii.find(table).collect():
+        assert [texts[row.doc_id][s.start : s.end] for s in row.spans] == want[row.doc_id], row
+        assert all(s.score == pytest.approx(0.8) for s in row.spans)
+    for row in pii.redact(table).collect():
+        left = texts[row.doc_id]
+        for found in want[row.doc_id]:
+            left = left.replace(found, "<SSN>" if "-" in found else "<SECRET>")
+        assert row.text == left
+
+
 def test_redaction_keeps_the_rest(odd):
     left = pii.redact(odd)
     assert left.columns == odd.columns

@@ -40,24 +40,36 @@ def matched(
     return let(text, lambda t: let(search(t), lambda m: some(t, m)))
 
 
-def near(pieces: Column, i: Column) -> tuple[Column, Column]:
-    """What stands before and after match ``i``, as far as the neighbouring matches."""
-    return F.right(F.get(pieces, i), F.lit(NEAR)), F.left(F.get(pieces, i + 1), F.lit(NEAR))
+def near(matches: Column, pieces: Column, i: Column) -> tuple[Column, Column]:
+    """The ``NEAR`` characters of the text before and after match ``i``, other matches among them.
+
+    A match has one character at least, so as many neighbours on a side are enough; of each no more
+    than so many characters are looked at.
+    """
+    most = F.lit(NEAR)
+    ends = lambda p, m: F.concat(F.right(p, most), F.right(m, most))
+    heads = lambda p, m: F.concat(F.left(p, most), F.coalesce(F.left(m, most), F.lit("")))
+    first, n = F.greatest(i - NEAR, F.lit(0)) + 1, F.least(i, most)
+    earlier = F.zip_with(F.slice(pieces, first, n), F.slice(matches, first, n), ends)
+    later = F.zip_with(F.slice(pieces, i + 2, most + 1), F.slice(matches, i + 2, most), heads)
+    before = F.concat(F.array_join(earlier, ""), F.right(F.get(pieces, i), most))
+    return F.right(before, most), F.left(F.array_join(later, ""), most)
 
 
-PLACE = "struct<match: string, before: string, after: string, start: bigint, end: bigint>"
+PLACE = "struct<match: string, start: bigint, end: bigint, score: double>"
+#: The score of a match, null for one that is none, from ``score(match, before, after)``.
+Score = Callable[[Column, Column, Column], Column]
 
 
-def _places(matches: Column, pieces: Column) -> Column:
+def _places(matches: Column, pieces: Column, score: Score) -> Column:
     state = f"struct<at: bigint, done: array<{PLACE}>>"
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(F.get(pieces, x["i"]))
         end = start + F.length(x["match"])
-        before, after = near(pieces, x["i"])
         row = F.struct(
-            x["match"].alias("match"), before.alias("before"), after.alias("after"),
-            start.alias("start"), end.alias("end"),
+            x["match"].alias("match"), start.alias("start"), end.alias("end"),
+            score(x["match"], *near(matches, pieces, x["i"])).alias("score"),
         )
         return F.struct(end.alias("at"), F.array_append(acc["done"], row.cast(PLACE)).alias("done"))
 
@@ -66,9 +78,13 @@ def _places(matches: Column, pieces: Column) -> Column:
     return F.aggregate(numbered, empty.cast(state), lambda a, x: step(a, x).cast(state), lambda a: a["done"])
 
 
-def places(text: Column, pattern: Column | str, gate: Callable[[Column], Column]) -> Column:
-    """The matches as structs (match, before, after, start, end), in order; empty without any."""
-    return matched(text, pattern, gate, _places, lambda t: F.array().cast(f"array<{PLACE}>"))
+def places(
+    text: Column, pattern: Column | str, gate: Callable[[Column], Column],
+    score: Score = lambda *_: F.lit(None),
+) -> Column:
+    """The matches as structs (match, start, end, score), in order; empty without any."""
+    found = lambda m, p: _places(m, p, score)
+    return matched(text, pattern, gate, found, lambda t: F.array().cast(f"array<{PLACE}>"))
 
 
 def replaced(
@@ -78,7 +94,7 @@ def replaced(
     """``text`` with every match for which ``tagged(match, before, after)`` holds turned into ``tag``."""
 
     def put(matches: Column, pieces: Column) -> Column:
-        new = lambda m, i: F.when(tagged(m, *near(pieces, i)), F.lit(tag)).otherwise(m)
+        new = lambda m, i: F.when(tagged(m, *near(matches, pieces, i)), F.lit(tag)).otherwise(m)
         parts = F.transform(matches, lambda m, i: F.concat(F.get(pieces, i), new(m, i)))
         return F.concat(F.array_join(parts, ""), F.element_at(pieces, -1))
 

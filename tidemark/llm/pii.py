@@ -2,7 +2,7 @@
 
 Everything is a DataFrame expression. Per kind: a pattern, a test of the match (number ranges, digit
 counts, Luhn for cards, mod-97 for account numbers), a score, and words that raise it when they
-stand near. Spans of the four basic kinds stay whatever their score; the others need ``THRESHOLD``.
+stand near: within 60 characters of the text on either side, whatever else matches there. Spans of the four basic kinds stay whatever their score; the others need ``THRESHOLD``.
 
 The patterns match the leftmost, non-overlapping places of the plain forms given beside them; a
 start inside a run is only tried where the run begins or the last match ended, so long runs cost one
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.matches import places, replaced
+from tidemark.llm.matches import let, places, replaced
 
 THRESHOLD = 0.7
 CONTEXT = 0.3
@@ -140,7 +140,7 @@ KINDS = (
     Kind("iban", iban_pattern(), anything, mod97, 0.9, "iban|account|bank|transfer"),
     Kind(
         "secret", r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])", anything,
-        lambda m: F.length(m) <= 128, 0.5, "token|secret|password|passwd|api[_ -]?key|private",
+        anything, 0.5, "token|secret|password|passwd|api[_ -]?key|private",
     ),
     Kind(
         "ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", has("-"),
@@ -159,6 +159,12 @@ def stays(kind: Kind, match: Column, before: Column, after: Column) -> Column:
     return valid if kind.base else F.when(valid, scored(kind, before, after) >= THRESHOLD).otherwise(False)
 
 
+def score_of(kind: Kind, match: Column, before: Column, after: Column) -> Column:
+    """The score of a match that ``stays``, null for others; what is near is only read for valid ones."""
+    enough = lambda s: s if kind.base else F.when(s >= THRESHOLD, s)
+    return F.when(kind.valid(match), let(scored(kind, before, after), enough))
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """(doc_id, spans): spans are structs (kind, start, end, score) by kind, then start.
 
@@ -167,14 +173,13 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds:
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def spans(kind: Kind) -> Column:
-        good = F.filter(
-            places(text, kind.pattern, kind.gate), lambda x: stays(kind, x["match"], x["before"], x["after"])
-        )
+        found = places(text, kind.pattern, kind.gate, lambda *x: score_of(kind, *x))
+        good = F.filter(found, lambda x: x["score"].isNotNull())
         return F.transform(
             good,
             lambda x: F.struct(
                 F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-                F.least(F.lit(1.0), scored(kind, x["before"], x["after"])).alias("score"),
+                F.least(F.lit(1.0), x["score"]).alias("score"),
             ),
         )
 
