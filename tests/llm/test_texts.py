@@ -175,6 +175,61 @@ def test_every_rule_holds_its_keyword():
         assert letters[:5] in plain_pattern or "?" in rule.pattern, rule
 
 
+def examples(parsed):
+    """Texts that a pattern matches: every alternative and character of a class, optional parts in and out."""
+    found = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            new = [chr(arg)]
+        elif name == "IN":
+            ranges = [(v, v) if str(o) == "LITERAL" else v for o, v in arg if str(o) in ("LITERAL", "RANGE")]
+            blank = any(str(o) == "CATEGORY" for o, _ in arg)
+            new = ["\n"] if blank else [chr(a) for a, _ in ranges]
+        elif name == "BRANCH":
+            new = [x for branch in arg[1] for x in examples(branch)]
+        elif name == "SUBPATTERN":
+            new = examples(arg[3])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inner = arg
+            once = examples(inner)
+            new = ["", *once] if least == 0 else [x * least for x in once]
+        else:
+            assert name in ("AT", "ASSERT", "ASSERT_NOT"), name
+            new = [""]
+        # Alternatives are not multiplied with each other: one that differs from the first at a time.
+        found = [f + new[0] for f in found] + [found[0] + x for x in new[1:]]
+    return found
+
+
+def test_keywords_lose_no_alternative(spark):
+    import dataclasses
+    import re
+
+    from tidemark.llm.license_rules import rules
+
+    by_text = {}
+    for rule in rules():
+        for text in examples(re._parser.parse(rule.pattern)):
+            assert re.search(rule.pattern, text), (rule, text)
+            by_text.setdefault(text, rule)
+            assert rule.keyword in text, (rule, text)
+    texts = [t for t, rule in by_text.items() if rule.tier in (2, 4) and not rule.label.startswith("cc-")]
+    texts += ["the modified BSD license", "a new bsd licence", "Unauthorised use of it\nis strictly prohibited"]
+    clause = (
+        "Neither the name of the copyright holder nor\n * the names of its contributors\n"
+        " * may be used to endorse or\n * promote products derived"
+    )
+    texts = [*texts[::12], *texts[-3:], clause]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    open_rules = tuple(dataclasses.replace(rule, keyword="") for rule in rules())
+    gated = {r.doc_id: r for r in licenses.scan(table).collect()}
+    assert gated == {r.doc_id: r for r in licenses.scan(table, open_rules).collect()}
+    last = [gated[len(texts) - n].labels.split(",") for n in (4, 3, 2, 1)]
+    assert ["bsd-3-clause" in x for x in last] == [True, True, False, True]
+    assert "proprietary" in last[2]
+
+
 def test_shards_of_odd_rows(spark, odd, odd_rows, tmp_path):
     path = str(tmp_path / "shards")
     shards.write_shards(odd, path, public_tokenizers.path("byte_bpe_50k.json"), shard_ids=20)

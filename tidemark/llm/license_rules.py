@@ -2,7 +2,8 @@
 
 Per licence: identifier, names, addresses and telling phrases, each a regular expression over the
 text with A-Z lower-cased. ``rules`` spells the forms in which they occur. Every rule has a keyword,
-one run of characters without blanks that any of its matches holds.
+one run of characters without blanks that any of its matches holds, whichever alternative matched.
+Bounded gaps (``[\\s\\S]``) go across line breaks.
 """
 
 from __future__ import annotations
@@ -23,16 +24,16 @@ LICENCES = (
     ("apache-2.0", r"apache-2\.0",
      (("apache", r"apache~(?:software~)?licen[cs]e,?~(?:@~)?2(?:\.0)?\b"), ("apache", r"apache[ -]2(?:\.0)?\b"), ("asl", r"\basl[ -]?2\.0")),
      (("apache.org", r"apache\.org/licen[cs]es/license-2\.0"), ("opensource.org", r"opensource\.org/licen[cs]es?/apache-2\.0")),
-     (("apache", r"you~may~not~use~this~file~except~in~compliance~with~the~licen[cs]e.{0,80}apache"),
+     (("apache", r"you~may~not~use~this~file~except~in~compliance~with~the~licen[cs]e[\s\S]{0,80}apache"),
       ("unless", r"unless~required~by~applicable~law~or~agreed~to~in~writing,~software~distributed~under~the~licen[cs]e"))),
     ("apache-1.1", r"apache-1\.1", (("apache", r"apache~(?:software~)?licen[cs]e,?~(?:@~)?1\.1"),), (("apache.org", r"apache\.org/licen[cs]es/license-1\.1"),), ()),
     ("apache-1.0", r"apache-1\.0", (("apache", r"apache~(?:software~)?licen[cs]e,?~(?:@~)?1\.0"),), (("apache.org", r"apache\.org/licen[cs]es/license-1\.0"),), ()),
     ("gpl-1.0", r"gpl-1\.0(?:-only|-or-later|\+)?", (("gpl", r"gpl~?v?1(?:\.0)?\b"),), (("gnu.org", r"gnu\.org/licen[cs]es/(?:old-licenses/)?gpl-1\.0"),), ()),
-    ("gpl-2.0", r"gpl-2\.0(?:-only)?", (("gnu", r"gnu~general~public~licen[cs]e,?~(?:as~published.{0,60}?~)?@~2(?:\.0)?\b"), ("gpl", r"(?:gnu~)?gpl[ ,-]*v?(?:ersion~)?2(?:\.0)?\b")),
+    ("gpl-2.0", r"gpl-2\.0(?:-only)?", (("gnu", r"gnu~general~public~licen[cs]e,?~(?:as~published[\s\S]{0,60}?~)?@~2(?:\.0)?\b"), ("gpl", r"(?:gnu~)?gpl[ ,-]*v?(?:ersion~)?2(?:\.0)?\b")),
      (("gnu.org", r"gnu\.org/licen[cs]es/(?:old-licenses/)?gpl-2\.0"), ("opensource.org", r"opensource\.org/licen[cs]es?/gpl-2\.0")), ()),
     ("gpl-2.0-or-later", r"gpl-2\.0(?:-or-later|\+)", (("gpl", r"(?:gnu~)?gpl[ ,-]*v?2(?:\.0)?\+"),), (),
      (("either", r"either~@~2~of~the~licen[cs]e,~or~\(at~your~option\)~any~later~version"),)),
-    ("gpl-3.0", r"gpl-3\.0(?:-only)?", (("gnu", r"gnu~general~public~licen[cs]e,?~(?:as~published.{0,60}?~)?@~3(?:\.0)?\b"), ("gpl", r"(?:gnu~)?gpl[ ,-]*v?(?:ersion~)?3(?:\.0)?\b")),
+    ("gpl-3.0", r"gpl-3\.0(?:-only)?", (("gnu", r"gnu~general~public~licen[cs]e,?~(?:as~published[\s\S]{0,60}?~)?@~3(?:\.0)?\b"), ("gpl", r"(?:gnu~)?gpl[ ,-]*v?(?:ersion~)?3(?:\.0)?\b")),
      (("gnu.org", r"gnu\.org/licen[cs]es/gpl-3\.0"), ("opensource.org", r"opensource\.org/licen[cs]es?/gpl-3\.0")), ()),
     ("gpl-3.0-or-later", r"gpl-3\.0(?:-or-later|\+)", (("gpl", r"(?:gnu~)?gpl[ ,-]*v?3(?:\.0)?\+"),), (),
      (("either", r"either~@~3~of~the~licen[cs]e,~or~\(at~your~option\)~any~later~version"),)),
@@ -50,9 +51,9 @@ LICENCES = (
     ("bsd-1-clause", r"bsd-1-clause", (("bsd", r"(?:1|one)[ -]clause~bsd(?:~licen[cs]e)?"),), (), ()),
     ("bsd-2-clause", r"bsd-2-clause", (("bsd", r"(?:2|two)[ -]clause~bsd(?:~licen[cs]e)?"), ("simplified", r"simplified~bsd(?:~licen[cs]e)?"), ("freebsd", r"freebsd~licen[cs]e")),
      (("opensource.org", r"opensource\.org/licen[cs]es?/bsd-2-clause"),), ()),
-    ("bsd-3-clause", r"bsd-3-clause", (("bsd", r"(?:3|three)[ -]clause~bsd(?:~licen[cs]e)?"), ("revised", r"(?:new|revised|modified)~bsd(?:~licen[cs]e)?|bsd~\(revised\)"), ("bsd", r"new~bsd~licen[cs]e")),
+    ("bsd-3-clause", r"bsd-3-clause", (("bsd", r"(?:3|three)[ -]clause~bsd(?:~licen[cs]e)?"), ("bsd", r"(?:new|revised|modified)~bsd(?:~licen[cs]e)?|bsd~\(revised\)"), ("bsd", r"new~bsd~licen[cs]e")),
      (("opensource.org", r"opensource\.org/licen[cs]es?/bsd-3-clause"),),
-     (("endorse", r"neither~the~name~of.{1,120}?may~be~used~to~endorse~or~promote~products"),)),
+     (("endorse", r"neither~the~name~of[\s\S]{1,120}?may~be~used~to~endorse~or~promote~products"),)),
     ("bsd-4-clause", r"bsd-4-clause", (("bsd", r"(?:4|four)[ -]clause~bsd(?:~licen[cs]e)?"), ("original", r"original~bsd~licen[cs]e")), (),
      (("advertising", r"all~advertising~materials~mentioning~features"),)),
     ("0bsd", r"0bsd", (("0bsd", r"\b0bsd\b"), ("zero", r"zero[ -]clause~bsd"), ("bsd", r"bsd~zero~clause~licen[cs]e")), (), ()),
@@ -113,7 +114,7 @@ LICENCES = (
         for version in ("2.0", "2.5", "3.0", "4.0")
     ),
     ("cc-by", r"cc-by", (("attribution", r"creative~commons~attribution(?:~(?:[1-4]\.[05])?~?(?:international|unported)?~?licen[cs]e)?"), ("cc", r"\bcc[ -]by\b")), (), ()),
-    ("cc-by-sa", r"cc-by-sa", (("sharealike", r"creative~commons~attribution[ -]share-?alike"), ("share", r"creative~commons~attribution[ -]share[ -]alike"), ("cc", r"\bcc[ -]by[ -]sa\b")), (), ()),
+    ("cc-by-sa", r"cc-by-sa", (("share", r"creative~commons~attribution[ -]share-?alike"), ("share", r"creative~commons~attribution[ -]share[ -]alike"), ("cc", r"\bcc[ -]by[ -]sa\b")), (), ()),
     ("cc-by-nd", r"cc-by-nd", (("noderiv", r"creative~commons~attribution[ -]noderiv(?:ative)?s"), ("cc", r"\bcc[ -]by[ -]nd\b")), (), ()),
     ("cc-by-nc", r"cc-by-nc", (("noncommercial", r"creative~commons~attribution[ -]noncommercial"), ("cc", r"\bcc[ -]by[ -]nc\b")), (), ()),
     ("cc-by-nc-sa", r"cc-by-nc-sa", (("noncommercial", r"creative~commons~attribution[ -]noncommercial[ -]share-?alike"), ("cc", r"\bcc[ -]by[ -]nc[ -]sa\b")), (), ()),
@@ -126,7 +127,7 @@ LICENCES = (
     ("epl", r"epl", (("eclipse", r"eclipse~public~licen[cs]e"),), (), ()),
     ("artistic", r"artistic", (("artistic", r"\bartistic~licen[cs]e"),), (), ()),
     ("proprietary", r"licenseref-proprietary", (), (),
-     (("unauthorized", r"unauthori[sz]ed~(?:copying|use|reproduction)~.{0,60}?~?(?:is~)?strictly~prohibited"),
+     (("unauthori", r"unauthori[sz]ed~(?:copying|use|reproduction)~[\s\S]{0,60}?~?(?:is~)?strictly~prohibited"),
       ("confidential", r"(?:proprietary~and~confidential|confidential~and~proprietary)"))),
 )
 
