@@ -294,6 +294,26 @@ def test_leaks_of_odd_rows(spark, odd, odd_rows):
     assert decontam.contamination(odd, table.limit(0)).count() == len(odd_rows)
 
 
+def test_items_without_an_id_count(spark):
+    docs = spark.createDataFrame(
+        [(1, "say alpha beta now"), (2, "gamma delta"), (3, "alpha beta, gamma delta"), (4, "clean"), (5, "alpha beta epsilon")],
+        "doc_id bigint, text string",
+    )
+    items = spark.createDataFrame(
+        [(None, "Alpha beta"), (7, "gamma delta"), (None, "epsilon"), (0, "alpha beta epsilon")], "item_id bigint, text string"
+    )
+    one = plain.sha("7")
+    want = [
+        (1, 4, 2, 1, plain.sha(""), True), (2, 2, 2, 1, one, True), (3, 4, 4, 2, one, True),
+        (4, 1, 0, 0, plain.sha(""), False), (5, 3, 3, 2, plain.sha("0"), True),
+    ]
+    for block in (decontam.BLOCK_CHARS, 10):
+        found = decontam.contamination(docs, items, block_chars=block)
+        assert rows(decontam.summary(found).drop("spans")) == want
+        assert {r.doc_id: r["items"] for r in found.collect()} == {1: [None], 2: [7], 3: [7, None], 4: [], 5: [0, None]}
+    assert [r.doc_id for r in decontam.drop_contaminated(docs, items).collect()] == [4]
+
+
 def test_personal_data_of_odd_rows(odd, odd_rows):
     got = rows(pii.digests(pii.find(odd)).select("doc_id", "base_sha256"))
     assert got == sorted(((d, plain.sha(",".join(plain.personal(t)))) for d, t in odd_rows), key=key)

@@ -10,7 +10,8 @@ The patterns are the stated query set. They are read in blocks of a bounded numb
 each with its own automaton, so what a task holds is bounded however long the benchmark is.
 
 Null and empty texts have no words; items without words have no pattern; items with the same id are
-one item; equal items are each reported; repeated documents are scanned each for itself.
+one item; equal items are each reported; items without an id are one item too, whose hits count and
+whose place in ``items`` is a null at the end that the digest of the ids leaves out; repeated documents are scanned each for itself.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ def pattern_blocks(items: DataFrame, window: int, block_chars: int) -> Iterator[
     """Pattern -> item ids, in blocks of about ``block_chars`` characters of patterns."""
     block: dict[str, list[int]] = defaultdict(list)
     size = 0
-    rows = items.filter("doc_id IS NOT NULL").orderBy("doc_id", "text").toLocalIterator()
+    rows = items.orderBy("doc_id", "text").toLocalIterator()
     for item_id, text in rows:
         for pattern in patterns_of(text, window):
             size += 0 if pattern in block else len(pattern)
@@ -59,10 +60,15 @@ def pattern_blocks(items: DataFrame, window: int, block_chars: int) -> Iterator[
     yield dict(block)
 
 
+def in_order(ids) -> list[int | None]:
+    """Distinct item ids, the missing one last."""
+    return sorted(set(ids), key=lambda i: (i is None, i or 0))
+
+
 def automaton_of(block: dict[str, list[int]]):
     machine = ahocorasick.Automaton()
     for pattern, ids in block.items():
-        machine.add_word(pattern, (pattern.count(" ") - 1, sorted(set(ids))))
+        machine.add_word(pattern, (pattern.count(" ") - 1, in_order(ids)))
     machine.make_automaton()
     return machine
 
@@ -89,7 +95,7 @@ def scan(text: str, machine) -> tuple[int, list[tuple[int, int]], list[int]]:
     hit = np.concatenate(([0], np.cumsum(marks)[:-1] > 0, [0])).astype(np.int8)
     turns = np.diff(hit)
     firsts, lasts = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1) - 1
-    return len(words), list(zip(firsts.tolist(), lasts.tolist(), strict=True)), sorted(items)
+    return len(words), list(zip(firsts.tolist(), lasts.tolist(), strict=True)), in_order(items)
 
 
 def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -195,7 +201,7 @@ def _next_pass(block):
                     batch.column(1),
                     pa.array([n for n, _, _ in found], pa.int64()),
                     pa.array([[{"first": a, "last": b} for a, b in r] for r in runs], hits_type),
-                    pa.array([sorted({*old, *new}) for old, (_, _, new) in zip(old_items, found, strict=True)], pa.list_(pa.int64())),
+                    pa.array([in_order([*old, *new]) for old, (_, _, new) in zip(old_items, found, strict=True)], pa.list_(pa.int64())),
                 ],
                 ["doc_id", "text", "n_words", "hits", "items"],
             )
