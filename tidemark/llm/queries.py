@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import Tables
-from tidemark.llm import bpe, decontam, licenses, lm, pii, quality, shards, simhash, urls, warc
+from tidemark.llm import (
+    bpe, chat, decontam, lexical, licenses, lm, phrases, pii, quality, shards, simhash, urls, warc,
+)
 from tidemark.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -216,3 +218,85 @@ def op4_warc_revisits(t: Tables) -> DataFrame:
 )
 def op9_url_aliases(t: Tables) -> DataFrame:
     return urls.judge(t.pages)
+
+
+# Words and terms of the contracts, as lists of lower-cased text.
+LOWER_SQL = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS_SQL = rf"list_filter(regexp_split_to_array({LOWER_SQL}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
+
+@query(
+    "op11_geometric_search",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS_SQL} AS ws FROM documents),
+    q AS (SELECT row_number() OVER () AS i, item_id, {TERMS_SQL} AS ws FROM benchmark),
+    g AS (SELECT COUNT(*) AS n_docs, SUM(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0),
+    tf AS (SELECT r, t, COUNT(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM d) GROUP BY r, t),
+    df AS (SELECT t, COUNT(*) AS df FROM tf GROUP BY t),
+    w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM df, g),
+    m AS (SELECT r, doc_id, 50 + (50 * len(ws) * n_docs) // n_terms AS m FROM d, g WHERE len(ws) > 0),
+    asked AS (SELECT DISTINCT i, item_id, t FROM (SELECT i, item_id, unnest(ws) AS t FROM q)),
+    scored AS (SELECT i, item_id, r, doc_id, SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM asked JOIN tf USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL HAVING score > 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored)
+    SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50""",
+)
+def op11_geometric_search(t: Tables) -> DataFrame:
+    return lexical.search(t.documents, t.benchmark)
+
+
+@query(
+    "op12_fm_phrases",
+    rf"""
+    WITH pieces AS (SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+    lists AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+    totals AS (SELECT lang, SUM(len(ws))::BIGINT AS n FROM lists GROUP BY lang),
+    grams AS (SELECT lang, k, ws[i:i + k - 1] AS g FROM (
+      SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM lists, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)),
+    f AS (SELECT lang, k, g, COUNT(*) AS f FROM grams GROUP BY ALL HAVING f >= 30),
+    cuts AS (SELECT lang, g, f, k, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+    cut AS (SELECT cuts.lang, cuts.g, cuts.f AS a, c, x.f AS l, y.f AS r, ((2000000::HUGEINT * cuts.f) // (x.f + y.f))::BIGINT AS score
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1:c] JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[c + 1:]),
+    lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+    inner_parts AS (SELECT lang, g[i:i + j - 1] AS g, f FROM (
+      SELECT lang, g, f, j, unnest(range(1, k - j + 2)) AS i FROM f, (SELECT unnest([2, 3]) AS j) WHERE k > j)),
+    longest AS (SELECT lang, g, MAX(f) AS f FROM inner_parts GROUP BY ALL),
+    open_ones AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM lowest LEFT JOIN longest USING (lang, g)
+      WHERE COALESCE(100 * longest.f < 80 * a, TRUE)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM open_ones)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+)
+def op12_fm_phrases(t: Tables) -> DataFrame:
+    return phrases.collocations(t.documents)
+
+
+# What escaping adds: one character for each backslash and each control string.
+ESCAPES_SQL = (
+    "length({0}) - length(replace({0}, '\\', '')) + (length({0}) - length(replace({0}, '</turn>', ''))) // 7"
+    " + COALESCE(list_sum(list_transform(regexp_extract_all({0}, '#{{3,}}'), lambda x: length(x) - 2)), 0)"
+).format
+
+
+@query(
+    "op13_chat_buffers",
+    rf"""
+    WITH rows_of AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok'
+      FROM (SELECT unnest([0, 1]) AS i)),
+    sized AS (SELECT *, length(role) + length(text) + 14 + {ESCAPES_SQL("role")} + {ESCAPES_SQL("text")}
+      + (length(role) - length(replace(role, ': ', ''))) // 2 AS size FROM rows_of)
+    SELECT conv_id, COUNT(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+      COALESCE(SUM(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+      sha256(COALESCE(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      SUM(size)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id""",
+)
+def op13_chat_buffers(t: Tables) -> DataFrame:
+    extra = t.spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    turns = t.conversations.select("conv_id", "turn", "role", "text")
+    return chat.round_trip(turns.unionByName(extra))
