@@ -312,13 +312,13 @@ profile AS (
   SELECT customer_id, COUNT(*) AS total_transactions,
     COUNT(*) FILTER (WHERE is_fraud) AS confirmed_fraud_count,
     round(100.0 * COUNT(*) FILTER (WHERE is_fraud) / COUNT(*), 3) AS fraud_rate_pct,
-    round(AVG(amount), 7) AS avg_transaction_amount, MAX(amount) AS max_transaction_amount,
-    round(AVG(ratio), 3) AS avg_amount_deviation, MAX(states30) AS max_distinct_states,
+    round(CAST(SUM(CAST(amount AS DECIMAL(28, 6))) AS DOUBLE) / COUNT(amount), 7) AS avg_transaction_amount, MAX(amount) AS max_transaction_amount,
+    round(CAST(SUM(CAST(ratio AS DECIMAL(28, 9))) AS DOUBLE) / COUNT(ratio), 3) AS avg_amount_deviation, MAX(states30) AS max_distinct_states,
     CAST(SUM(new_devices) AS BIGINT) AS total_new_device_events, CAST(SUM(vpns) AS BIGINT) AS total_vpn_events,
-    round(AVG(bureau_score), 7) AS avg_bureau_score,
+    round(CAST(SUM(bureau_score) AS DOUBLE) / COUNT(bureau_score), 7) AS avg_bureau_score,
     CASE WHEN bool_or(is_fraud) THEN 'CONFIRMED_FRAUD'
-         WHEN AVG(ratio) > 5 AND MAX(states30) > 3 THEN 'HIGH'
-         WHEN AVG(credit_utilization_pct) > 0.8 OR AVG(num_derogatory_marks) > 2 THEN 'MEDIUM'
+         WHEN CAST(SUM(CAST(ratio AS DECIMAL(28, 9))) AS DOUBLE) / COUNT(ratio) > 5 AND MAX(states30) > 3 THEN 'HIGH'
+         WHEN CAST(SUM(CAST(credit_utilization_pct AS DECIMAL(28, 9))) AS DOUBLE) / COUNT(credit_utilization_pct) > 0.8::DOUBLE OR SUM(num_derogatory_marks) > 2 * COUNT(num_derogatory_marks) THEN 'MEDIUM'
          ELSE 'LOW' END AS risk_tier
   FROM features GROUP BY 1)"""
 )

@@ -46,5 +46,12 @@ def money_sum(value: Column) -> Column:
 
 
 def mean_of_flags(value: Column) -> Column:
-    """Mean of a 0/1 flag taken from exact integer sums."""
+    """Mean of a flag or another whole number taken from exact integer sums."""
     return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+
+
+def exact_mean(value: Column, digits: int = 9) -> Column:
+    """Mean from an exact decimal sum, so that neither the order of the rows nor the number of tasks
+    can move it across a threshold or a rounding step."""
+    total = F.sum(value.cast(f"decimal(28,{digits})")).cast("double")
+    return F.try_divide(total, F.count(value).cast("double"))

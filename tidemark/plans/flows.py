@@ -12,9 +12,12 @@ from tidemark.functions.scoring import points
 from tidemark.operators import checks as quality, learning
 from tidemark.operators.aggregates import linkage
 from tidemark.operators.learning import ForestSpec
+from tidemark.operators.quarantine import Parent
 from tidemark.plans import asset, provider, risk
+from tidemark.plans.refresh import DAY, Calendar, Lake, Reach, keep_rejects
 from tidemark.sources import bronze
 from tidemark.sources.extracts import ASSET, PROVIDER, RISK, SourceSpec
+from tidemark.sources.snapshots import SnapshotTable
 
 Tables = Mapping[str, DataFrame]
 
@@ -44,6 +47,8 @@ class Domain:
     feature_table: str
     fill: str = "zero"
     oversample: bool = False
+    calendar: Calendar = Calendar({})
+    parents: Sequence[Link] = ()
 
 
 def _provider_frame(tables: Tables, spec: ForestSpec) -> DataFrame:
@@ -68,13 +73,76 @@ def _asset_frame(tables: Tables, spec: ForestSpec) -> DataFrame:
     return learning.assemble(rows, spec.features, spec.label, keep=keep, fill=None)
 
 
-# Event-grained tables are stored by day, so later reads of a period touch only its files.
-STORED_BY = {
-    "silver_interactions_clean": ["interaction_date"],
-    "silver_transactions_clean": ["transaction_date"],
-    "gold_transaction_risk_features": ["transaction_date"],
-    "gold_failure_prediction_features": ["reading_date"],
-}
+# Rules that the silver tables apply to a received row; what breaks one is kept in the quarantine.
+def _rules(run: RunContext) -> dict[str, dict[str, str]]:
+    today = f"date'{run.as_of.isoformat()}'"
+    present = lambda *keys: {f"{k}_present": f"{k} IS NOT NULL" for k in keys}
+    not_future = lambda day: {f"{day}_not_future": f"try_cast({day} AS DATE) <= {today}"}
+    return {
+        "bronze_hcp_master": present("hcp_id"),
+        "bronze_hco_master": present("hco_id"),
+        "bronze_hcp_hco_affiliations": present("hcp_id", "hco_id"),
+        "bronze_hcp_interactions": present("hcp_id", "interaction_date") | not_future("interaction_date"),
+        "bronze_rx_aggregates": present("hcp_id") | {"total_rx_count_not_negative": "total_rx_count >= 0"},
+        "bronze_patient_support": present("hcp_id"),
+        "bronze_trial_sites": present("site_id"),
+        "bronze_customers": present("customer_id"),
+        "bronze_transactions": present("transaction_id")
+        | {"amount_positive": "amount > 0"}
+        | not_future("transaction_date"),
+        "bronze_merchants": present("merchant_id"),
+        "bronze_device_events": present("customer_id"),
+        "bronze_assets": present("asset_id"),
+        "bronze_sensor_readings": present("reading_id", "reading_timestamp"),
+        "bronze_work_orders": present("work_order_id", "created_date"),
+        "bronze_failure_events": present("failure_id"),
+        "bronze_quality_inspections": present("inspection_id"),
+    }
+
+
+# Tables of events by day and what a day of a product reads.
+PROVIDER_DAYS = Calendar(
+    day={"bronze_hcp_interactions": "interaction_date", "silver_interactions_clean": "interaction_date"},
+    reads={"silver_interactions_clean": {"bronze_hcp_interactions": Reach()}},
+)
+RISK_DAYS = Calendar(
+    day={
+        "bronze_transactions": "transaction_date", "silver_transactions_clean": "transaction_date",
+        "bronze_device_events": "event_date", "silver_device_events_clean": "event_date",
+        "gold_transaction_risk_features": "transaction_date",
+    },
+    reads={
+        "silver_transactions_clean": {"bronze_transactions": Reach()},
+        "silver_device_events_clean": {"bronze_device_events": Reach()},
+        "gold_transaction_risk_features": {
+            "silver_transactions_clean": Reach(back=risk.HISTORY_DAYS),
+            "silver_device_events_clean": Reach(back=risk.DEVICE_WINDOW_DAYS),
+        },
+    },
+    keyed={
+        "gold_transaction_risk_features": {
+            "silver_customers_clean": "customer_id", "bronze_bureau_attrs": "customer_id",
+            "silver_merchants_clean": "merchant_id",
+        }
+    },
+)
+ASSET_DAYS = Calendar(
+    day={
+        "bronze_sensor_readings": "reading_timestamp", "silver_sensors_clean": "reading_timestamp",
+        "gold_failure_prediction_features": "reading_date",
+    },
+    reads={
+        "silver_sensors_clean": {"bronze_sensor_readings": Reach()},
+        "gold_failure_prediction_features": {"silver_sensors_clean": Reach()},
+    },
+    keyed={
+        # A failure or service can be seen from any day of its asset, so the asset's days are touched.
+        "gold_failure_prediction_features": {
+            "silver_assets_clean": "asset_id", "silver_failure_events_clean": "asset_id",
+            "silver_work_orders_clean": "asset_id",
+        }
+    },
+)
 
 # Model names, trees, depth and smallest leaf.
 DOMAINS = {
@@ -92,6 +160,8 @@ DOMAINS = {
         "hcp_id",
         _provider_frame,
         "gold_hcp_targeting_score",
+        calendar=PROVIDER_DAYS,
+        parents=(Link("unknown_hcp", "bronze_hcp_interactions", "bronze_hcp_master", "hcp_id"),),
     ),
     "risk": Domain(
         "Risk",
@@ -111,6 +181,8 @@ DOMAINS = {
         _risk_frame,
         "gold_transaction_risk_features",
         oversample=True,
+        calendar=RISK_DAYS,
+        parents=(Link("unknown_customer", "bronze_transactions", "bronze_customers", "customer_id"),),
     ),
     "asset": Domain(
         "Asset",
@@ -125,6 +197,8 @@ DOMAINS = {
         _asset_frame,
         "gold_failure_prediction_features",
         fill="median",
+        calendar=ASSET_DAYS,
+        parents=(Link("unknown_asset", "bronze_sensor_readings", "bronze_assets", "asset_id"),),
     ),
 }
 
@@ -132,31 +206,87 @@ DOMAINS = {
 def build(
     spark: SparkSession, domain: Domain, raw: str, root: str, run: RunContext
 ) -> dict[str, DataFrame]:
-    """Extracts to bronze, silver and gold. Every table is written once and read back, so a
-    layer starts from files and not from the work before it."""
-    tables: dict[str, DataFrame] = {}
-
-    def store(layer: str) -> bronze.Keep:
-        def keep(df: DataFrame, name: str) -> DataFrame:
-            if name not in tables:
-                path = bronze.write_table(df, root, layer, name, STORED_BY.get(name, ()))
-                tables[name] = spark.read.schema(df.schema).parquet(path)
-            return tables[name]
-
-        return keep
-
-    for name, df in bronze.ingest(spark, domain.sources, raw, run).items():
-        store("bronze")(df, name)
-    for name, df in domain.silver(dict(tables), run).items():
-        store("silver")(df, name)
-    for name, df in domain.gold(dict(tables), run, store("gold")).items():
-        store("gold")(df, name)
+    """Whole extracts to bronze, silver and gold: every table gets a new version made from nothing else."""
+    return refresh(spark, domain, raw, root, run, full=True)
+
+
+def refresh(
+    spark: SparkSession, domain: Domain, raw: str, root: str, run: RunContext, full: bool = False,
+    hold_orphans: bool = False,
+) -> dict[str, DataFrame]:
+    """One batch of extracts through the layers; returns all tables of the domain by name.
+
+    Bronze keeps every batch; a batch that is loaded again replaces itself. Rows that a rule refuses go
+    to the quarantine of their table, and refused rows that pass by now are taken back with it. Event
+    tables are built again for the days that the batch touches, others whole. ``full`` starts from this
+    batch alone and builds everything. With ``hold_orphans`` events wait in the quarantine until the
+    master record that they name has arrived.
+    """
+    lake = Lake(spark, root, domain.calendar)
+    replayed = load(lake, domain, raw, run, full, hold_orphans)
+    return derive(lake, domain, run, replayed, full)
+
+
+def load(
+    lake: Lake, domain: Domain, raw: str, run: RunContext, full: bool = False, hold_orphans: bool = False
+) -> dict[str, set]:
+    """Publish a batch to bronze and settle the quarantine; returns the days of replayed rows by table."""
+    batch = bronze.ingest(lake.spark, domain.sources, raw, run)
+    for name, df in batch.items():
+        lake.publish_batch(name, df, run, full)
+    parents: dict[str, list[Parent]] = {}
+    for link in domain.parents if hold_orphans else ():
+        if {link.facts, link.dim} <= set(lake.names("bronze")):
+            parent = Parent(link.name, link.key, lake.read(link.dim), link.key)
+            parents.setdefault(link.facts, []).append(parent)
+    lake.held = parents
+    days = {}
+    for name, rules in _rules(run).items():
+        if name in batch or (lake.table(name).latest() and not full):
+            rows = lake.table(name).read().filter(F.col("_batch_id") == run.batch_id).drop(DAY)
+            days[name] = keep_rejects(lake, name, rows, rules, run, full, parents.get(name, ()))
+    return days
+
+
+def derive(
+    lake: Lake, domain: Domain, run: RunContext, replayed: Mapping[str, set] | None = None, full: bool = False
+) -> dict[str, DataFrame]:
+    """Silver and gold from what bronze holds, days that are not touched left alone unless ``full``."""
+    tables = {n: lake.read(n) for n in lake.names("bronze")}
+    for name, df in domain.silver(tables, run).items():
+        if name in domain.calendar.reads:
+            extra = {d for source in domain.calendar.reads[name] for d in (replayed or {}).get(source, ())}
+            _days_or_all(lake, name, tables, lambda t, n=name: domain.silver(t, run)[n], run, extra, full)
+        else:
+            lake.publish_whole(name, df, run)
+    tables |= {n: lake.read(n) for n in lake.names("silver")}
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if name not in tables:
+            if name in domain.calendar.reads:
+                alone = lambda t: domain.gold(t, run, bronze.as_is)[name]
+                _days_or_all(lake, name, tables, alone, run, (), full)
+            else:
+                lake.publish_whole(name, df, run)
+            tables[name] = lake.read(name)
+        return tables[name]
+
+    for name, df in domain.gold(dict(tables), run, keep).items():
+        keep(df, name)
     return tables
 
 
+def _days_or_all(lake: Lake, name: str, tables: Tables, build, run: RunContext, replayed, full: bool) -> None:
+    if full:
+        sources = (*lake.calendar.reads[name], *lake.calendar.keyed.get(name, {}))
+        lake.publish_whole(name, build(dict(tables)), run, sources)
+    else:
+        lake.refresh_days(name, tables, build, run, replayed)
+
+
 def open_tables(spark: SparkSession, root: str, names: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Tables of an earlier build by name; ``names`` maps a table to its layer."""
-    return {n: spark.read.parquet(f"{root.rstrip('/')}/{layer}/{n}") for n, layer in names.items()}
+    """Tables of an earlier build by name, as last published; ``names`` maps a table to its layer."""
+    return {n: SnapshotTable(spark, f"{root.rstrip('/')}/{layer}/{n}").read().drop(DAY) for n, layer in names.items()}
 
 
 def check(

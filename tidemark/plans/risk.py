@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.context import RunContext
 from tidemark.functions.flags import between_flag, flag
-from tidemark.functions.scoring import mean_of_flags, rate, tier
+from tidemark.functions.scoring import exact_mean, mean_of_flags, rate, tier
 from tidemark.operators.checks import Check, duplicate_pct, row_count, share_pct, violations
 from tidemark.operators.keyed import cast_project, casts, dedup_latest, require
 from tidemark.operators.pit import pit_rolling
@@ -21,6 +21,7 @@ DEFAULT_UTILIZATION = 0.5
 DEFAULT_DEROGATORY = 0
 RATIO_WITHOUT_HISTORY = 1.0
 DEVICE_WINDOW_DAYS = 7
+HISTORY_DAYS = 30
 
 
 # Silver
@@ -152,6 +153,7 @@ def risk_features(
         "amount",
         "transaction_state",
         "is_fraud",
+        days=HISTORY_DAYS,
         strict=strict,
     )
     enriched = history if devices is None else device_signals(history, devices)
@@ -199,26 +201,25 @@ def risk_features(
 
 def customer_risk_profile(features: DataFrame, run: RunContext) -> DataFrame:
     fraud = F.col("is_fraud").cast("int")
-    ratio = F.avg("amount_vs_avg_ratio")
+    ratio = exact_mean(F.col("amount_vs_avg_ratio"))
     states = F.max("distinct_states_30d")
-    # Rounded so that a mean equal to its threshold does not pass it by the order of summing.
-    utilization = F.round(F.avg("credit_utilization_pct"), 9)
-    strained = (utilization > 0.8) | (F.avg("num_derogatory_marks") > 2)
+    utilization = exact_mean(F.col("credit_utilization_pct"))
+    strained = (utilization > 0.8) | (mean_of_flags(F.col("num_derogatory_marks")) > 2)
     return features.groupBy("customer_id").agg(
         F.count("*").alias("total_transactions"),
         F.sum(fraud).alias("confirmed_fraud_count"),
         F.round(mean_of_flags(fraud) * 100, 3).alias("fraud_rate_pct"),
-        F.avg("amount").alias("avg_transaction_amount"),
+        exact_mean(F.col("amount"), 6).alias("avg_transaction_amount"),
         F.max("amount").alias("max_transaction_amount"),
         F.round(ratio, 3).alias("avg_amount_deviation"),
         states.alias("max_distinct_states"),
         F.sum("new_device_events_7d").alias("total_new_device_events"),
         F.sum("vpn_events_7d").alias("total_vpn_events"),
-        F.avg("bureau_score").alias("avg_bureau_score"),
+        mean_of_flags(F.col("bureau_score")).alias("avg_bureau_score"),
         tier(
             [
                 ("CONFIRMED_FRAUD", F.sum(fraud) > 0),
-                ("HIGH", (F.round(ratio, 9) > 5) & (states > 3)),
+                ("HIGH", (ratio > 5) & (states > 3)),
                 ("MEDIUM", strained),
             ],
             "LOW",

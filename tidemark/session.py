@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot key must be split even when the split costs one more exchange afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Shuffle files go when their query has ended, so a job of many steps holds one step's at a time.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
