@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import masking
 
@@ -88,3 +88,54 @@ def trace(start: DataFrame, key: str, chain: Sequence[Hop]) -> DataFrame:
             .drop(f"{hop.name}_rows")
         )
     return out
+
+
+def batch_dictionary(df: DataFrame, batch: str = "_batch_id") -> DataFrame:
+    """(bucket, names): the batches of a table in order, so many names a bucket as a bitmap has bits.
+
+    The list of batches is numbered in one task; it has a row per load, not per row.
+    """
+    numbered = df.select(F.col(batch).alias("name")).dropna().distinct().withColumn(
+        "number", F.row_number().over(Window.orderBy("name"))
+    )
+    named = numbered.withColumn("bucket", F.expr("bitmap_bucket_number(number)"))
+    return named.groupBy("bucket").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("number", "name"))), lambda x: x["name"]
+        ).alias("names")
+    )
+
+
+def numbered_batches(df: DataFrame, dictionary: DataFrame, batch: str = "_batch_id") -> DataFrame:
+    """``df`` with ``_bucket`` and ``_bit``, the place of its batch in the dictionary."""
+    places = dictionary.select("bucket", F.posexplode("names").alias("bit", "name")).select(
+        F.col("bucket").alias("_bucket"), F.col("bit").cast("bigint").alias("_bit"), F.col("name").alias(batch)
+    )
+    return df.join(places, batch, "left")
+
+
+def batches_of() -> Column:
+    """Aggregate of ``_bit`` per group and ``_bucket``: the batches that took part, one bit each."""
+    return F.bitmap_construct_agg("_bit").alias("_batches")
+
+
+def merged_batches(column: str = "_batches") -> Column:
+    """Aggregate of bitmaps of one bucket, for products made from products."""
+    return F.bitmap_or_agg(column).alias("_batches")
+
+
+def batch_names(df: DataFrame, dictionary: DataFrame, column: str = "_batches") -> DataFrame:
+    """``df`` with ``batch_ids``: the names behind each row's bitmap; the bitmap columns go."""
+    byte = lambda i: F.conv(F.hex(F.substring(F.col(column), i.cast("int"), F.lit(1))), 16, 10).cast("int")
+
+    def is_set(bit: Column) -> Column:
+        mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))
+        return F.coalesce(byte(F.floor(bit / 8) + 1).bitwiseAND(mask) > 0, F.lit(False))
+
+    joined = df.join(dictionary, F.col("_bucket") == F.col("bucket"), "left")
+    bits = F.sequence(F.lit(0), F.size("names") - 1)
+    kept = F.filter(bits, is_set)
+    names = F.transform(kept, lambda i: F.element_at("names", i + 1))
+    return joined.withColumn("batch_ids", F.coalesce(names, F.array().cast("array<string>"))).drop(
+        "bucket", "names", "_bucket", column
+    )

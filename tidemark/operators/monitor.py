@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.scoring import rate
+from tidemark.session import shared_root
 
 
 def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column:
@@ -150,3 +151,37 @@ def group_rate_audit(df: DataFrame, group: str, label: str) -> DataFrame:
         rate(F.col("positives"), F.col("group_size"), digits=None).alias("rate_pct"),
         overall.alias("overall_rate_pct"),
     ).withColumn("rate_ratio", F.try_divide(F.col("rate_pct"), F.col("overall_rate_pct")))
+
+
+def ks_distance(df: DataFrame, value: str, second: Column, coefficient: float = 1.358) -> DataFrame:
+    """Kolmogorov-Smirnov distance of two samples, exact and without bins: one row.
+
+    ``second`` tells the rows of the second sample. Equal values become one row with two counts, rows
+    are dealt by range of the value, sums of whole ranges give each its offset, and running sums stay
+    within a range; no task sees all values. ``gap`` is the largest difference of the two cumulative
+    counts, each times the size of the other sample, so it is a whole number.
+    """
+    spark = df.sparkSession
+    shared_root(spark)
+    one, two = F.count_if(~second), F.count_if(second)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(one.alias("x"), two.alias("y"))
+    # Written once, so that a range is the same rows for its sum and for its running sums.
+    dealt = counted.repartitionByRange("v").checkpoint().withColumn("part", F.spark_partition_id())
+    sums = dealt.groupBy("part").agg(F.sum("x").alias("px"), F.sum("y").alias("py"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ("px", "py")]
+    )
+    running = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = dealt.join(offsets, "part").select(
+        "v", (F.sum("x").over(running) + F.col("_px")).alias("cx"), (F.sum("y").over(running) + F.col("_py")).alias("cy")
+    )
+    total = sums.agg(F.coalesce(F.sum("px"), F.lit(0)).alias("n_first"), F.coalesce(F.sum("py"), F.lit(0)).alias("n_second"))
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    gap = F.abs(wide("cx") * wide("n_second") - wide("cy") * wide("n_first"))
+    most = with_total(placed, total).agg(F.max(gap).alias("gap"))
+    n, m = F.col("n_first").cast("double"), F.col("n_second").cast("double")
+    return with_total(total, most).select(
+        "n_first", "n_second", F.try_divide(F.col("gap").cast("double"), n * m).alias("distance"),
+        (coefficient * F.sqrt(F.try_divide(n + m, n * m))).alias("critical"),
+    ).withColumn("differs", F.coalesce(F.col("distance") > F.col("critical"), F.lit(False)))

@@ -215,3 +215,43 @@ def volume_check(
             F.when(F.col("row_count") < F.col("previous_count") * min_of_previous, 1).otherwise(0),
         )
     )
+
+
+def sustained_shift(
+    df: DataFrame, key: str, day: str, value: str, baseline_days: int, slack: int, limit: int
+) -> DataFrame:
+    """Change points of a key's daily whole-number value by cumulative sums.
+
+    The reference is the mean of the key's first ``baseline_days`` days, rounded down. Upwards, the sum
+    of (value - reference - slack) less its running minimum grows while the value stays high; the first
+    day it exceeds ``limit`` is the alarm, and the shift began on the day after that minimum. Downwards
+    the same with the sign turned. One row per key and direction with an alarm: ``direction, shift_day,
+    alarm_day, reference, excess``. Sums are of whole numbers, so exact; windows run over days.
+    """
+    in_order = Window.partitionBy(key).orderBy(day)
+    ranked = df.withColumn("_rank", F.row_number().over(in_order))
+    early = F.when(F.col("_rank") <= baseline_days, F.col(value))
+    of_key = Window.partitionBy(key)
+    based = ranked.withColumn("_sum", F.sum(early).over(of_key)).withColumn("_n", F.count(early).over(of_key))
+    reference = F.floor(F.col("_sum").cast("decimal(38,0)") / F.col("_n")).cast("long")
+    stepped = based.withColumn("reference", reference).select(
+        key, day, "_rank", "reference",
+        F.inline(
+            F.array(
+                F.struct(F.lit("up").alias("direction"), (F.col(value) - F.col("reference") - slack).alias("_step")),
+                F.struct(F.lit("down").alias("direction"), (F.col("reference") - F.col(value) - slack).alias("_step")),
+            )
+        ),
+    )
+    path = Window.partitionBy(key, "direction").orderBy(day)
+    so_far = path.rowsBetween(Window.unboundedPreceding, 0)
+    summed = stepped.withColumn("_total", F.sum("_step").over(so_far))
+    # The last day of the least sum so far, with day 0 and sum 0 before the first day.
+    low = F.min(F.struct("_total", (-F.col("_rank")).alias("_at"))).over(so_far)
+    lowest = summed.withColumn("_low", F.least(low, F.struct(F.lit(0).cast("long").alias("_total"), F.lit(0).alias("_at"))))
+    excess = lowest.withColumn("excess", F.col("_total") - F.col("_low._total")).filter(F.col("excess") > limit)
+    first = excess.groupBy(key, "direction").agg(
+        F.min_by(F.struct(F.col(day).alias("alarm_day"), "reference", "excess", (-F.col("_low._at") + 1).alias("_start")), day).alias("_a")
+    ).select(key, "direction", "_a.*")
+    days = ranked.select(key, F.col("_rank").alias("_start"), F.col(day).alias("shift_day"))
+    return first.join(days, [key, "_start"]).select(key, "direction", "shift_day", "alarm_day", "reference", "excess")
