@@ -36,8 +36,8 @@ from tidemark.llm.batches import WORD_BYTES, bound_batches, kept, rows_of
 TOP = 50
 BLOCK = 128
 DIMENSIONS = 32
-SHARD_DOCS = 1 << 14
-SHARD_ENTRIES = 1 << 21
+SHARD_DOCS = 1 << 13
+SHARD_ENTRIES = 1 << 20
 CELLS = 1 << 22
 QUERY_BYTES = 8 << 20
 VECTORS = "doc_id bigint, n bigint, terms array<int>, tfs array<int>"
@@ -158,8 +158,8 @@ def maxima(docs, cut, at, term, impacts, t: int) -> tuple[np.ndarray, np.ndarray
         np.maximum.at(peak, cell, impacts[entries])
         filled = np.flatnonzero(peak)
         sizes.append(np.bincount(filled // t, minlength=n))
-        terms.append(filled % t)
-        peaks.append(peak[filled])
+        terms.append((filled % t).astype(np.int32))
+        peaks.append(peak[filled].astype(np.int32))  # an impact is at most a million
     sizes = np.concatenate(sizes)
     return np.cumsum(sizes) - sizes, np.concatenate(terms), np.concatenate(peaks)
 
