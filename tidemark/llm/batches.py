@@ -58,4 +58,14 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table that several readers need to the shared folder and read it back."""
     path = work_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``kept`` has written and that nothing will read again."""
+    for table in tables:
+        spark, path = table.sparkSession, table.kept_at
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -7,11 +7,10 @@ first four words (two rounds of doubling), which fixes the Burrows-Wheeler trans
 keeps: extending an interval to the left by a word is the LF mapping of its rows, and the rows
 reached, seen forward, say what the extended phrase begins with.
 
-Phrases of n words are enumerated for all intervals of n - 1 words at once. Only intervals whose phrase
-is frequent over all shards are extended, at both ends, so what a level moves is bounded by the level
-before it. A phrase is the pair of its first and last n - 1 words, as ids given to frequent phrases:
-two numbers, whatever the words. The shards' counts meet in one shuffle a level, where a phrase has at
-most one row per shard.
+Phrases of two words are enumerated for all intervals of one word at once, and their counts summed over
+the shards in one shuffle, where a phrase has at most one row per shard. Only intervals whose phrase is
+frequent over all shards are extended further, in one more pass to three and four words. A phrase is
+named by the ids of what it is made of, two or three numbers whatever the words.
 
 Null languages are ``und``; null, empty and blank texts have no words; repeated rows count again; a
 language without candidates has no rows; an empty table gives an empty result.
@@ -27,18 +26,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.batches import bound_batches, kept, rows_of
+from tidemark.llm.batches import bound_batches, kept, release, rows_of
 
 LEAST = 30
 DEPTH = 4
 KEPT = 2000
 COVERED = (4, 5)  # 80 of 100
 SHARD_WORDS = 3 << 20
+OPEN_WORDS = 8 << 20
+# A place in a shard, a shard of a task, and the task, in one number of 63 bits.
+PLACE_BITS, PART_BITS = 30, 13
 SALTS = 64
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes(c + 32 if 65 <= c <= 90 else 46 if c in BREAKS else 32 if c == 9 else c for c in range(256))
 SHARDS = "shard bigint, lang string, n_words bigint, words array<int>, vocabulary array<string>, counts array<bigint>"
-GRAMS = "shard bigint, place int, a bigint, b bigint, n bigint"
+PAIRS = "at bigint, a bigint, b bigint, n int"
+LONGER = "a bigint, m bigint, b bigint, n int"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -51,15 +54,17 @@ def text_shards(docs: DataFrame, size: int = SHARD_WORDS, lang_col: str = "lang"
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, texts, words, made = {}, defaultdict(list), 0, 0
-        first = TaskContext.get().partitionId() << 32
+        numbers, texts, words, made = {}, defaultdict(list), defaultdict(int), 0
+        first = TaskContext.get().partitionId() << PART_BITS
 
-        def close():
+        def close(langs):
             nonlocal made
-            for lang, parts in texts.items():
-                ids = np.concatenate([*parts, [0]]).astype(np.int32)
-                counts = np.bincount(ids, minlength=len(numbers[lang]))[1:]
-                names = [w.decode() for w in numbers[lang]][1:]
+            for lang in langs:
+                ids = np.concatenate([*texts.pop(lang), [0]]).astype(np.int32)
+                named = numbers.pop(lang)
+                counts = np.bincount(ids, minlength=len(named))[1:]
+                names = [w.decode() for w in named][1:]
+                del words[lang]
                 columns = [
                     pa.array([first + made]), pa.array([lang]), pa.array([int(counts.sum())]),
                     pa.array([ids], pa.list_(pa.int32())), pa.array([names], pa.list_(pa.string())),
@@ -67,8 +72,6 @@ def text_shards(docs: DataFrame, size: int = SHARD_WORDS, lang_col: str = "lang"
                 ]
                 made += 1
                 yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SHARDS.split(", ")])
-            texts.clear()
-            numbers.clear()
 
         for langs, contents in rows_of(batches):
             for lang, text in zip(langs.to_pylist(), contents, strict=True):
@@ -79,11 +82,12 @@ def text_shards(docs: DataFrame, size: int = SHARD_WORDS, lang_col: str = "lang"
                     numbers[lang][b"."]
                 get = numbers[lang].__getitem__
                 texts[lang] += [[0], np.fromiter(map(get, found), np.int32, len(found))]
-                words += len(found)
-                if words >= size:
-                    yield from close()
-                    words = 0
-        yield from close()
+                words[lang] += len(found)
+                if words[lang] >= size:
+                    yield from close([lang])
+                elif sum(words.values()) >= OPEN_WORDS:
+                    yield from close(list(texts))
+        yield from close(list(texts))
 
     named = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
@@ -159,35 +163,41 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def extensions(levels: int):
-    """Phrases one word longer than those of the last of ``levels`` given levels, of every shard."""
+def _columns(names: list[str], *values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Batches of so many rows of equally long columns."""
+    for at in range(0, len(values[0]), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(v[at : at + (1 << 16)]) for v in values], names)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The phrases of two words of every shard, with their place in it."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            index = Index(batch.column("bwt")[i].values.to_numpy())
+            names = np.concatenate([[0], batch.column("ids")[i].values.to_numpy()])
+            first, last, counts = index.extend()
+            base = batch.column("shard")[i].as_py() << PLACE_BITS
+            places = np.arange(base + 1, base + len(counts) + 1)
+            yield from _columns(["at", "a", "b", "n"], places, names[first], names[last], counts.astype(np.int32))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                get = lambda c: batch.column(c)[i].values.to_numpy()  # noqa: E731, B023
-                index = Index(get("bwt"))
-                names = np.concatenate([[0], get("ids")])
-                for level in range(2, levels + 1):
-                    index.extend()
-                    place, ids = get(f"place{level}"), get(f"id{level}")
-                    index.keep(place)
-                    names = np.zeros(int(place.max(initial=0)) + 1, np.int64)
-                    names[place] = ids
-                first, last, counts = index.extend()
-                shard = batch.column("shard")[i].as_py()
-                for at in range(0, len(counts), 1 << 16):
-                    part = slice(at, at + (1 << 16))
-                    n = len(counts[part])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n, shard)), pa.array(np.arange(at + 1, at + n + 1, dtype=np.int32)),
-                            pa.array(names[first[part]]), pa.array(names[last[part]]), pa.array(counts[part]),
-                        ],
-                        ["shard", "place", "a", "b", "n"],
-                    )
-
-    return run
+
+def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The phrases of three and four words of every shard whose pairs are all frequent, named by them."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            get = lambda c: batch.column(c)[i].values.to_numpy()  # noqa: E731, B023
+            index = Index(get("bwt"))
+            index.extend()
+            place, ids = get("place"), get("id")
+            index.keep(place)
+            names = np.zeros(int(place.max(initial=0)) + 1, np.int64)
+            names[place] = ids
+            first, last, counts = index.extend()
+            begin, end = names[first], names[last]
+            out = ["a", "m", "b", "n"]
+            yield from _columns(out, begin, np.zeros(len(begin), np.int64), end, counts.astype(np.int32))
+            front, back, counts = index.extend()
+            yield from _columns(out, begin[front - 1], end[front - 1], end[back - 1], counts.astype(np.int32))
 
 
 def mine(
@@ -195,8 +205,8 @@ def mine(
 ) -> tuple[DataFrame, dict[int, DataFrame]]:
     """(lang, n) and, per number of words, the frequent phrases.
 
-    Single words are (id, lang, words, f), longer phrases (id, a, b, f) with a and b the ids of their
-    first and last words but one.
+    Single words are (id, lang, words, f), longer phrases (id, a, b, f) with a and b the ids of what is
+    left of them without their last and without their first word.
     """
     shards = kept(text_shards(docs, size, lang_col, text_col), "shards")
     totals = shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
@@ -214,17 +224,29 @@ def mine(
         ),
         "bwt",
     )
+    totals = kept(totals, "totals")
+    release(shards)
     by_phrase = Window.partitionBy("a", "b")
-    for n in range(2, DEPTH + 1):
-        grams = index.mapInArrow(extensions(n - 1), GRAMS)
-        counted = grams.withColumn("f", F.sum("n").over(by_phrase)).filter(F.col("f") >= least)
-        # Rows of one phrase lie in one task: the least of their numbers is the phrase's id.
-        numbered = counted.withColumn("row", F.monotonically_increasing_id() + 1)
-        rows = kept(numbered.withColumn("id", F.min("row").over(by_phrase)), f"phrases-{n}")
-        level[n] = rows.filter("row = id").select("id", "a", "b", "f")
-        if n < DEPTH:
-            alive = places(rows).toDF("shard", f"place{n}", f"id{n}")
-            index = index.join(alive, "shard")
+    counted = index.mapInArrow(_pairs, PAIRS).withColumn("f", F.sum("n").over(by_phrase)).filter(F.col("f") >= least)
+    # Rows of one phrase lie in one task: the least of their numbers is the phrase's id.
+    numbered = counted.withColumn("row", F.monotonically_increasing_id() + 1)
+    pairs = kept(numbered.withColumn("id", F.min("row").over(by_phrase)), "pairs")
+    level[2] = pairs.filter("row = id").select("id", "a", "b", "f")
+    own = pairs.select(
+        F.shiftright("at", PLACE_BITS).alias("shard"),
+        F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"), "id",
+    )
+    alive = index.select("shard", "bwt").join(places(own), "shard")
+    sums = alive.mapInArrow(_longer, LONGER).groupBy("a", "m", "b").agg(F.sum("n").alias("f"))
+    found = sums.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id() + 1)
+    longer = kept(found, "longer")
+    release(index)
+    level[3] = longer.filter("m = 0").select("id", "a", "b", "f")
+    # Four words are known by their pairs; their first and last three words are so, too.
+    front = level[3].select(F.col("id").alias("front"), "a", F.col("b").alias("m"))
+    back = level[3].select(F.col("id").alias("back"), F.col("a").alias("m"), "b")
+    four = longer.filter("m <> 0").join(front, ["a", "m"]).join(back, ["m", "b"])
+    level[4] = kept(four.select("id", F.col("front").alias("a"), F.col("back").alias("b"), "f"), "fours")
     return totals, level
 
 
@@ -242,10 +264,12 @@ def spelled(level: dict[int, DataFrame]) -> dict[int, DataFrame]:
     for n in range(2, DEPTH + 1):
         begin = told[n - 1].select(F.col("id").alias("a"), "lang", "phrase", "heads")
         end = told[n - 1].select(F.col("id").alias("b"), "last", "tails")
-        told[n] = level[n].join(begin, "a").join(end, "b").select(
+        longer = level[n].join(begin, "a").join(end, "b").select(
             "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f",
             F.concat("heads", counts).alias("heads"), F.concat("tails", counts).alias("tails"),
         )
+        # The next level reads it twice.
+        told[n] = kept(longer, f"spelled-{n}") if n < DEPTH else longer
     return told
 
 
