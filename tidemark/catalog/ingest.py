@@ -9,7 +9,7 @@ from tidemark.catalog.base import EVENTS_RUN, ORDERS_RUN, Tables, query
 from tidemark.context import RunContext
 from tidemark.functions import flags
 from tidemark.functions.scoring import money_sum
-from tidemark.operators import keyed
+from tidemark.operators import keyed, quarantine
 from tidemark.operators.governance import forbidden_columns
 from tidemark.plans import asset, provider
 from tidemark.session import work_dir
@@ -54,6 +54,41 @@ def bronze_csv_ingest(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query(
+    "damaged_lines",
+    "SRC-01 SIL-18",
+    """WITH l AS (SELECT s_suppkey, s_suppkey % 7 = 0 AS broken, s_suppkey % 11 = 0 AS cut FROM supplier)
+    SELECT CASE WHEN broken OR cut THEN 'open' ELSE 'loaded' END AS state, COUNT(*) AS n_lines,
+      CAST(SUM(s_suppkey) AS BIGINT) AS key_sum FROM l GROUP BY 1""",
+)
+def damaged_lines(t: Tables) -> DataFrame:
+    """An extract in which some cells do not parse and some lines are cut short: those lines wait in
+    the quarantine, the others are loaded."""
+    root = work_dir(t.spark, "damaged")
+    key = F.col("s_suppkey").cast("string")
+    balance = F.when(F.col("s_suppkey") % 7 == 0, "n/a").otherwise(F.col("s_acctbal").cast("string"))
+    line = F.when(F.col("s_suppkey") % 11 == 0, F.concat_ws(",", key, "s_name")).otherwise(
+        F.concat_ws(",", key, "s_name", F.col("s_nationkey").cast("string"), balance)
+    )
+    spec = SourceSpec(
+        "bronze_suppliers", "supplier_master.csv", "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE"
+    )
+    head = "s_suppkey,s_name,s_nationkey,s_acctbal"
+    t.supplier.select(line.alias(head)).write.option("header", True).option("quote", "\u0000").option(
+        "sep", "\u0001"
+    ).csv(f"{root}/{spec.file}")
+    loaded = bronze.ingest(t.spark, [spec], root, ORDERS_RUN)[spec.table].select(
+        F.lit("loaded").alias("state"), "s_suppkey"
+    )
+    damaged = bronze.ingest_damaged(t.spark, [spec], root, ORDERS_RUN)[spec.table]
+    ledger = quarantine.unreadable(damaged, bronze.DAMAGED, ORDERS_RUN)
+    first_cell = F.split_part(F.get_json_object("payload", f"$.{bronze.DAMAGED}"), F.lit(","), F.lit(1))
+    waiting = ledger.select(F.col("status").alias("state"), first_cell.cast("bigint").alias("s_suppkey"))
+    return loaded.unionByName(waiting).groupBy("state").agg(
+        F.count("*").alias("n_lines"), F.sum("s_suppkey").alias("key_sum")
+    )
+
+
 @query(
     "bronze_daily_partitions",
     "SRC-08",

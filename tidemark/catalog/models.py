@@ -220,30 +220,56 @@ def ml_permuted(t: Tables) -> DataFrame:
     return found.withColumnRenamed("_changed", "changed")
 
 
-# Weights that stand for a fitted model's where its output is checked.
-FIXED_WEIGHTS = {"value": 0.75, "user_id": 0.2, "event_id": 0.05}
+# A fixed linear score of a high value, and what is asked of it.
+SCORED = ("value", "user_id")
+IS_HIGH = F.expr("value > 100")
+SAYS_HIGH = F.expr("value * 10 + user_id > 1050")
+DROPS_SQL = """ranked AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) AS r,
+      COUNT(*) OVER () AS n FROM events WHERE value IS NOT NULL),
+    paired AS (SELECT a.value > 100 AS high, a.value, a.user_id, b.value AS v, b.user_id AS u
+      FROM ranked a JOIN ranked b ON a.r = b.r % b.n + 1),
+    hits AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (high = (value * 10 + user_id > 1050)) AS plain,
+      COUNT(*) FILTER (high = (v * 10 + user_id > 1050)) AS by_value, COUNT(*) FILTER (high = (value * 10 + u > 1050)) AS by_user FROM paired),
+    drops AS (SELECT 'value' AS feature, n, by_value AS h, plain - by_value AS lost FROM hits
+      UNION ALL SELECT 'user_id', n, by_user, plain - by_user FROM hits),
+    importance AS (SELECT feature, n AS row_count, round(h::DOUBLE / n, 4) AS accuracy, round(lost::DOUBLE / n, 4) AS importance,
+      CAST(row_number() OVER (ORDER BY round(lost::DOUBLE / n, 4) DESC, feature) AS INTEGER) AS rank FROM drops)"""
+
+
+def linear_drops(t: Tables) -> DataFrame:
+    """What the score loses when one of its inputs is taken from another row."""
+    rows = t.events.filter("value IS NOT NULL").select("event_id", *SCORED, IS_HIGH.alias("is_high"))
+    permuted = learning.permuted_rows(rows, SCORED, "is_high", "event_id")
+    return learning.accuracy_drops(permuted, SAYS_HIGH == F.col("is_high"))
 
 
 @query(
     "ml_importance_rows",
     "ML-08",
-    """SELECT * FROM (VALUES ('value', 0.75::DOUBLE, CAST(1 AS INTEGER)), ('user_id', 0.2, 2))
-      AS v(feature, importance, rank) WHERE (SELECT COUNT(*) FROM events) > 0""",
+    f"WITH {DROPS_SQL} SELECT feature, row_count, accuracy, importance, rank FROM importance",
 )
 def ml_importance_rows(t: Tables) -> DataFrame:
-    return learning.importance_table(t.events, FIXED_WEIGHTS, top=2)
+    """Features ranked by the accuracy that their permutation costs."""
+    drops = t.keep(linear_drops(t), "drops")
+    ranked = learning.importance_table(t.events, learning.ranked_drops(drops), top=2)
+    return ranked.join(drops.drop("accuracy_drop"), "feature")
 
 
 @query(
     "ml_audit_rows",
     "ML-09",
-    """SELECT event_id, value AS first_value, 'value' AS first_feature, 0.75::DOUBLE AS first_weight,
-      CAST(user_id AS DOUBLE) AS second_value, 'user_id' AS second_feature, 0.2::DOUBLE AS second_weight,
-      'v1.0' AS model_version, 'events' AS feature_source, 'events > scores' AS data_lineage FROM events""",
+    f"""WITH {DROPS_SQL}, first AS (SELECT * FROM importance WHERE rank = 1), second AS (SELECT * FROM importance WHERE rank = 2),
+    one AS (SELECT e.*, f.feature AS f1, f.importance AS w1, s.feature AS f2, s.importance AS w2
+      FROM events e, first f, second s WHERE e.value IS NOT NULL)
+    SELECT event_id, CASE f1 WHEN 'value' THEN value ELSE CAST(user_id AS DOUBLE) END AS first_value, f1 AS first_feature, w1 AS first_weight,
+      CASE f2 WHEN 'value' THEN value ELSE CAST(user_id AS DOUBLE) END AS second_value, f2 AS second_feature, w2 AS second_weight,
+      'v1.0' AS model_version, 'events' AS feature_source, 'events > scores' AS data_lineage FROM one""",
 )
 def ml_audit_rows(t: Tables) -> DataFrame:
-    scored = t.events.withColumn("model_version", F.lit("v1.0"))
-    found = learning.audit_rows(scored, FIXED_WEIGHTS, ["event_id"], "events", "events > scores", top=2)
+    """Every scored row with its two strongest inputs, as measured on the rows themselves."""
+    ranked = learning.ranked_drops(linear_drops(t))
+    scored = t.events.filter("value IS NOT NULL").withColumn("model_version", F.lit("v1.0"))
+    found = learning.audit_rows(scored, ranked, ["event_id"], "events", "events > scores", top=2)
     driver = lambda i, part: F.col("top_risk_drivers")[i][part]
     return found.select(
         "event_id", driver(0, "value").alias("first_value"), driver(0, "feature").alias("first_feature"),
@@ -253,25 +279,63 @@ def ml_audit_rows(t: Tables) -> DataFrame:
     )
 
 
-SMALL_FOREST = ForestSpec(("value", "user_id"), "is_high", 5, 3, 5)
+@query(
+    "ml_model_card",
+    "ML-10",
+    f"""WITH {DROPS_SQL},
+    cells AS (SELECT value > 100 AS a, value * 10 + user_id > 1050 AS p FROM events WHERE value IS NOT NULL),
+    c AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (a = p) AS hits, COUNT(*) FILTER (a AND p) AS tp, COUNT(*) FILTER (NOT a AND NOT p) AS tn,
+      COUNT(*) FILTER (a) AS pos, COUNT(*) FILTER (NOT a) AS neg, COUNT(*) FILTER (p) AS ppos, COUNT(*) FILTER (NOT p) AS pneg FROM cells)
+    SELECT 'Linear score of high values' AS model_name, 'is_high' AS target, 'value,user_id' AS features,
+      n AS test_set_size, round(hits::DOUBLE / n, 4) AS accuracy,
+      round((COALESCE(2.0 * tp / (pos + ppos), 0) + COALESCE(2.0 * tn / (neg + pneg), 0)) / 2, 4) AS f1_macro,
+      (SELECT feature FROM importance WHERE rank = 1) AS strongest, (SELECT importance FROM importance WHERE rank = 1) AS strongest_weight,
+      TIMESTAMP '2024-01-31 06:00:00' AS trained_at FROM c""",
+)
+def ml_model_card(t: Tables) -> DataFrame:
+    """The card of the score: its figures over the table and its strongest input."""
+    rows = t.events.filter("value IS NOT NULL").select(IS_HIGH.cast("int").alias("is_high"), SAYS_HIGH.cast("int").alias("says"))
+    metrics = learning.overall_report(t.keep(learning.confusion(rows, "is_high", "says"), "cells")).first().asDict()
+    spec = ForestSpec(SCORED, "is_high")
+    card = learning.model_card(
+        t.events, "Linear score of high values", spec, learning.ranked_drops(linear_drops(t)), metrics,
+        {"training_data": "events"}, EVENTS_RUN,
+    )
+    strongest = F.col("feature_importances")[0]
+    return card.select(
+        "model_name", "target", F.array_join("features", ",").alias("features"),
+        F.col("metrics.test_set_size").cast("bigint").alias("test_set_size"),
+        "metrics.accuracy", "metrics.f1_macro", strongest["feature"].alias("strongest"),
+        strongest["importance"].alias("strongest_weight"), "trained_at",
+    )
+
+
+# One tree of one split over a feature with few values, so that SQL can find the split too.
+STUMP = ForestSpec(("bucket",), "is_high", trees=1, depth=1, min_leaf=1, bootstrap=False)
 
 
 @query(
     "ml_score_contract",
     "ML-04 ML-05",
-    """SELECT event_id, value > 100 AS is_high, TRUE AS known_class, TRUE AS sure_share, TRUE AS positive_share,
-      'v1.0' AS model_version FROM events""",
+    """WITH e AS (SELECT event_id, CAST(LEAST(floor(value / 10), 30) AS DOUBLE) AS bucket, (value > 57)::INTEGER AS y FROM events WHERE value IS NOT NULL),
+    n AS (SELECT COUNT(*)::DOUBLE AS n, COUNT(*) FILTER (y = 1)::DOUBLE AS n1, COUNT(*) FILTER (y = 0)::DOUBLE AS n0 FROM e),
+    b AS (SELECT bucket, COUNT(*) FILTER (y = 0) * n / (2 * n0) AS w0, COUNT(*) FILTER (y = 1) * n / (2 * n1) AS w1 FROM e, n GROUP BY bucket, n, n0, n1),
+    cuts AS (SELECT a.bucket AS cut, SUM(b.w0) FILTER (b.bucket <= a.bucket) AS l0, SUM(b.w1) FILTER (b.bucket <= a.bucket) AS l1,
+      COALESCE(SUM(b.w0) FILTER (b.bucket > a.bucket), 0) AS r0, COALESCE(SUM(b.w1) FILTER (b.bucket > a.bucket), 0) AS r1 FROM b a, b GROUP BY 1),
+    best AS (SELECT * FROM cuts WHERE r0 + r1 > 0
+      ORDER BY (l0 + l1) * (1 - (l0 * l0 + l1 * l1) / ((l0 + l1) * (l0 + l1))) + (r0 + r1) * (1 - (r0 * r0 + r1 * r1) / ((r0 + r1) * (r0 + r1))), cut LIMIT 1),
+    p AS (SELECT event_id, y, CASE WHEN bucket <= cut THEN l1 / (l0 + l1) ELSE r1 / (r0 + r1) END AS p1 FROM e, best)
+    SELECT event_id, y AS is_high, (p1 > 0.5)::INTEGER AS predicted, round(GREATEST(p1, 1 - p1), 4) AS confidence,
+      round(p1, 4) AS probability_positive, 'v1.0' AS model_version FROM p""",
 )
 def ml_score_contract(t: Tables) -> DataFrame:
-    """What every scored row must satisfy, whatever the forest has learnt."""
-    rows = t.events.select("event_id", "value", "user_id", (F.col("value") > 100).cast("int").alias("is_high"))
-    model = learning.fit_forest(rows, SMALL_FOREST)
-    return learning.score_rows(model, rows, SMALL_FOREST).select(
-        "event_id", (F.col("is_high") == 1).alias("is_high"),
-        F.col("predicted").isin(0, 1).alias("known_class"),
-        F.col("confidence").between(0.5, 1).alias("sure_share"),
-        F.col("probability_positive").between(0, 1).alias("positive_share"), "model_version",
+    """A forest of one split: the split, both leaves and every row's score must be those of SQL."""
+    rows = t.events.filter("value IS NOT NULL").select(
+        "event_id", F.least(F.floor(F.col("value") / 10), F.lit(30)).cast("double").alias("bucket"),
+        (F.col("value") > 57).cast("int").alias("is_high"),
     )
+    model = learning.fit_forest(rows, STUMP)
+    return learning.score_rows(model, rows, STUMP).drop("bucket")
 
 
 # Models. Fitting runs jobs while the query is built; results have no SQL twin. The frames are

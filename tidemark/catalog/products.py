@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.catalog import standins as s
 from tidemark.catalog.base import EVENTS_RUN, ORDERS_RUN, Tables, query
 from tidemark.catalog.features import risk_features
-from tidemark.functions.scoring import rate
+from tidemark.functions.scoring import money_sum, rate
 from tidemark.operators import aggregates, keyed
 from tidemark.plans import asset, provider, risk
 
@@ -76,6 +76,20 @@ def cohort_suppressed(t: Tables) -> DataFrame:
     return _summary(t, k=provider.MIN_COHORT)
 
 
+@query(
+    "small_groups_hidden",
+    "AGG-19",
+    """SELECT user_id, event_type, COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(28, 6))) AS DOUBLE) AS total
+    FROM events GROUP BY 1, 2 HAVING COUNT(*) >= 10""",
+)
+def small_groups_hidden(t: Tables) -> DataFrame:
+    """Groups of a user's events, some below the smallest group that may be shown and some above."""
+    groups = t.events.groupBy("user_id", "event_type").agg(
+        F.count("*").alias("n_events"), money_sum(F.col("value")).alias("total")
+    )
+    return aggregates.suppress_small(groups, "n_events", 10)
+
+
 @query(
     "two_level_rollup",
     "AGG-09 AGG-11",

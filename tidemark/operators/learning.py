@@ -108,6 +108,8 @@ class ForestSpec:
     min_leaf: int = 5
     seed: int = 42
     classes: Sequence[str] = field(default_factory=tuple)
+    #: Whether every tree takes its own sample of the rows; without it one tree is the whole table's.
+    bootstrap: bool = True
 
 
 def forest_pipeline(spec: ForestSpec) -> Pipeline:
@@ -131,6 +133,7 @@ def forest_pipeline(spec: ForestSpec) -> Pipeline:
             maxDepth=spec.depth,
             minInstancesPerNode=spec.min_leaf,
             seed=spec.seed,
+            bootstrap=spec.bootstrap,
         )
     )
     return Pipeline(stages=stages)
@@ -330,22 +333,32 @@ def permutation_importance(
     row is taken from another row. The model scores all ``permuted_rows`` in a single pass.
     """
     scored = score_rows(model, permuted_rows(df, spec.features, spec.label, identifier), spec)
-    accuracy = scored.groupBy("_changed").agg(
-        F.avg(
-            F.when(F.col("predicted").cast("string") == F.col(spec.label).cast("string"), 1.0)
-            .otherwise(0.0)
-        ).alias("accuracy")
-    )
-    untouched = F.max(F.when(F.col("_changed") == "none", F.col("accuracy"))).over(
-        Window.partitionBy(F.lit(0))
-    )
+    hit = F.col("predicted").cast("string") == F.col(spec.label).cast("string")
+    return accuracy_drops(scored, hit).drop("row_count")
+
+
+def accuracy_drops(scored: DataFrame, hit: Column) -> DataFrame:
+    """(feature, row_count, accuracy, accuracy_drop) from scored ``permuted_rows``; ``hit`` is true
+    where the score is right. Rows are counted, so the figures do not depend on order."""
+    counted = scored.groupBy("_changed").agg(F.count("*").alias("row_count"), F.count_if(hit).alias("_hits"))
+    untouched = F.max(F.when(F.col("_changed") == "none", F.col("_hits"))).over(Window.partitionBy(F.lit(0)))
+    share = lambda part: F.round(part.cast("double") / F.col("row_count"), 4)
     return (
-        accuracy.withColumn("accuracy_drop", F.round(untouched - F.col("accuracy"), 4))
+        counted.withColumn("_lost", untouched - F.col("_hits"))
         .filter("_changed <> 'none'")
-        .select(F.col("_changed").alias("feature"), F.round("accuracy", 4).alias("accuracy"), "accuracy_drop")
+        .select(
+            F.col("_changed").alias("feature"), "row_count", share(F.col("_hits")).alias("accuracy"),
+            share(F.col("_lost")).alias("accuracy_drop"),
+        )
     )
 
 
+def ranked_drops(drops: DataFrame) -> dict[str, float]:
+    """Features by what their permutation costs, most first: one number per feature."""
+    found = {r.feature: r.accuracy_drop for r in drops.select("feature", "accuracy_drop").collect()}
+    return dict(sorted(found.items(), key=lambda pair: (-pair[1], pair[0])))
+
+
 def audit_rows(
     scored: DataFrame,
     ranked: Mapping[str, float],

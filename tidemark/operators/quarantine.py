@@ -21,6 +21,7 @@ LEDGER = (
     "status string, resolved_batch string"
 )
 OPEN, REPLAYED = "open", "replayed"
+UNREADABLE = "unreadable"
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,12 @@ def rejects(
     )
 
 
+def unreadable(damaged: DataFrame, line: str, run: RunContext) -> DataFrame:
+    """Open ledger rows of lines that could not be read; the payload has the line itself."""
+    marked = damaged.withColumn("reject_reasons", F.array(F.lit(UNREADABLE)))
+    return rejects(marked, [line, *[c for c in damaged.columns if not c.startswith("_")]], run)
+
+
 def restored(entries: DataFrame, schema) -> DataFrame:
     """The rows of ledger entries as they were received, repeated rows repeated."""
     again = entries.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
@@ -82,9 +89,10 @@ def settled(
 ) -> DataFrame:
     """The ledger with its open rows screened again; those that pass now are marked as replayed.
 
-    An open row that still fails keeps its batch and gets its present reasons.
+    An open row that still fails keeps its batch and gets its present reasons. Unreadable lines wait
+    for a corrected delivery.
     """
-    is_open = F.col("status") == OPEN
+    is_open = (F.col("status") == OPEN) & ~F.array_contains("reasons", UNREADABLE)
     waiting = ledger.filter(is_open).select(
         F.struct(*ledger.columns).alias("_entry"), F.from_json("payload", schema).alias("_r")
     )

@@ -232,6 +232,7 @@ def load(
 ) -> dict[str, set]:
     """Publish a batch to bronze and settle the quarantine; returns the days of replayed rows by table."""
     batch = bronze.ingest(lake.spark, domain.sources, raw, run)
+    damaged = bronze.ingest_damaged(lake.spark, domain.sources, raw, run) if batch else {}
     for name, df in batch.items():
         lake.publish_batch(name, df, run, full)
     parents: dict[str, list[Parent]] = {}
@@ -244,7 +245,9 @@ def load(
     for name, rules in _rules(run).items():
         if name in batch or (lake.table(name).latest() and not full):
             rows = lake.table(name).read().filter(F.col("_batch_id") == run.batch_id).drop(DAY)
-            days[name] = keep_rejects(lake, name, rows, rules, run, full, parents.get(name, ()))
+            days[name] = keep_rejects(
+                lake, name, rows, rules, run, full, parents.get(name, ()), damaged.get(name)
+            )
     return days
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.context import RunContext
 from tidemark.operators import quarantine
+from tidemark.sources.bronze import DAMAGED
 from tidemark.sources.snapshots import SnapshotTable
 
 DAY = "_day"
@@ -212,14 +213,19 @@ class Lake:
 
 def keep_rejects(
     lake: Lake, name: str, batch: DataFrame, rules: Mapping[str, str], run: RunContext, full: bool,
-    parents: Sequence[quarantine.Parent] = (),
+    parents: Sequence[quarantine.Parent] = (), damaged: DataFrame | None = None,
 ) -> set[Day]:
-    """Settle the ledger of a bronze table with a new batch; returns the days of replayed rows."""
+    """Settle the ledger of a bronze table with a new batch; returns the days of replayed rows.
+
+    ``damaged`` are lines of the batch that could not be read, which never reached bronze.
+    """
     ledger = SnapshotTable(lake.spark, f"{lake.root}/quarantine/{name}")
     checks = {n: F.expr(rule) for n, rule in rules.items()}
     content = [c for c in batch.columns if c not in LINEAGE]
     day = F.expr(f"try_cast({lake.calendar.day[name]} AS DATE)") if name in lake.calendar.day else None
     entries = quarantine.rejects(quarantine.screened(batch, checks, parents), content, run, day)
+    if damaged is not None:
+        entries = entries.unionByName(quarantine.unreadable(damaged, DAMAGED, run))
     last = ledger.latest()
     if last and not full:
         # A batch that is loaded again brings its rejects again.

@@ -20,14 +20,20 @@ def as_is(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+DAMAGED = "_damaged"
+
+
 def read_source(spark: SparkSession, spec: SourceSpec, folder: str) -> DataFrame | None:
     """Read one extract with its declared schema; a missing file is reported and skipped.
 
-    The file may be a single file or a folder of parts.
+    The file may be a single file or a folder of parts. Its header must name the declared columns in
+    their order, else the job stops. A line with a cell that does not parse, or with too few or too
+    many cells, keeps what could be read and has the whole line in ``_damaged``.
     """
     path = f"{folder.rstrip('/')}/{spec.file}"
+    reader = spark.read.schema(f"{spec.schema}, {DAMAGED} STRING").option("header", True)
     try:
-        return spark.read.schema(spec.schema).option("header", True).csv(path)
+        return reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", DAMAGED).csv(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -35,6 +41,23 @@ def read_source(spark: SparkSession, spec: SourceSpec, folder: str) -> DataFrame
         return None
 
 
+def _line(raw: DataFrame) -> Column:
+    """The damaged line. Spark parses only the cells that a query asks for, and refuses to read lines for
+    their damage alone; a hash, which is never below its least value, makes it read all of them."""
+    cells = [F.col(f"`{c}`") for c in raw.columns if c != DAMAGED]
+    return F.when(F.hash(*cells) >= -(2**31), F.col(DAMAGED))
+
+
+def whole_lines(raw: DataFrame) -> DataFrame:
+    """The rows of an extract whose line was read in full."""
+    return raw.filter(_line(raw).isNull()).drop(DAMAGED)
+
+
+def damaged_lines(raw: DataFrame) -> DataFrame:
+    """The other rows, with their line."""
+    return raw.filter(_line(raw).isNotNull())
+
+
 def with_lineage(
     df: DataFrame, run: RunContext, source_file: str, source_system: str | None = None
 ) -> DataFrame:
@@ -56,12 +79,24 @@ def with_lineage(
 def ingest(
     spark: SparkSession, specs: Iterable[SourceSpec], folder: str, run: RunContext
 ) -> dict[str, DataFrame]:
-    """Bronze tables of a domain by name, without the extracts that are missing."""
+    """Bronze tables of a domain by name, without the extracts that are missing and without damaged
+    lines; ``ingest_damaged`` has those."""
+    return _ingest(spark, specs, folder, run, whole_lines)
+
+
+def ingest_damaged(
+    spark: SparkSession, specs: Iterable[SourceSpec], folder: str, run: RunContext
+) -> dict[str, DataFrame]:
+    """The damaged lines of a domain's extracts by bronze table."""
+    return _ingest(spark, specs, folder, run, damaged_lines)
+
+
+def _ingest(spark, specs, folder: str, run: RunContext, part: Callable[[DataFrame], DataFrame]) -> dict[str, DataFrame]:
     tables = {}
     for spec in specs:
         raw = read_source(spark, spec, folder)
         if raw is not None:
-            tables[spec.table] = with_lineage(raw, run, spec.file)
+            tables[spec.table] = with_lineage(part(raw), run, spec.file)
     return tables
 
 
