@@ -32,8 +32,8 @@ LEAST = 30
 DEPTH = 4
 KEPT = 2000
 COVERED = (4, 5)  # 80 of 100
-SHARD_WORDS = 3 << 20
-OPEN_WORDS = 8 << 20
+SHARD_WORDS = 3 << 19
+OPEN_WORDS = 4 << 20
 # A place in a shard, a shard of a task, and the task, in one number of 63 bits.
 PLACE_BITS, PART_BITS = 30, 13
 SALTS = 64
@@ -112,12 +112,11 @@ class Index:
     """LF mapping and the intervals of one shard, level by level."""
 
     def __init__(self, bwt: np.ndarray):
-        self.bwt = bwt
-        rows = np.argsort(bwt, kind="stable")
-        self.lf = np.empty(len(bwt), np.int64)
-        self.lf[rows] = np.arange(len(bwt))
+        rows = np.argsort(bwt, kind="stable").astype(np.int32)
+        self.lf = np.empty(len(bwt), np.int32)
+        self.lf[rows] = np.arange(len(bwt), dtype=np.int32)
         #: The number of the interval that each row belongs to; 0: none that may be extended.
-        self.interval = bwt[rows].astype(np.int64)
+        self.interval = bwt[rows]
 
     def extend(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first part, last part, count) of the intervals one word longer, which become the level's.
@@ -126,14 +125,19 @@ class Index:
         last and the first words of the same longer phrase.
         """
         before = self.interval[self.lf]
-        rows = np.flatnonzero((before > 0) & (self.interval > 0))
+        rows = np.flatnonzero((before > 0) & (self.interval > 0)).astype(np.int32)
         width = int(self.interval.max(initial=0)) + 1
-        keys, number, counts = np.unique(
-            before[rows] * width + self.interval[rows], return_inverse=True, return_counts=True
-        )
-        interval = np.zeros(len(self.bwt), np.int64)
-        interval[self.lf[rows]] = number + 1
+        keys = before[rows].astype(np.int64) * width + self.interval[rows]
+        del before
+        order = np.argsort(keys).astype(np.int32)
+        keys, rows = keys[order], rows[order]
+        del order
+        cuts = np.flatnonzero(np.concatenate([keys[:1] == keys[:1], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(cuts, len(keys)))
+        interval = np.zeros(len(self.lf), np.int32)
+        interval[self.lf[rows]] = np.repeat(np.arange(1, len(cuts) + 1, dtype=np.int32), counts)
         self.interval = interval
+        keys = keys[cuts]
         return keys // width, keys % width, counts
 
     def keep(self, numbers: np.ndarray) -> None:
