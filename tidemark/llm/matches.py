@@ -18,6 +18,8 @@ from pyspark.sql import Column, functions as F
 
 #: Characters on either side of a match that count as near.
 NEAR = 60
+#: Values that are summed in one array.
+BLOCK = 64
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -61,21 +63,55 @@ PLACE = "struct<match: string, start: bigint, end: bigint, score: double>"
 Score = Callable[[Column, Column, Column], Column]
 
 
-def _places(matches: Column, pieces: Column, score: Score) -> Column:
-    state = f"struct<at: bigint, done: array<{PLACE}>>"
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(F.get(pieces, x["i"]))
-        end = start + F.length(x["match"])
-        row = F.struct(
-            x["match"].alias("match"), start.alias("start"), end.alias("end"),
-            score(x["match"], *near(matches, pieces, x["i"])).alias("score"),
+def _running(values: Column, levels: int = 3) -> Column:
+    """Running sums of an array of whole numbers.
+
+    An array that grows by appending is copied at every step, so sums are appended in blocks of at most
+    ``BLOCK`` and each block begins with the sum of those before, found the same way. Three levels keep
+    the work in proportion to the array up to ``BLOCK``^3 values.
+    """
+    state = "struct<at: bigint, done: array<bigint>>"
+    empty = lambda at: F.struct(at.cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("done")).cast(state)
+
+    def within(block: Column, before: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            at = acc["at"] + x
+            return F.struct(at.alias("at"), F.array_append(acc["done"], at).alias("done")).cast(state)
+
+        return F.aggregate(block, empty(before), step, lambda acc: acc["done"])
+
+    if levels == 1:
+        return within(values, F.lit(0))
+
+    def blocked(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
+        sums = lambda bs: F.transform(bs, lambda x: F.aggregate(x, F.lit(0).cast("bigint"), lambda a, y: a + y))
+        return let(
+            blocks,
+            lambda bs: let(
+                _running(sums(bs), levels - 1),
+                lambda ends: F.flatten(
+                    F.transform(bs, lambda x, i: within(x, F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0))))
+                ),
+            ),
         )
-        return F.struct(end.alias("at"), F.array_append(acc["done"], row.cast(PLACE)).alias("done"))
 
-    numbered = F.transform(matches, lambda m, i: F.struct(m.alias("match"), i.alias("i")))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{PLACE}>").alias("done"))
-    return F.aggregate(numbered, empty.cast(state), lambda a, x: step(a, x).cast(state), lambda a: a["done"])
+    return let(values, lambda v: F.when(F.size(v) <= BLOCK, within(v, F.lit(0))).otherwise(blocked(v)))
+
+
+def _places(matches: Column, pieces: Column, score: Score) -> Column:
+    length = lambda x: F.length(x).cast("bigint")
+    steps = F.transform(matches, lambda m, i: length(m) + length(F.get(pieces, i)))
+
+    def row(ends: Column, m: Column, i: Column) -> Column:
+        end = F.get(ends, i)
+        return F.struct(
+            m.alias("match"), (end - length(m)).alias("start"), end.alias("end"),
+            score(m, *near(matches, pieces, i)).alias("score"),
+        ).cast(PLACE)
+
+    return let(_running(steps), lambda ends: F.transform(matches, lambda m, i: row(ends, m, i)))
 
 
 def places(
