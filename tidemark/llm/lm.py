@@ -10,10 +10,13 @@ The first two are softmaxes over hashed features of the three symbols before (pr
 previous, two skips), on top of the exact unigram as reference distribution; the last is the smoothed
 share of the token in its symbol, with one share for all unknown tokens, so the whole sums to one.
 
-Training covers every token of every learning document once, in ``ROUNDS`` slices. In a round each
-task takes AdaGrad steps over its documents of the slice, beginning with the model of the round
-before; the changes, weighed by tokens, are summed block by block in a shuffle and averaged. Only the
-model, of fixed size, passes through the driver.
+Training covers every token of every learning document once, in ``ROUNDS`` slices by a hash of the
+document id. In a round the tasks sum, for every feature row and outcome, how often it was seen and how
+often the model of the round before expects it; their difference is the gradient. Sums are added block
+by block in a shuffle, and each weight takes a step along its gradient, scaled so that its own
+observed and expected counts would meet (``log(seen / expected)``), shared by the features that act
+together. Sums do not depend on how documents are dealt to tasks, so neither does the model, but for
+the rounding of floating-point sums. Only the model, of fixed size, passes through the driver.
 
 Counts are exact and joined, not broadcast: documents are encoded in chunks of bounded size, a chunk
 sends each of its distinct tokens once, with its count, and gets back the count over all chunks.
@@ -42,10 +45,13 @@ SYMBOLS = WIDTH * WIDTH
 START = SYMBOLS
 CLASS_ROWS, MEMBER_ROWS = 1 << 14, 1 << 15
 ROUNDS = 4
-RATE = 0.3
+#: Steps of the rounds, and the count that every observed and expected count gets on top.
+RATE = 1.0
+PRIOR = 1.0
 BATCH = 8192
 CHUNK_TOKENS = 1_200_000
-SHARD_TOKENS = 2_000_000
+#: Tokens of a training task, about; it bounds the sums that are shuffled, not what is learnt.
+TASK_TOKENS = 4_000_000
 BLOCKS = 48
 
 
@@ -253,19 +259,14 @@ def log_softmax(weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> np.n
     return scores
 
 
-def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, base: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One AdaGrad step over a batch; only rows that occur are touched."""
-    slope = np.exp(log_softmax(weights, rows, base))
-    slope[np.arange(len(target)), target] -= 1
+def add_expected(sums: np.ndarray, weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> None:
+    """Add the outcome probabilities of a batch to the feature rows that occur in it."""
+    likely = np.exp(log_softmax(weights, rows, base))
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     cuts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    sums = np.add.reduceat(slope[order // rows.shape[1]], cuts, axis=0)
-    used = ranked[cuts]
-    total = squares[used] + sums * sums
-    squares[used] = total
-    weights[used] -= rate * sums / np.sqrt(total)
+    sums[ranked[cuts]] += np.add.reduceat(likely[order // rows.shape[1]], cuts, axis=0)
 
 
 def contexts(symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -294,83 +295,89 @@ def _numpy(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-CHANGE_SQL = "block int, tokens double, change binary"
-CHANGE = pa.schema([("block", pa.int32()), ("tokens", pa.float64()), ("change", pa.binary())])
+def slices_of(doc_ids: list, rounds: int) -> np.ndarray:
+    """The round in which each document is learnt from, by its id alone."""
+    ids = np.array([0 if d is None else d for d in doc_ids], np.int64).view(np.uint64)
+    return (mix(ids, 7 << 32) % np.uint64(rounds)).astype(np.int64)
 
 
-def train_round(lexicon: Lexicon, weights: np.ndarray, turn: int, rounds: int, rate: float):
-    """A task's changes of the model, weighed by its tokens, in blocks."""
+SUMS_SQL = "block int, seen binary, expected binary"
+SUMS = pa.schema([("block", pa.int32()), ("seen", pa.binary()), ("expected", pa.binary())])
+
+
+def sums_of_round(lexicon: Lexicon, weights: np.ndarray, turn: int, rounds: int):
+    """Seen and expected counts of every weight over a task's documents of the round, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(lexicon, weights.copy())
-        squares = np.ones_like(weights)
-        class_squares = squares[: CLASS_ROWS * WIDTH].reshape(CLASS_ROWS, WIDTH)
-        member_squares = squares[CLASS_ROWS * WIDTH :].reshape(MEMBER_ROWS, WIDTH)
+        model = Model(lexicon, weights)
+        seen, expected = np.zeros(len(weights)), np.zeros(len(weights))
+        classes, members = (expected[: CLASS_ROWS * WIDTH].reshape(-1, WIDTH), expected[CLASS_ROWS * WIDTH :].reshape(-1, WIDTH))
         learnt = 0
         for batch in batches:
             for i in range(batch.num_rows):
                 piece = batch.slice(i, 1)
-                row = {n: piece.column(n)[0].as_py() for n in ("held", "sizes", "codes", "hashes")}
+                row = {n: piece.column(n)[0].as_py() for n in ("doc_ids", "held", "sizes", "codes", "hashes")}
                 chunk = Chunk(row, _numpy(piece.column("cells")), lexicon)
-                docs = ~chunk.held & (np.arange(len(chunk.held)) % rounds == turn)
+                docs = ~chunk.held & (slices_of(row["doc_ids"], rounds) == turn)
                 if not docs.any():
                     continue
-                mask = np.repeat(docs, chunk.sizes)
-                target = chunk.symbols[mask]
+                target = chunk.symbols[np.repeat(docs, chunk.sizes)]
                 before = contexts(target, chunk.sizes[docs])
                 learnt += len(target)
                 for at in range(0, len(target), BATCH):
                     part = slice(at, at + BATCH)
                     goal = target[part]
                     of_class, of_member = model.features([b[part] for b in before], goal)
-                    descend(model.classes, class_squares, of_class, model.class_base, goal // WIDTH, rate)
-                    descend(
-                        model.members, member_squares, of_member, model.member_base[goal // WIDTH],
-                        goal % WIDTH, rate,
+                    add_expected(classes, model.classes, of_class, model.class_base)
+                    add_expected(members, model.members, of_member, model.member_base[goal // WIDTH])
+                    cells = np.concatenate(
+                        [
+                            (of_class.astype(np.int64) * WIDTH + (goal // WIDTH)[:, None]).ravel(),
+                            ((of_member.astype(np.int64) + CLASS_ROWS) * WIDTH + (goal % WIDTH)[:, None]).ravel(),
+                        ]
                     )
+                    cells.sort()
+                    first = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+                    seen[cells[first]] += np.diff(np.append(first, len(cells)))
         if learnt:
-            blocks = np.array_split((model.weights - weights).astype(np.float16), BLOCKS)
+            split = lambda x: [zstandard.compress(b.astype(np.float32).tobytes(), 1) for b in np.array_split(x, BLOCKS)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(BLOCKS), pa.int32()), pa.array([float(learnt)] * BLOCKS), pa.array([b.tobytes() for b in blocks], pa.binary()),
-                ],
-                schema=CHANGE,
+                [pa.array(range(BLOCKS), pa.int32()), pa.array(split(seen), pa.binary()), pa.array(split(expected), pa.binary())],
+                schema=SUMS,
             )
 
     return run
 
 
-def sum_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The mean change of each block, by tokens, added up as the rows come: one per worker."""
-    sums: dict[int, list] = {}
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of each block over all tasks, as they come."""
+    sums: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            change = np.frombuffer(row["change"], np.float16).astype(np.float64)
-            held = sums.setdefault(row["block"], [0.0, np.zeros(len(change))])
-            held[0] += row["tokens"]
-            held[1] += change * row["tokens"]
-    rows = [
-        {"block": b, "tokens": n, "change": (x / n).astype(np.float32).tobytes()} for b, (n, x) in sums.items()
-    ]
-    yield pa.RecordBatch.from_pylist(rows, CHANGE)
+            for place, name in enumerate(("seen", "expected")):
+                part = np.frombuffer(zstandard.decompress(row[name]), np.float32).astype(np.float64)
+                held = sums.setdefault(row["block"], [np.zeros(len(part)), np.zeros(len(part))])
+                held[place] += part
+    rows = [{"block": b, "seen": x.tobytes(), "expected": y.tobytes()} for b, (x, y) in sums.items()]
+    yield pa.RecordBatch.from_pylist(rows, SUMS)
 
 
 def train(chunks: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
     """Weights after one pass over all learning documents, a slice of them a round."""
-    spark = chunks.sparkSession
     weights = np.zeros((CLASS_ROWS + MEMBER_ROWS) * WIDTH, np.float32)
     if not lexicon.total:
         return weights
-    columns = chunks.select("held", "sizes", "codes", "hashes", "cells")
-    workers = max(1, min(spark.sparkContext.defaultParallelism, lexicon.total // SHARD_TOKENS))
+    # Features that act on one softmax share a step.
+    shared = np.repeat([4.0, 2.0], [CLASS_ROWS * WIDTH, MEMBER_ROWS * WIDTH])
+    columns = chunks.select("doc_ids", "held", "sizes", "codes", "hashes", "cells")
+    tasks = max(1, -(-lexicon.total // TASK_TOKENS))
     for turn in range(rounds):
-        step = train_round(lexicon, weights, turn, rounds, rate / (1 + turn) ** 0.5)
-        changes = columns.coalesce(workers).mapInArrow(step, CHANGE_SQL)
-        by_block = changes.repartition("block").mapInArrow(sum_changes, CHANGE_SQL)
-        rows = sorted(by_block.collect(), key=lambda r: r.block)
+        sums = columns.coalesce(tasks).mapInArrow(sums_of_round(lexicon, weights, turn, rounds), SUMS_SQL)
+        rows = sorted(sums.repartition("block").mapInArrow(added, SUMS_SQL).collect(), key=lambda r: r.block)
         if rows:
-            change = np.concatenate([np.frombuffer(r.change, np.float32) for r in rows])
-            weights = (weights + change).astype(np.float32)
+            seen, expected = (np.concatenate([np.frombuffer(r[n]) for r in rows]) for n in ("seen", "expected"))
+            step = np.log((seen + PRIOR) / (expected + PRIOR)) / shared
+            weights = (weights + rate * step).astype(np.float32)
     return weights
 
 
