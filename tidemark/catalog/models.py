@@ -222,8 +222,7 @@ def ml_permuted(t: Tables) -> DataFrame:
 
 # A fixed linear score of a high value, and what is asked of it.
 SCORED = ("value", "user_id")
-IS_HIGH = F.expr("value > 100")
-SAYS_HIGH = F.expr("value * 10 + user_id > 1050")
+IS_HIGH, SAYS_HIGH = "value > 100", "value * 10 + user_id > 1050"
 DROPS_SQL = """ranked AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) AS r,
       COUNT(*) OVER () AS n FROM events WHERE value IS NOT NULL),
     paired AS (SELECT a.value > 100 AS high, a.value, a.user_id, b.value AS v, b.user_id AS u
@@ -238,9 +237,9 @@ DROPS_SQL = """ranked AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(event_i
 
 def linear_drops(t: Tables) -> DataFrame:
     """What the score loses when one of its inputs is taken from another row."""
-    rows = t.events.filter("value IS NOT NULL").select("event_id", *SCORED, IS_HIGH.alias("is_high"))
+    rows = t.events.filter("value IS NOT NULL").select("event_id", *SCORED, F.expr(IS_HIGH).alias("is_high"))
     permuted = learning.permuted_rows(rows, SCORED, "is_high", "event_id")
-    return learning.accuracy_drops(permuted, SAYS_HIGH == F.col("is_high"))
+    return learning.accuracy_drops(permuted, F.expr(SAYS_HIGH) == F.col("is_high"))
 
 
 @query(
@@ -294,7 +293,7 @@ def ml_audit_rows(t: Tables) -> DataFrame:
 )
 def ml_model_card(t: Tables) -> DataFrame:
     """The card of the score: its figures over the table and its strongest input."""
-    rows = t.events.filter("value IS NOT NULL").select(IS_HIGH.cast("int").alias("is_high"), SAYS_HIGH.cast("int").alias("says"))
+    rows = t.events.filter("value IS NOT NULL").select(F.expr(IS_HIGH).cast("int").alias("is_high"), F.expr(SAYS_HIGH).cast("int").alias("says"))
     metrics = learning.overall_report(t.keep(learning.confusion(rows, "is_high", "says"), "cells")).first().asDict()
     spec = ForestSpec(SCORED, "is_high")
     card = learning.model_card(
