@@ -11,6 +11,7 @@ from tidemark.catalog import Tables
 from tidemark.llm import (
     bpe, chat, decontam, lexical, licenses, lm, phrases, pii, quality, shards, simhash, urls, warc,
 )
+from tidemark.llm.batches import kept
 from tidemark.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -59,9 +60,8 @@ def op3_simhash_cover(t: Tables) -> DataFrame:
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
-@query(
-    "op5_rule_ledger",
-    r"""
+# The figures and failure bits of every text.
+LEDGER_SQL = r"""
     WITH texts AS (SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS t FROM documents),
     split AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
       list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM texts),
@@ -79,7 +79,13 @@ def op3_simhash_cover(t: Tables) -> DataFrame:
     bits AS (SELECT *, (n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT
       + 4 * (10 * n_symbols > 3 * n_words)::INT + 8 * (100 * n_dup_lines > 50 * n_lines AND n_lines >= 4)::INT
       + 16 * (word_chars > 25 * n_words OR word_chars < 2 * n_words)::INT
-      + 32 * (n_upper > 2 * n_lower AND n_upper >= 20)::INT + 64 * (2 * n_echoes > n_words)::INT AS f FROM m)
+      + 32 * (n_upper > 2 * n_lower AND n_upper >= 20)::INT + 64 * (2 * n_echoes > n_words)::INT AS f FROM m)"""
+
+
+@query(
+    "op5_rule_ledger",
+    LEDGER_SQL
+    + """
     SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, f & 3 <> 0 AS base_failed, f = 0 AS kept,
@@ -93,6 +99,22 @@ def op5_rule_ledger(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "rule_ablation",
+    LEDGER_SQL
+    + """,
+    rules(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('repeated_lines', 8), ('word_length', 16), ('shouting', 32), ('echoes', 64)),
+    policies(policy, mask) AS (VALUES ('base', 3), ('v1', 39), ('v2', 127)),
+    cases AS (SELECT policy, rule, bit, mask FROM policies JOIN rules ON bit & mask <> 0)
+    SELECT policy, rule, COUNT(*) FILTER (f & bit <> 0) AS rejects, COUNT(*) FILTER (f & mask = bit) AS rejects_alone,
+      COUNT(*) FILTER (f & mask = 0) AS kept, COUNT(*) FILTER (f & mask IN (0, bit)) AS kept_without
+    FROM cases, bits GROUP BY policy, rule""",
+)
+def rule_ablation(t: Tables) -> DataFrame:
+    """The ledger written once; every policy and rule judged from its stored bits."""
+    return quality.ablation(kept(quality.ledger(t.documents), "ledger"))
+
+
 @query("op7_token_mph")
 def op7_token_mph(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "tokens")
