@@ -220,7 +220,7 @@ def mine(
         F.col("w.counts").alias("n"),
     )
     sums = words.groupBy("lang", "words").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    level = {1: kept(sums.withColumn("id", F.monotonically_increasing_id() + 1), "words")}
+    level = {1: numbered_densely(sums)}
     own = words.join(level[1].select("lang", "words", "id"), ["lang", "words"])
     index = kept(
         shards.select("shard", "words").join(places(own), "shard").mapInArrow(
@@ -234,8 +234,10 @@ def mine(
     counted = index.mapInArrow(_pairs, PAIRS).withColumn("f", F.sum("n").over(by_phrase)).filter(F.col("f") >= least)
     # Rows of one phrase lie in one task: the least of their numbers is the phrase's id.
     numbered = counted.withColumn("row", F.monotonically_increasing_id() + 1)
-    pairs = kept(numbered.withColumn("id", F.min("row").over(by_phrase)), "pairs")
-    level[2] = pairs.filter("row = id").select("id", "a", "b", "f")
+    named = numbered.withColumn("id", F.min("row").over(by_phrase))
+    told = F.when(F.col("row") == F.col("id"), F.struct("a", "b", "f"))
+    pairs = kept(named.select("at", "id", told.alias("told")), "pairs")
+    level[2] = kept(pairs.filter("told IS NOT NULL").select("id", "told.*"), "pairs-once")
     own = pairs.select(
         F.shiftright("at", PLACE_BITS).alias("shard"),
         F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"), "id",
@@ -244,7 +246,7 @@ def mine(
     sums = alive.mapInArrow(_longer, LONGER).groupBy("a", "m", "b").agg(F.sum("n").alias("f"))
     found = sums.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id() + 1)
     longer = kept(found, "longer")
-    release(index)
+    release(index, pairs)
     level[3] = longer.filter("m = 0").select("id", "a", "b", "f")
     # Four words are known by their pairs; their first and last three words are so, too.
     front = level[3].select(F.col("id").alias("front"), "a", F.col("b").alias("m"))
@@ -254,6 +256,18 @@ def mine(
     return totals, level
 
 
+def numbered_densely(rows: DataFrame) -> DataFrame:
+    """``rows``, written, with ``id`` from 1 to their number: small numbers move in few bytes."""
+    low = (1 << 33) - 1  # of a row's number within its task
+    row = F.monotonically_increasing_id()
+    held = kept(rows.withColumns({"part": F.shiftright(row, 33), "row": row.bitwiseAND(F.lit(low))}), "words")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per task.
+    sizes = held.groupBy("part").agg(F.count("*").alias("n"))
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return kept(held.join(starts, "part").withColumn("id", F.col("start") + F.col("row") + 1).drop("part", "row", "start"), "words")
+
+
 def places(rows: DataFrame) -> DataFrame:
     """Per shard the places and ids of what is alive in it, at most as many as it has words."""
     pairs = rows.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("p"))
