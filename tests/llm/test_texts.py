@@ -60,8 +60,8 @@ def test_model_probabilities_sum_to_one():
     before = [np.full(lm.SYMBOLS, s) for s in (3, lm.START, 700)]
     of_class, of_member = model.features(before, target)
     c, m = target // lm.WIDTH, target % lm.WIDTH
-    logs = lm.log_softmax(model.classes, of_class, model.class_base)[target, c]
-    logs += lm.log_softmax(model.members, of_member, model.member_base[c])[target, m]
+    logs = lm.log_softmax(model.classes, of_class, model.class_base, c)
+    logs += lm.log_softmax(model.members, of_member, model.member_base[c], m)
     assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
     cell = lm.HEAD + 5
     shares = lexicon.share(np.array([cell] * 4), np.array([1, 2, 3, 0]))

@@ -249,24 +249,39 @@ class Model:
         return np.stack(of_class, axis=1), np.stack([self.within[0][c, one], self.within[1][c, two]], axis=1)
 
 
-def log_softmax(weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> np.ndarray:
-    scores = weights[rows[:, 0]]
+def raised(weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """The scores of all outcomes, the greatest of each row at zero."""
+    scores = weights.take(rows[:, 0], axis=0)
     for j in range(1, rows.shape[1]):
-        scores += weights[rows[:, j]]
+        scores += weights.take(rows[:, j], axis=0)
     scores += base
     scores -= scores.max(axis=1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
     return scores
 
 
+def log_softmax(weights: np.ndarray, rows: np.ndarray, base: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each row's outcome."""
+    scores = raised(weights, rows, base)
+    chosen = scores[np.arange(len(target)), target]
+    return chosen - np.log(np.exp(scores, out=scores).sum(axis=1))
+
+
 def add_expected(sums: np.ndarray, weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> None:
     """Add the outcome probabilities of a batch to the feature rows that occur in it."""
-    likely = np.exp(log_softmax(weights, rows, base))
+    likely = raised(weights, rows, base)
+    np.exp(likely, out=likely)
+    likely /= likely.sum(axis=1, keepdims=True)
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     cuts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    sums[ranked[cuts]] += np.add.reduceat(likely[order // rows.shape[1]], cuts, axis=0)
+    sums[ranked[cuts]] += np.add.reduceat(likely.take(order // rows.shape[1], axis=0), cuts, axis=0)
+
+
+def add_seen(sums: np.ndarray, rows: np.ndarray, outcome: np.ndarray) -> None:
+    """Count the outcomes of a chunk under each of their feature rows."""
+    for j in range(rows.shape[1]):
+        sums += np.bincount(rows[:, j].astype(np.int64) * WIDTH + outcome, minlength=len(sums))
 
 
 def contexts(symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -311,8 +326,8 @@ def sums_of_round(lexicon: Lexicon, weights: np.ndarray, turn: int, rounds: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(lexicon, weights)
         seen, expected = np.zeros(len(weights)), np.zeros(len(weights))
-        classes, members = (expected[: CLASS_ROWS * WIDTH].reshape(-1, WIDTH), expected[CLASS_ROWS * WIDTH :].reshape(-1, WIDTH))
-        learnt = 0
+        cut, learnt = CLASS_ROWS * WIDTH, 0
+        classes, members = expected[:cut].reshape(-1, WIDTH), expected[cut:].reshape(-1, WIDTH)
         for batch in batches:
             for i in range(batch.num_rows):
                 piece = batch.slice(i, 1)
@@ -322,23 +337,15 @@ def sums_of_round(lexicon: Lexicon, weights: np.ndarray, turn: int, rounds: int)
                 if not docs.any():
                     continue
                 target = chunk.symbols[np.repeat(docs, chunk.sizes)]
-                before = contexts(target, chunk.sizes[docs])
+                of_class, of_member = model.features(contexts(target, chunk.sizes[docs]), target)
                 learnt += len(target)
+                outer, inner = target // WIDTH, target % WIDTH
+                add_seen(seen[:cut], of_class, outer)
+                add_seen(seen[cut:], of_member, inner)
                 for at in range(0, len(target), BATCH):
                     part = slice(at, at + BATCH)
-                    goal = target[part]
-                    of_class, of_member = model.features([b[part] for b in before], goal)
-                    add_expected(classes, model.classes, of_class, model.class_base)
-                    add_expected(members, model.members, of_member, model.member_base[goal // WIDTH])
-                    cells = np.concatenate(
-                        [
-                            (of_class.astype(np.int64) * WIDTH + (goal // WIDTH)[:, None]).ravel(),
-                            ((of_member.astype(np.int64) + CLASS_ROWS) * WIDTH + (goal % WIDTH)[:, None]).ravel(),
-                        ]
-                    )
-                    cells.sort()
-                    first = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
-                    seen[cells[first]] += np.diff(np.append(first, len(cells)))
+                    add_expected(classes, model.classes, of_class[part], model.class_base)
+                    add_expected(members, model.members, of_member[part], model.member_base[outer[part]])
         if learnt:
             split = lambda x: [zstandard.compress(b.astype(np.float32).tobytes(), 1) for b in np.array_split(x, BLOCKS)]
             yield pa.RecordBatch.from_arrays(
@@ -403,11 +410,10 @@ def token_scores(model: Model, chunk: Chunk, counts: np.ndarray) -> np.ndarray:
     for at in range(0, len(target), BATCH):
         part = slice(at, at + BATCH)
         goal = target[part]
-        rows = np.arange(len(goal))
+        outer, inner = goal // WIDTH, goal % WIDTH
         of_class, of_member = model.features([b[part] for b in before], goal)
-        result[part] += log_softmax(model.classes, of_class, model.class_base)[rows, goal // WIDTH]
-        within = log_softmax(model.members, of_member, model.member_base[goal // WIDTH])
-        result[part] += within[rows, goal % WIDTH]
+        result[part] += log_softmax(model.classes, of_class, model.class_base, outer)
+        result[part] += log_softmax(model.members, of_member, model.member_base[outer], inner)
     return result
 
 
