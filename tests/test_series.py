@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
 from helpers import day, one, rows, ts
@@ -50,6 +52,18 @@ def test_drift(spark):
     assert flat["is_drifting"] == 0 and flat["shift_pct"] == 0
 
 
+def test_drift_slope_loses_nothing_to_the_distance_from_the_epoch(spark):
+    levels = {k: [((k * 37 + d * d * 11) % 997) / 8 for d in range(1, 29)] for k in range(40)}
+    data = [(str(k), ts(f"2024-01-{d:02d} 00:00:00"), v) for k, vs in levels.items() for d, v in enumerate(vs, 1)]
+    df = spark.createDataFrame([*data, ("one", ts("2024-01-01 00:00:00"), 1.0)], "k string, t timestamp_ntz, v double")
+    got = {r.k: r.slope_per_day for r in series.sensor_drift(df, "k", "t", "v").collect()}
+    assert got.pop("one") is None
+    for k, vs in levels.items():
+        centred = [Fraction(2 * d - 29, 2) for d in range(1, 29)]
+        slope = sum(c * Fraction(v) for c, v in zip(centred, vs)) / sum(c * c for c in centred)
+        assert got[str(k)] == float(slope)
+
+
 def test_volume_and_period_change(spark):
     data = [(ts(f"2024-01-0{d} 05:00:00"),) for d in (1, 2, 3) for _ in range(10)]
     data += [(ts("2024-01-04 05:00:00"),)] * 7

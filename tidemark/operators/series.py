@@ -129,7 +129,11 @@ def sensor_drift(
     recent_days: int = 7,
     threshold_pct: float = 10.0,
 ) -> DataFrame:
-    """Level of a sensor in its last days against its own first days, and its daily slope."""
+    """Level of a sensor in its last days against its own first days, and its daily slope.
+
+    The slope is the least-squares line through the daily means. Days are centred in whole numbers
+    (n * day - sum of days), so nothing is lost to the distance of the days from the epoch.
+    """
     daily = (
         df.dropna(subset=[key, ts, value])
         .groupBy(key, day_number(ts).alias("_day"))
@@ -137,7 +141,10 @@ def sensor_drift(
     )
     whole = Window.partitionBy(key)
     marked = daily.select(
-        "*", F.min("_day").over(whole).alias("_first"), F.max("_day").over(whole).alias("_last")
+        "*",
+        F.min("_day").over(whole).alias("_first"),
+        F.max("_day").over(whole).alias("_last"),
+        (F.count("*").over(whole) * F.col("_day") - F.sum("_day").over(whole)).alias("_centred"),
     )
     early = F.col("_day") < F.col("_first") + baseline_days
     late = F.col("_day") > F.col("_last") - recent_days
@@ -150,9 +157,10 @@ def sensor_drift(
         F.count("*").alias("days_seen"),
         mean_where(early).alias("baseline_mean"),
         mean_where(late).alias("recent_mean"),
-        F.regr_slope(F.col("_sum") / F.col("_n"), F.col("_day").cast("double")).alias(
-            "slope_per_day"
-        ),
+        F.try_divide(
+            F.sum(F.col("_centred") * (F.col("_sum") / F.col("_n"))),
+            F.sum(F.col("_centred") * F.col("_day")).cast("double"),
+        ).alias("slope_per_day"),
     )
     shift = F.try_divide(F.col("recent_mean") - F.col("baseline_mean"), F.abs("baseline_mean"))
     return out.withColumn("shift_pct", shift * 100).withColumn(
