@@ -95,6 +95,24 @@ def test_named_classes_and_cross_validation(spark):
     assert scored.filter("predicted = y").count() >= 60
 
 
+def test_forests_are_fitted_in_parts_that_do_not_hang_on_the_files(spark, monkeypatch):
+    df = spark.range(3000).selectExpr(
+        "id", "CAST(id * 7919 % 101 AS DOUBLE) AS x", "CAST(id * 104729 % 97 AS DOUBLE) AS noise",
+        "CAST(id * 31 % 7 >= 4 AS INT) AS y", "map('id', id) AS note",
+    )
+    cores = spark.sparkContext.defaultParallelism
+    whole = learning.dealt_rows(df.coalesce(1))
+    assert whole.rdd.getNumPartitions() == cores and whole.count() == 3000
+    assert min(whole.groupBy(F.spark_partition_id()).count().toPandas()["count"]) > 3000 / cores / 3
+    monkeypatch.setattr(learning, "PART_ROWS", 3000 / cores / 2)
+    assert learning.dealt_rows(df).rdd.getNumPartitions() == 2 * cores
+    monkeypatch.undo()
+    trees = [learning.fit_forest(d, SPEC).stages[-1].toDebugString.split("\n", 1)[1] for d in (df.coalesce(1), df.repartition(7))]
+    assert trees[0] == trees[1]
+    figures = [learning.cross_validate(d, SPEC, "id", folds=3) for d in (df.drop("note").coalesce(1), df.drop("note").repartition(7))]
+    assert figures[0] == figures[1]
+
+
 def test_zero_division_in_reports(spark):
     matrix = spark.createDataFrame([("a", "a", 3), ("b", "a", 1), ("a", "z", 1)], "actual string, predicted string, row_count long")
     got = {r["class"]: (r.support, r.precision, r.recall, r.f1) for r in learning.class_report(matrix).collect()}

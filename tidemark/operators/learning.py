@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -17,6 +18,9 @@ from tidemark.context import RunContext
 from tidemark.operators.aggregates import exact_median
 from tidemark.operators.ranking import hash_rank
 
+#: Rows of a part of the table a forest is fitted on, at most: what a task holds of it in memory.
+PART_ROWS = 250_000
+
 
 def assemble(
     df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = (), fill: float = 0.0
@@ -139,11 +143,25 @@ def forest_pipeline(spec: ForestSpec) -> Pipeline:
     return Pipeline(stages=stages)
 
 
+def dealt_rows(train: DataFrame) -> DataFrame:
+    """``train`` in as many parts as the cluster has cores, or a multiple if they get too long.
+
+    A forest passes over its rows once per level in the parts it is given, and small tables come
+    out of joins in a single one. Every part costs a full set of node statistics per pass, so
+    there are no more than needed. Rows are dealt and ordered by their values (maps have no
+    order), so the trees' samples do not depend on how the table was written.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    rounds = max(1, math.ceil(train.count() / (PART_ROWS * cores)))
+    by = [name for name, kind in train.dtypes if "map<" not in kind and "variant" not in kind]
+    return train.repartition(cores * rounds, *by).sortWithinPartitions(*by)
+
+
 def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
     """Fit on class-balanced weights. ``train`` needs the label as text if classes are named,
     else as a number; its column ``copies``, if it has one, says how often a row counts."""
     copies = "copies" if "copies" in train.columns else None
-    return forest_pipeline(spec).fit(with_class_weight(train, spec.label, copies))
+    return forest_pipeline(spec).fit(dealt_rows(with_class_weight(train, spec.label, copies)))
 
 
 def score_rows(
@@ -282,7 +300,12 @@ def cross_validate(
         numFolds=folds,
         foldCol="_fold",
     )
-    fitted = validator.fit(with_class_weight(dealt, spec.label))
+    # Every fold reads the rows twice: they are ranked, joined and dealt once.
+    rows = dealt_rows(with_class_weight(dealt, spec.label)).persist()
+    try:
+        fitted = validator.fit(rows)
+    finally:
+        rows.unpersist()
     return round(fitted.avgMetrics[0], 4), round(fitted.stdMetrics[0], 4)
 
 
