@@ -338,7 +338,8 @@ def ml_score_contract(t: Tables) -> DataFrame:
 
 
 # Models. Fitting runs jobs while the query is built; results have no SQL twin. The frames are
-# written once because a forest reads its input many times.
+# written once because a forest reads its input many times, the features before that because the
+# split reads them twice.
 
 asset_label = "failure_in_next_7d"
 
@@ -347,7 +348,9 @@ def _targeting_frame(t: Tables) -> DataFrame:
     scores = provider.targeting_score(p._view(t), ORDERS_RUN).withColumn(
         "specialty_tier_num", points(F.col("specialty_tier"), provider.TIER_ORDINAL, 1)
     )
-    frame = learning.assemble(scores, provider.FEATURES, "targeting_priority", keep=["hcp_id"])
+    frame = t.keep(
+        learning.assemble(scores, provider.FEATURES, "targeting_priority", keep=["hcp_id"]), "features-targeting"
+    )
     return t.keep(learning.split_stratified(frame, "hcp_id", "targeting_priority"), "frame-targeting")
 
 
@@ -356,6 +359,7 @@ def _fraud_frame(t: Tables) -> DataFrame:
         risk_features(t), risk.FEATURES, "is_fraud",
         keep=["transaction_id", "customer_id", "_batch_id"],
     ).withColumn("is_fraud", F.col("is_fraud").cast("int"))
+    frame = t.keep(frame, "features-fraud")
     return t.keep(learning.split_stratified(frame, "transaction_id", "is_fraud"), "frame-fraud")
 
 
@@ -363,7 +367,9 @@ def _failure_frame(t: Tables) -> DataFrame:
     rows = p.failure_features(t).withColumn(
         "row_id", F.concat_ws("@", "asset_id", F.col("reading_date").cast("string"))
     )
-    frame = learning.assemble(rows, asset.FEATURES, asset_label, keep=["row_id"], fill=None)
+    frame = t.keep(
+        learning.assemble(rows, asset.FEATURES, asset_label, keep=["row_id"], fill=None), "features-failure"
+    )
     split = t.keep(learning.split_stratified(frame, "row_id", asset_label), "split-failure")
     medians = learning.fit_medians(split.filter("split = 'train'"), asset.FEATURES)
     whole = learning.impute(split, asset.FEATURES, medians)

@@ -161,7 +161,12 @@ def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
     """Fit on class-balanced weights. ``train`` needs the label as text if classes are named,
     else as a number; its column ``copies``, if it has one, says how often a row counts."""
     copies = "copies" if "copies" in train.columns else None
-    return forest_pipeline(spec).fit(dealt_rows(with_class_weight(train, spec.label, copies)))
+    # Bins, classes and samples are each taken in a pass of their own.
+    rows = dealt_rows(with_class_weight(train, spec.label, copies)).persist()
+    try:
+        return forest_pipeline(spec).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score_rows(
