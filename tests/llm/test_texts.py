@@ -1,5 +1,8 @@
 """Operators over odd rows and small made-up cases."""
 
+import math
+
+import numpy as np
 import plain
 import public_tokenizers
 import pytest
@@ -368,3 +371,19 @@ def test_redaction_keeps_the_rest(odd):
     assert left.filter("doc_id = 1").first().text is None
     changed = left.alias("l").join(odd.alias("o"), "doc_id").filter(F.col("l.text") != F.col("o.text"))
     assert {r.doc_id for r in changed.collect()} == {8, 11}
+
+
+def test_sums_over_runs_and_scores_far_apart():
+    rng = np.random.default_rng(3)
+    x = rng.random((50, lm.WIDTH)).astype(np.float32)
+    sizes = np.array([1, 2, 3, 1, 700, 64, 1, 5, 8, 1])
+    rows, starts = rng.integers(0, 50, sizes.sum()), np.cumsum(sizes) - sizes
+    assert np.allclose(lm.run_sums(x, rows, starts), np.add.reduceat(x[rows], starts, axis=0), rtol=1e-5)
+    weights = np.zeros((2, lm.WIDTH), np.float32)
+    weights[0, 3] = 500.0
+    rows, base = np.array([[0], [1]]), np.zeros(lm.WIDTH, np.float32)
+    found = lm.log_softmax(weights, rows, base, np.array([3, 3]))
+    assert np.allclose(found, [0.0, -math.log(lm.WIDTH)], atol=1e-5)
+    sums = np.zeros((2, lm.WIDTH))
+    lm.add_expected(sums, weights, rows, base)
+    assert np.allclose(sums.sum(axis=1), 1, atol=1e-5) and abs(sums[0, 3] - 1) < 1e-6

@@ -53,16 +53,30 @@ CHUNK_TOKENS = 1_200_000
 #: Tokens of a training task, about; it bounds the sums that are shuffled, not what is learnt.
 TASK_TOKENS = 4_000_000
 BLOCKS = 48
+ONES = np.ones(WIDTH, np.float32)
 
 
 # ---- encoding -----------------------------------------------------------------------------------
 
 
+class Buckets(dict):
+    """Piece of at most two bytes -> its bucket; so there are never more than some 65,000."""
+
+    def __init__(self, seed: int, size: int):
+        super().__init__()
+        self.seed, self.size = seed, size
+
+    def __missing__(self, piece: bytes) -> int:
+        self[piece] = n = xxhash.xxh64_intdigest(piece, seed=self.seed) % self.size
+        return n
+
+
+ENDS, BEGINS = Buckets(1, WIDTH - HEAD // WIDTH), Buckets(2, WIDTH)
+
+
 def tail_cell(token: bytes) -> int:
     """The symbol of a token outside the head: what it ends and begins with."""
-    end = xxhash.xxh64_intdigest(token[-2:], seed=1) % (WIDTH - HEAD // WIDTH)
-    begin = xxhash.xxh64_intdigest(token[:2], seed=2) % WIDTH
-    return HEAD + end * WIDTH + begin
+    return HEAD + ENDS[token[-2:]] * WIDTH + BEGINS[token[:2]]
 
 
 class LocalIds(dict):
@@ -250,12 +264,16 @@ class Model:
 
 
 def raised(weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """The scores of all outcomes, the greatest of each row at zero."""
+    """The scores of all outcomes, lowered by the greatest of each row, or of all where all are near."""
     scores = weights.take(rows[:, 0], axis=0)
     for j in range(1, rows.shape[1]):
         scores += weights.take(rows[:, j], axis=0)
     scores += base
-    scores -= scores.max(axis=1, keepdims=True)
+    if not scores.size:
+        return scores
+    greatest = scores.max()
+    # Within this range no sum of exponentials is lost.
+    scores -= greatest if greatest - scores.min() < 60 else scores.max(axis=1, keepdims=True)
     return scores
 
 
@@ -263,19 +281,48 @@ def log_softmax(weights: np.ndarray, rows: np.ndarray, base: np.ndarray, target:
     """Natural log of the probability of each row's outcome."""
     scores = raised(weights, rows, base)
     chosen = scores[np.arange(len(target)), target]
-    return chosen - np.log(np.exp(scores, out=scores).sum(axis=1))
+    return chosen - np.log(np.exp(scores, out=scores) @ ONES)
+
+
+def run_sums(x: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sums of ``x.take(rows, axis=0)`` over runs that begin at ``starts``.
+
+    Neighbours of a run are added in pairs until one is left, so that whole rows are added at once;
+    ``reduceat`` goes through every run column by column. Runs of one are set aside.
+    """
+    sums = np.empty((len(starts), x.shape[1]), x.dtype)
+    runs, sizes = np.arange(len(starts)), np.diff(starts, append=len(rows))
+    while True:
+        single = sizes == 1
+        sums[runs[single]] = x.take(rows[starts[single]], axis=0)
+        longer = ~single
+        if not longer.any():
+            return sums
+        runs, starts, sizes = runs[longer], starts[longer], sizes[longer]
+        halves = (sizes + 1) >> 1
+        ends = np.cumsum(halves)
+        first = np.repeat(starts - 2 * (ends - halves), halves) + 2 * np.arange(ends[-1])
+        added = x.take(rows[first], axis=0)
+        # The last of an odd run has no partner: what is added to it is undone.
+        last = (ends - 1)[sizes % 2 == 1]
+        first += 1
+        first[last] -= 1
+        kept_last = added[last]
+        added += x.take(rows[first], axis=0)
+        added[last] = kept_last
+        x, rows, starts, sizes = added, np.arange(len(added)), ends - halves, halves
 
 
 def add_expected(sums: np.ndarray, weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> None:
     """Add the outcome probabilities of a batch to the feature rows that occur in it."""
     likely = raised(weights, rows, base)
     np.exp(likely, out=likely)
-    likely /= likely.sum(axis=1, keepdims=True)
+    likely /= (likely @ ONES)[:, None]
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     cuts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    sums[ranked[cuts]] += np.add.reduceat(likely.take(order // rows.shape[1], axis=0), cuts, axis=0)
+    sums[ranked[cuts]] += run_sums(likely, order // rows.shape[1], cuts)
 
 
 def add_seen(sums: np.ndarray, rows: np.ndarray, outcome: np.ndarray) -> None:
