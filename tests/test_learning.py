@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import one, rows
+from tidemark.catalog import models
+from tidemark.catalog.base import Tables
 from tidemark.context import RunContext
 from tidemark.operators import learning
 from tidemark.operators.learning import ForestSpec
@@ -113,6 +115,34 @@ def test_forests_are_fitted_in_parts_that_do_not_hang_on_the_files(spark, monkey
     assert figures[0] == figures[1]
 
 
+def test_rows_keep_their_place_in_every_tree(spark, frame):
+    train = learning.with_class_weight(frame.filter("split = 'train'"), "y").cache()
+    pipeline = learning.forest_pipeline(SPEC)
+    forest = pipeline.getStages()[-1]
+    assert forest.getCacheNodeIds()
+    kept = pipeline.fit(train).stages[-1].toDebugString.split("\n", 1)[1]
+    forest.setCacheNodeIds(False)
+    assert pipeline.fit(train).stages[-1].toDebugString.split("\n", 1)[1] == kept
+
+
+def test_areas_do_not_hang_on_how_rows_lie(spark):
+    df = spark.range(6000).selectExpr(
+        "CAST(id * 7919 % 6007 AS DOUBLE) / 10000 AS s", "CAST(id * 7919 % 6007 + id * 31 % 5000 > 5500 AS INT) AS y"
+    )
+    exact = round(learning.curve_areas(df, "y", "s").first().auc_roc, 4)
+    areas = [learning.binary_areas(d, "y", "s") for d in (df.coalesce(1), df.repartition(5), df.repartition(16))]
+    assert areas[0] == areas[1] == areas[2] and areas[0]["auc_roc"] == exact
+
+
+def test_failure_report_scores_rows_once(spark, sf_dir, monkeypatch):
+    read, areas = [], learning.binary_areas
+    monkeypatch.setattr(learning, "binary_areas", lambda df, *names: read.append(df) or areas(df, *names))
+    report = models.rf_failure_report(Tables(spark, sf_dir))
+    for df in (read[0], report):
+        assert "UDF" not in df._jdf.queryExecution().executedPlan().toString()
+    assert report.agg(F.sum("support")).first()[0] == read[0].count() > 0
+
+
 def test_zero_division_in_reports(spark):
     matrix = spark.createDataFrame([("a", "a", 3), ("b", "a", 1), ("a", "z", 1)], "actual string, predicted string, row_count long")
     got = {r["class"]: (r.support, r.precision, r.recall, r.f1) for r in learning.class_report(matrix).collect()}

@@ -406,6 +406,8 @@ def rf_failure_report(t: Tables) -> DataFrame:
     frame = _failure_frame(t)
     model = learning.fit_forest(_train(frame), FAILURE)
     scored = learning.score_rows(model, frame.filter("split = 'test'"), FAILURE)
+    # Two areas and the counts read the scores: the forest goes over the rows once.
+    scored = t.keep(scored.select(asset_label, "predicted", "probability_positive"), "scored-failure")
     areas = learning.binary_areas(scored, asset_label, "probability_positive")
     report = learning.class_report(learning.confusion(scored, asset_label, "predicted"))
     return report.withColumns({k: F.lit(v) for k, v in areas.items()})
