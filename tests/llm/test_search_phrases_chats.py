@@ -4,10 +4,12 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import plain
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -130,6 +132,46 @@ def test_phrases_equal_a_count_of_everything(spark, size):
     assert sorted(map(tuple, got.collect())) == mined(PHRASE_ROWS * 2, 3)
 
 
+def test_shards_are_held_one_at_a_time(spark, monkeypatch):
+    """Whoever reads or writes a file of shards holds a row group of it, so that has one shard."""
+    groups, write = [], phrases.kept
+
+    def watched(df, purpose, **options):
+        out = write(df, purpose, **options)
+        if purpose in ("shards", "bwt"):
+            for file in Path(out.kept_at).glob("*.parquet"):
+                found = pq.ParquetFile(file).metadata
+                groups.extend(found.row_group(i).num_rows for i in range(found.num_row_groups))
+        return out
+
+    monkeypatch.setattr(phrases, "kept", watched)
+    docs = spark.createDataFrame([("en", "a b c a b")] * 40, "lang string, text string")
+    assert phrases.collocations(docs.coalesce(1), least=3, size=4).count() > 0
+    assert len(groups) == 80 and set(groups) == {1}
+
+
+@pytest.mark.parametrize("rows", [3, 10_000])
+def test_places_come_before_their_shard(spark, rows):
+    """However rows fall into batches, a shard has its own places; one without places is left out."""
+    own = [(shard, place, 100 * shard + place) for shard in range(6) if shard != 2 for place in range(1, 8 + shard)]
+    places = spark.createDataFrame(own, "shard bigint, place int, id bigint")
+    contents = spark.createDataFrame([(shard, [shard] * 5) for shard in range(6)], "shard bigint, words array<int>")
+
+    def told(batches):
+        for shard, place, ids, words in phrases._shards(batches):
+            own = repr(sorted(zip(place.tolist(), ids.tolist(), strict=True)))
+            yield pa.RecordBatch.from_pydict({"shard": [shard], "p": [own], "w": [words.tolist()]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = phrases.with_places(contents, places).mapInArrow(told, "shard bigint, p string, w array<bigint>").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = [(s, repr([(p, i) for t, p, i in own if t == s]), [s] * 5) for s in (0, 1, 3, 4, 5)]
+    assert sorted(map(tuple, got)) == want
+
+
 def test_phrases_of_an_empty_table(spark, odd):
     assert phrases.collocations(odd.limit(0)).count() == 0
     assert phrases.collocations(odd).filter("a < 30").count() == 0

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.session import work_dir
 
 BATCH_BYTES = 16 << 20
+#: The writer's option for rows in a row group.
+ROW_GROUPS = "parquet.block.row.count.limit"
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Words of the contracts: everything but space and \x09-\x0D (``bytes.split`` splits there), or
 #: everything but ASCII that is no letter or digit.
@@ -54,10 +56,13 @@ def rows_of(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[tupl
             yield piece.column(0), piece.column(1).to_pylist()
 
 
-def kept(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table that several readers need to the shared folder and read it back."""
+def kept(df: DataFrame, purpose: str, **options: int) -> DataFrame:
+    """Write a table that several readers need to the shared folder and read it back.
+
+    Rows of many megabytes need the writer's option ``ROW_GROUPS``: writer and reader hold a row group.
+    """
     path = work_dir(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.kept_at = path
     return out

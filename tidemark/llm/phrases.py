@@ -1,6 +1,7 @@
 r"""Phrase collocations from one FM-index per shard over word ids.
 
-A task numbers the words of its texts, language by language, and closes a shard at ``SHARD_WORDS``.
+A task numbers the words of its texts, language by language, and closes a shard at ``SHARD_WORDS``. A
+shard is one row and one row group, so however many a file or task has, they are held one at a time.
 Word counts are summed over shards first; words below the least count cannot stand in a candidate and
 become breaks, so every shard's text is over frequent words only. Its suffixes are sorted by their
 first four words (two rounds of doubling), which fixes the Burrows-Wheeler transform that the shard
@@ -10,7 +11,8 @@ reached, seen forward, say what the extended phrase begins with.
 Phrases of two words are enumerated for all intervals of one word at once, and their counts summed over
 the shards in one shuffle, where a phrase has at most one row per shard. Only intervals whose phrase is
 frequent over all shards are extended further, in one more pass to three and four words. A phrase is
-named by the ids of what it is made of, two or three numbers whatever the words.
+named by the ids of what it is made of, two or three numbers whatever the words. Written tables are so
+well compressed that Spark takes their rows for too few: joins of them are merges and never broadcast.
 
 Null languages are ``und``; null, empty and blank texts have no words; repeated rows count again; a
 language without candidates has no rows; an empty table gives an empty result.
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.batches import bound_batches, kept, release, rows_of
+from tidemark.llm.batches import ROW_GROUPS, bound_batches, kept, release, rows_of
 
 LEAST = 30
 DEPTH = 4
@@ -147,24 +149,35 @@ class Index:
         self.interval[~alive[self.interval]] = 0
 
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(shard, places, ids, content) of every shard with places, from the rows of ``with_places``."""
+    held = []
+    for batch in batches:
+        own = np.stack([batch.column(c).fill_null(0).to_numpy() for c in ("place", "id")])
+        contents, begin = batch.column("content"), 0
+        for at in np.flatnonzero(batch.column("place").is_null().to_numpy(zero_copy_only=False)).tolist():
+            place, ids = np.concatenate([*held, own[:, begin:at]], axis=1)
+            held, begin = [], at + 1
+            if len(place):
+                yield batch.column("shard")[at].as_py(), place, ids, contents[at].values.to_numpy()
+        held.append(own[:, begin:])
+
+
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's BWT over its frequent words, renumbered, with their ids."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            words = batch.column("words")[i].values.to_numpy()
-            local, ids = (batch.column(c)[i].values.to_numpy() for c in ("place", "id"))
-            order = np.argsort(local)
-            number = np.zeros(int(words.max(initial=0)) + 1, np.int32)
-            number[local[order]] = np.arange(1, len(local) + 1)
-            text = number[words]
-            text = text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("shard").slice(i, 1), pa.array([truncated_bwt(text)], pa.list_(pa.int32())),
-                    pa.array([ids[order]], pa.list_(pa.int64())),
-                ],
-                ["shard", "bwt", "ids"],
-            )
+    for shard, local, ids, words in _shards(batches):
+        order = np.argsort(local)
+        number = np.zeros(int(words.max(initial=0)) + 1, np.int32)
+        number[local[order]] = np.arange(1, len(local) + 1)
+        text = number[words]
+        text = text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([shard]), pa.array([truncated_bwt(text)], pa.list_(pa.int32())),
+                pa.array([ids[order]], pa.list_(pa.int64())),
+            ],
+            ["shard", "bwt", "ids"],
+        )
 
 
 def _columns(names: list[str], *values: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -187,21 +200,18 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The phrases of three and four words of every shard whose pairs are all frequent, named by them."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            get = lambda c: batch.column(c)[i].values.to_numpy()  # noqa: E731, B023
-            index = Index(get("bwt"))
-            index.extend()
-            place, ids = get("place"), get("id")
-            index.keep(place)
-            names = np.zeros(int(place.max(initial=0)) + 1, np.int64)
-            names[place] = ids
-            first, last, counts = index.extend()
-            begin, end = names[first], names[last]
-            out = ["a", "m", "b", "n"]
-            yield from _columns(out, begin, np.zeros(len(begin), np.int64), end, counts.astype(np.int32))
-            front, back, counts = index.extend()
-            yield from _columns(out, begin[front - 1], end[front - 1], end[back - 1], counts.astype(np.int32))
+    for _, place, ids, bwt in _shards(batches):
+        index = Index(bwt)
+        index.extend()
+        index.keep(place)
+        names = np.zeros(int(place.max(initial=0)) + 1, np.int64)
+        names[place] = ids
+        first, last, counts = index.extend()
+        begin, end = names[first], names[last]
+        out = ["a", "m", "b", "n"]
+        yield from _columns(out, begin, np.zeros(len(begin), np.int64), end, counts.astype(np.int32))
+        front, back, counts = index.extend()
+        yield from _columns(out, begin[front - 1], end[front - 1], end[back - 1], counts.astype(np.int32))
 
 
 def mine(
@@ -212,7 +222,7 @@ def mine(
     Single words are (id, lang, words, f), longer phrases (id, a, b, f) with a and b the ids of what is
     left of them without their last and without their first word.
     """
-    shards = kept(text_shards(docs, size, lang_col, text_col), "shards")
+    shards = kept(text_shards(docs, size, lang_col, text_col), "shards", **{ROW_GROUPS: 1})
     totals = shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
     words = shards.select("lang", "shard", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("place", "w"))
     words = words.select(
@@ -221,12 +231,12 @@ def mine(
     )
     sums = words.groupBy("lang", "words").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     level = {1: numbered_densely(sums)}
-    own = words.join(level[1].select("lang", "words", "id"), ["lang", "words"])
+    own = words.join(level[1].select("lang", "words", "id").hint("merge"), ["lang", "words"])
     index = kept(
-        shards.select("shard", "words").join(places(own), "shard").mapInArrow(
+        with_places(shards.select("shard", "words"), own).mapInArrow(
             _indexed, "shard bigint, bwt array<int>, ids array<bigint>"
         ),
-        "bwt",
+        "bwt", **{ROW_GROUPS: 1},
     )
     totals = kept(totals, "totals")
     release(shards)
@@ -242,7 +252,7 @@ def mine(
         F.shiftright("at", PLACE_BITS).alias("shard"),
         F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"), "id",
     )
-    alive = index.select("shard", "bwt").join(places(own), "shard")
+    alive = with_places(index.select("shard", "bwt"), own)
     sums = alive.mapInArrow(_longer, LONGER).groupBy("a", "m", "b").agg(F.sum("n").alias("f"))
     found = sums.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id() + 1)
     longer = kept(found, "longer")
@@ -251,7 +261,7 @@ def mine(
     # Four words are known by their pairs; their first and last three words are so, too.
     front = level[3].select(F.col("id").alias("front"), "a", F.col("b").alias("m"))
     back = level[3].select(F.col("id").alias("back"), F.col("a").alias("m"), "b")
-    four = longer.filter("m <> 0").join(front, ["a", "m"]).join(back, ["m", "b"])
+    four = longer.filter("m <> 0").join(front.hint("merge"), ["a", "m"]).join(back.hint("merge"), ["m", "b"])
     level[4] = kept(four.select("id", F.col("front").alias("a"), F.col("back").alias("b"), "f"), "fours")
     return totals, level
 
@@ -268,10 +278,17 @@ def numbered_densely(rows: DataFrame) -> DataFrame:
     return kept(held.join(starts, "part").withColumn("id", F.col("start") + F.col("row") + 1).drop("part", "row", "start"), "words")
 
 
-def places(rows: DataFrame) -> DataFrame:
-    """Per shard the places and ids of what is alive in it, at most as many as it has words."""
-    pairs = rows.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("p"))
-    return pairs.select("shard", F.col("p.place").cast("array<int>").alias("place"), F.col("p.id").alias("id"))
+def with_places(contents: DataFrame, own: DataFrame) -> DataFrame:
+    """(shard, place, id, content): in one task the places and ids alive in a shard, a row each, then its content.
+
+    A place has an empty list, the content no place: a null in a list's column costs Arrow's writer far more.
+    """
+    nothing = F.lit(None).cast("bigint")
+    held = contents.toDF("shard", "content").select("shard", nothing.alias("place"), nothing.alias("id"), "content")
+    told = own.select("shard", F.col("place").cast("bigint"), "id", F.array().cast("array<int>").alias("content"))
+    # One number to sort by needs no comparison of rows.
+    order = F.col("shard") * 2 + F.col("place").isNull().cast("int")
+    return told.unionByName(held).repartition("shard").sortWithinPartitions(order)
 
 
 def spelled(level: dict[int, DataFrame]) -> dict[int, DataFrame]:
@@ -282,7 +299,7 @@ def spelled(level: dict[int, DataFrame]) -> dict[int, DataFrame]:
     for n in range(2, DEPTH + 1):
         begin = told[n - 1].select(F.col("id").alias("a"), "lang", "phrase", "heads")
         end = told[n - 1].select(F.col("id").alias("b"), "last", "tails")
-        longer = level[n].join(begin, "a").join(end, "b").select(
+        longer = level[n].join(begin.hint("merge"), "a").join(end.hint("merge"), "b").select(
             "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f",
             F.concat("heads", counts).alias("heads"), F.concat("tails", counts).alias("tails"),
         )
@@ -314,7 +331,7 @@ def candidates(level: dict[int, DataFrame]) -> DataFrame:
         for side, part in (("right", "a"), ("left", "b")):
             if n < DEPTH:
                 longer = level[n + 1].groupBy(F.col(part).alias("id")).agg(F.max("f").alias(side))
-                row = row.join(longer, "id", "left")
+                row = row.join(longer.hint("merge"), "id", "left")
             else:
                 row = row.withColumn(side, F.lit(None).cast("bigint"))
         found.append(row.select("lang", "phrase", "a", "c.*", "left", "right"))
