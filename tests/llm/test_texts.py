@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, licenses, lm, pii, quality, shards, simhash
+from tidemark.llm import bpe, decontam, graph, licenses, lm, pii, quality, shards, simhash
 from tidemark.llm.pretokens import Known
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -138,6 +138,15 @@ def test_large_buckets_are_dealt_again(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_near_copies_are_not_broadcast(spark, odd):
+    """Spark takes rows exploded or well compressed for few, so size alone must not send them to the driver."""
+    links = simhash.near_links(spark.createDataFrame([(1,), (3,), (1 << 40,)], "fp bigint"))
+    stars = graph.small_star(graph.large_star(graph.oriented(links)))
+    for df in (links, stars, simhash.near_duplicates(odd)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_one_row_of_each_group_stays(odd):
     left = simhash.keep_representatives(odd)
     assert left.columns == odd.columns

@@ -1,4 +1,7 @@
-"""Connected components of links between 64-bit nodes, by alternating large and small stars."""
+"""Connected components of links between 64-bit nodes, by alternating large and small stars.
+
+Joins are merges, by hint: the compressed files of a round say too little about its rows to broadcast them.
+"""
 
 from __future__ import annotations
 
@@ -20,13 +23,13 @@ def large_star(edges: DataFrame) -> DataFrame:
     """Every node hands its larger neighbours to the smallest node it knows."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     least = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
-    return edges.join(least, edges.b == least.u).select("a", F.col("m").alias("b"))
+    return edges.join(least.hint("merge"), edges.b == least.u).select("a", F.col("m").alias("b"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Every node links its smaller neighbours and itself to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    others = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    others = edges.join(least.hint("merge"), "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -14,6 +14,9 @@ gathered around the first of their component, so links grow with the members, no
 Copies share a fingerprint and are one node. Texts without words have fingerprint zero and are
 linked like any other; null texts are empty; a null id never names a component; repeated rows give
 repeated result rows; an empty table an empty result.
+
+Joins are merges, by hint: Spark sizes written tables by their compressed files and exploded ones by what
+was exploded, so of a million rows it would broadcast many times its limit through the driver.
 """
 
 from __future__ import annotations
@@ -153,7 +156,8 @@ def near_links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -
     fp = F.col("fp")
     placed = classes.select("fp", F.explode(keyed(fp, masks)).alias("t")).select("fp", "t.place", "t.key")
     sizes = placed.groupBy("place", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    together = placed.join(sizes, ["place", "key"])
+    # Spark takes 31 rows a fingerprint for one, and would send them to the driver as a small table.
+    together = placed.join(sizes.hint("merge"), ["place", "key"])
     again = F.array(
         *[
             F.array(*[F.lit(signed(m | sub)).cast("bigint") for sub in covering_masks(free_bits(m), radius)])
@@ -180,10 +184,11 @@ def named_classes(
     prints = kept(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(near_links(classes, radius, bucket))
-    linked = kept(roots.join(classes, F.col("node") == F.col("fp")).select("fp", "root", "first_id"), "linked")
+    found = roots.join(classes.hint("merge"), F.col("node") == F.col("fp"))
+    linked = kept(found.select("fp", "root", "first_id"), "linked")
     named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    moved = linked.join(named, "root").select("fp", "component_id")
-    names = classes.join(moved, "fp", "left").select(
+    moved = linked.join(named.hint("merge"), "root").select("fp", "component_id")
+    names = classes.join(moved.hint("merge"), "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")
     )
     return prints, names
@@ -192,7 +197,7 @@ def named_classes(
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, fp, component_id) of every row; the component is named by its smallest doc_id."""
     prints, names = named_classes(docs, **options)
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(names.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_of(fp: str = "fp") -> Column:
