@@ -142,7 +142,7 @@ def test_near_copies_are_not_broadcast(spark, odd):
     """Spark takes rows exploded or well compressed for few, so size alone must not send them to the driver."""
     links = simhash.near_links(spark.createDataFrame([(1,), (3,), (1 << 40,)], "fp bigint"))
     stars = graph.small_star(graph.large_star(graph.oriented(links)))
-    for df in (links, stars, simhash.near_duplicates(odd)):
+    for df in (links, stars, simhash.near_duplicates(odd), simhash.keep_representatives(odd)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Broadcast" not in plan and "SortMergeJoin" in plan
 

@@ -212,7 +212,7 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     _, names = named_classes(docs, id_col=id_col, text_col=text_col, **options)
     first = names.select(F.col("component_id").alias("__id")).dropna().distinct()
-    named = docs.join(first, F.col(id_col).cast("bigint") == F.col("__id"))
+    named = docs.join(first.hint("merge"), F.col(id_col).cast("bigint") == F.col("__id"))
     order = Window.partitionBy("__id").orderBy(F.col(text_col).desc_nulls_last())
     one = named.withColumn("__place", F.row_number().over(order)).filter("__place = 1")
     unnamed = docs.filter(F.col(id_col).isNull())
